@@ -5,20 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(26,8)"
-
-
-def exact_sum(value: Column) -> Column:
+def exact_sum(value: Column, places: int = 6) -> Column:
     """SUM that does not depend on row order, retries or the number of partitions.
 
-    Doubles are added as decimals with 8 places; the result is a double again.
+    Doubles are added as decimals with ``places`` digits; the result is a double again.
     """
-    return F.sum(value.cast(MONEY)).cast("double")
+    return F.sum(value.cast(f"decimal(26,{places})")).cast("double")
 
 
-def exact_avg(value: Column) -> Column:
+def exact_avg(value: Column, places: int = 6) -> Column:
     """Mean over non-NULL values on top of :func:`exact_sum`; NULL when there is none."""
-    return exact_sum(value) / F.nullif(F.count(value), F.lit(0))
+    return exact_sum(value, places) / F.nullif(F.count(value), F.lit(0))
 
 
 def rounded(value: Column, places: int) -> Column:

@@ -78,7 +78,7 @@ def waste_by_category(waste: DataFrame, products: DataFrame, start=None, end=Non
         between(waste, "date_id", start, end)
         .groupBy("product_id")
         .agg(
-            F.sum(F.col("potential_waste_value").cast("decimal(26,8)")).alias("value"),
+            F.sum(F.col("potential_waste_value").cast("decimal(26,6)")).alias("value"),
             F.sum("unsold_qty").alias("unsold"),
             F.sum("total_stock").alias("stock"),
         )

@@ -62,7 +62,7 @@ def _stock(inventory: DataFrame) -> DataFrame:
     """Stock and mean price per day, product and store."""
     return inventory.groupBy("date_id", "product_id", "store_id").agg(
         F.sum("stock_quantity").alias("total_stock"),
-        exact_avg(F.col("current_price")).alias("avg_price"),
+        exact_avg(F.col("current_price"), places=8).alias("avg_price"),
     )
 
 
