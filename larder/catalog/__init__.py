@@ -6,7 +6,7 @@ import importlib
 
 from larder.catalog.entry import Entry
 
-TOPICS = ("silver", "gold", "dashboard")
+TOPICS = ("silver", "gold", "dashboard", "dates", "quality")
 
 
 def entries() -> dict[str, Entry]:

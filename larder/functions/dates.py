@@ -56,7 +56,10 @@ def add_parts(part: str, n: int | Column, value: Column | str) -> Column:
 
 
 def datediff(start: Column | str, end: Column | str, part: str = "day") -> Column:
-    """Number of period boundaries between two moments (Jan 31 to Feb 1 is one month)."""
+    """Number of period boundaries between two moments (Jan 31 to Feb 1 is one month).
+
+    Weeks have no boundary of their own: they are full blocks of seven day boundaries.
+    """
     part = _check_part(part)
     a, b = _col(start), _col(end)
     if part == "year":
@@ -69,8 +72,7 @@ def datediff(start: Column | str, end: Column | str, part: str = "day") -> Colum
     if part == "day":
         return days
     if part == "week":
-        weeks = F.datediff(F.trunc(b.cast("date"), "week"), F.trunc(a.cast("date"), "week"))
-        return F.floor(weeks / 7).cast("bigint")
+        return (days / 7).cast("bigint")
     a, b = a.cast(NTZ), b.cast(NTZ)
     hours = days * 24 + F.hour(b) - F.hour(a)
     if part == "hour":

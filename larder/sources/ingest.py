@@ -112,19 +112,25 @@ def ingest_dir(lake: Lake, folder: str, **read_options) -> dict[str, DataFrame]:
     }
 
 
+def high_water_mark(lake: Lake, table: str, key: str):
+    """The highest key stored in a bronze table, None when there is none."""
+    if not lake.exists("bronze", table):
+        return None
+    return lake.read("bronze", table).agg(F.max(key)).first()[0]
+
+
 def ingest_incremental(lake: Lake, path: str, table: str, key: str, **read_options) -> int:
     """Append CSV rows whose key exceeds the highest one loaded; returns the table's rows.
 
-    A missing table gets a full load. Rows at or below the high-water mark are skipped,
-    also when they arrive late. The mark reaches the scan as a literal filter.
+    A missing table, or one without any key, gets a full load. Rows at or below the
+    high-water mark are skipped, also when they arrive late. The mark reaches the scan as a
+    literal filter.
     """
-    if not lake.exists("bronze", table):
+    high = high_water_mark(lake, table, key)
+    if high is None:
         return ingest_csv(lake, path, table, **read_options).count()
     stored = lake.read("bronze", table)
-    high = stored.agg(F.max(key)).first()[0]
-    fresh = read_csv(lake.spark, path, **read_options)
-    # An empty table has no mark: the comparison with NULL keeps nothing.
-    fresh = fresh.filter(F.col(key) > F.lit(high))
+    fresh = read_csv(lake.spark, path, **read_options).filter(F.col(key) > F.lit(high))
     batch = with_load_metadata(fresh, path).select(
         *(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in stored.schema)
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.sources.ingest import with_load_metadata
+from larder.sources.ingest import high_water_mark, with_load_metadata
 from larder.sources.tables import Lake
 
 
@@ -25,8 +25,8 @@ def ingest_new_files(
     spark = lake.spark
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        if lake.exists("bronze", table):
-            high = lake.read("bronze", table).agg(F.max(key)).first()[0]
+        high = high_water_mark(lake, table, key)
+        if high is not None:
             batch = batch.filter(F.col(key) > F.lit(high))
         lake.append(with_load_metadata(batch, folder), "bronze", table)
 
