@@ -6,7 +6,7 @@ import importlib
 
 from larder.catalog.entry import Entry
 
-TOPICS = ("silver", "gold", "dashboard", "dates", "quality")
+TOPICS = ("silver", "gold", "dashboard", "dates", "quality", "stats", "sources", "models")
 
 
 def entries() -> dict[str, Entry]:

@@ -113,27 +113,27 @@ def with_running_sum(
     carried = (
         sums.withColumns(
             {
-                "_before": F.sum("_sum").over(before),
-                "_total": F.sum("_sum").over(across),
-                "_spans": F.count(F.lit(1)).over(across),
+                "_sum_before": F.sum("_sum").over(before),
+                "_sum_total": F.sum("_sum").over(across),
+                "_span": F.count(F.lit(1)).over(across),
             }
         )
-        .filter(F.col("_spans") > 1)
-        .select(*by, CHUNK, "_before", "_total")
+        .filter(F.col("_span") > 1)
+        .select(*by, CHUNK, "_sum_before", "_sum_total")
     )
     in_chunk = Window.partitionBy(*by, CHUNK)
     ordered = in_chunk.orderBy(*(_descending(order) if descending else _ascending(order)))
     running = F.sum(value).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = staged.withColumn("_run", running)
+    local = staged.withColumn("_sum_here", running)
     if total:
-        local = local.withColumn("_chunk_total", F.sum(value).over(in_chunk))
+        local = local.withColumn("_sum_chunk", F.sum(value).over(in_chunk))
     rows = _attach(local, carried, by)
     # A NULL part (only NULL values so far) must not erase the other one.
-    added = F.coalesce(F.col("_run") + F.col("_before"), F.col("_run"), F.col("_before"))
+    added = F.coalesce(F.col("_sum_here") + F.col("_sum_before"), F.col("_sum_here"), F.col("_sum_before"))
     rows = rows.withColumn(out, added)
     if total:
-        rows = rows.withColumn(total, F.coalesce("_total", "_chunk_total"))
-    return rows.drop("_run", "_before", "_total", "_chunk_total", CHUNK)
+        rows = rows.withColumn(total, F.coalesce("_sum_total", "_sum_chunk"))
+    return rows.drop("_sum_here", "_sum_before", "_sum_total", "_sum_chunk", CHUNK)
 
 
 def collapse_copies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
