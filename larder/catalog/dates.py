@@ -9,22 +9,21 @@ from larder.catalog.tables import Tables
 from larder.functions import dates as d
 from larder.operators import calendar as c
 
-TS = F.col("ts")
-DAY = F.col("o_orderdate")
-
 _BOUNDS_SQL = "(SELECT MIN(o_orderdate) AS s, MAX(o_orderdate) AS e FROM orders)"
 
 
 
-def _events(**columns):
+def _events(columns):
+    """A projection of the events; columns are made when it runs, as they need a session."""
     return lambda spark, sf: Tables(spark, sf).raw("events").select(
-        "event_id", *(v.alias(k) for k, v in columns.items())
+        "event_id", *(v.alias(k) for k, v in columns().items())
     )
 
 
-def _orders(**columns):
+def _orders(columns):
+    """The same over the orders."""
     return lambda spark, sf: Tables(spark, sf).raw("orders").select(
-        "o_orderkey", *(v.alias(k) for k, v in columns.items())
+        "o_orderkey", *(v.alias(k) for k, v in columns().items())
     )
 
 
@@ -163,7 +162,12 @@ def _back_sql(n: int, part: str) -> str:
 _LA = "America/Los_Angeles"
 _LA_TS = f"ts AT TIME ZONE 'UTC' AT TIME ZONE '{_LA}'"
 _LA_DAY = f"CAST({_LA_TS} AS DATE)"
-_NOW = {"tz": _LA, "as_of": TS}
+
+
+def _now() -> dict:
+    return {"tz": _LA, "as_of": F.col("ts")}
+
+
 
 ENTRIES = [
     Entry("d0_datediff", _fact_datediff, _DATEDIFF_SQL),
@@ -219,70 +223,70 @@ ENTRIES = [
     ),
     Entry(
         "d10_convert_timezone",
-        _events(la=d.convert_timezone(TS, _LA), back=d.convert_timezone(TS, "UTC", "Asia/Jakarta")),
+        _events(lambda: dict(la=d.convert_timezone(F.col("ts"), _LA), back=d.convert_timezone(F.col("ts"), "UTC", "Asia/Jakarta"))),
         _events_sql(la=_LA_TS, back="ts AT TIME ZONE 'Asia/Jakarta' AT TIME ZONE 'UTC'"),
     ),
     Entry(
         "d11_date_part",
-        _events(**{f"part_{p}": d.date_part(p, TS) for p in ("year", "month", "day", "hour", "minute", "dow", "doy", "week")}),
+        _events(lambda: dict(**{f"part_{p}": d.date_part(p, F.col("ts")) for p in ("year", "month", "day", "hour", "minute", "dow", "doy", "week")})),
         _events_sql(**{f"part_{p}": f"date_part('{p}', ts)" for p in ("year", "month", "day", "hour", "minute", "dow", "doy", "week")}),
     ),
     Entry(
         "d12_day_name",
-        _orders(long_name=d.day_name(DAY, short=False), short_name=d.day_name(DAY)),
+        _orders(lambda: dict(long_name=d.day_name(F.col("o_orderdate"), short=False), short_name=d.day_name(F.col("o_orderdate")))),
         _orders_sql(long_name="dayname(o_orderdate)", short_name="substr(dayname(o_orderdate), 1, 3)"),
     ),
     Entry(
         "d13_month_name",
-        _orders(long_name=d.month_name(DAY, short=False), short_name=d.month_name(DAY)),
+        _orders(lambda: dict(long_name=d.month_name(F.col("o_orderdate"), short=False), short_name=d.month_name(F.col("o_orderdate")))),
         _orders_sql(long_name="monthname(o_orderdate)", short_name="substr(monthname(o_orderdate), 1, 3)"),
     ),
-    Entry("d14_day_of_month", _orders(day=d.day_of_month(DAY)), _orders_sql(day="day(o_orderdate)")),
+    Entry("d14_day_of_month", _orders(lambda: dict(day=d.day_of_month(F.col("o_orderdate")))), _orders_sql(day="day(o_orderdate)")),
     Entry(
         "d15_day_of_week",
-        _orders(iso=d.day_of_week(DAY), us=d.day_of_week(DAY, isoweek=False)),
+        _orders(lambda: dict(iso=d.day_of_week(F.col("o_orderdate")), us=d.day_of_week(F.col("o_orderdate"), isoweek=False))),
         _orders_sql(iso="isodow(o_orderdate)", us="dayofweek(o_orderdate) + 1"),
     ),
-    Entry("d16_day_of_year", _orders(day=d.day_of_year(DAY)), _orders_sql(day="dayofyear(o_orderdate)")),
+    Entry("d16_day_of_year", _orders(lambda: dict(day=d.day_of_year(F.col("o_orderdate")))), _orders_sql(day="dayofyear(o_orderdate)")),
     Entry(
         "d17_from_unixtimestamp",
-        _orders(
+        _orders(lambda: dict(
             seconds=d.from_unixtimestamp(F.lit(1623076520) + F.col("o_orderkey")),
             millis=d.from_unixtimestamp(F.lit(1623076520123) + F.col("o_orderkey"), "milliseconds"),
             micros=d.from_unixtimestamp(F.lit(1623076520123456) + F.col("o_orderkey"), "microseconds"),
-        ),
+        )),
         _orders_sql(
             seconds="make_timestamp((1623076520 + o_orderkey) * 1000000)",
             millis="make_timestamp((1623076520123 + o_orderkey) * 1000)",
             micros="make_timestamp(1623076520123456 + o_orderkey)",
         ),
     ),
-    Entry("d18_to_unixtimestamp", _events(epoch=d.to_unixtimestamp(TS)), _events_sql(epoch="CAST(FLOOR(epoch(ts)) AS BIGINT)")),
-    Entry("d19_iso_week_start", _orders(day=d.iso_week_start(DAY)), _orders_sql(day=_day("DATE_TRUNC('week', o_orderdate)"))),
-    Entry("d20_iso_week_end", _orders(day=d.iso_week_end(DAY)), _orders_sql(day=_day("DATE_TRUNC('week', o_orderdate)") + " + 6")),
-    Entry("d21_iso_week_of_year", _orders(week=d.iso_week_of_year(DAY)), _orders_sql(week="week(o_orderdate)")),
-    Entry("d22_week_start", _orders(day=d.week_start(DAY)), _orders_sql(day=_week_start("o_orderdate"))),
-    Entry("d23_week_end", _orders(day=d.week_end(DAY)), _orders_sql(day=_week_start("o_orderdate") + " + 6")),
+    Entry("d18_to_unixtimestamp", _events(lambda: dict(epoch=d.to_unixtimestamp(F.col("ts")))), _events_sql(epoch="CAST(FLOOR(epoch(ts)) AS BIGINT)")),
+    Entry("d19_iso_week_start", _orders(lambda: dict(day=d.iso_week_start(F.col("o_orderdate")))), _orders_sql(day=_day("DATE_TRUNC('week', o_orderdate)"))),
+    Entry("d20_iso_week_end", _orders(lambda: dict(day=d.iso_week_end(F.col("o_orderdate")))), _orders_sql(day=_day("DATE_TRUNC('week', o_orderdate)") + " + 6")),
+    Entry("d21_iso_week_of_year", _orders(lambda: dict(week=d.iso_week_of_year(F.col("o_orderdate")))), _orders_sql(week="week(o_orderdate)")),
+    Entry("d22_week_start", _orders(lambda: dict(day=d.week_start(F.col("o_orderdate")))), _orders_sql(day=_week_start("o_orderdate"))),
+    Entry("d23_week_end", _orders(lambda: dict(day=d.week_end(F.col("o_orderdate")))), _orders_sql(day=_week_start("o_orderdate") + " + 6")),
     Entry(
         "d24_week_of_year",
-        _orders(week=d.week_of_year(DAY)),
+        _orders(lambda: dict(week=d.week_of_year(F.col("o_orderdate")))),
         _orders_sql(week="CAST(CEIL(dayofyear(o_orderdate) / 7) AS INT)"),
     ),
-    Entry("d25_now", _events(now=d.now(**_NOW)), _events_sql(now=_LA_TS)),
-    Entry("d26_today", _events(today=d.today(**_NOW)), _events_sql(today=_LA_DAY)),
+    Entry("d25_now", _events(lambda: dict(now=d.now(**_now()))), _events_sql(now=_LA_TS)),
+    Entry("d26_today", _events(lambda: dict(today=d.today(**_now()))), _events_sql(today=_LA_DAY)),
     Entry(
         "d27_yesterday_tomorrow",
-        _events(y=d.yesterday(**_NOW), t=d.tomorrow(**_NOW), before=d.yesterday(TS), after=d.tomorrow(TS)),
+        _events(lambda: dict(y=d.yesterday(**_now()), t=d.tomorrow(**_now()), before=d.yesterday(F.col("ts")), after=d.tomorrow(F.col("ts")))),
         _events_sql(y=f"{_LA_DAY} - 1", t=f"{_LA_DAY} + 1", before="CAST(ts AS DATE) - 1", after="CAST(ts AS DATE) + 1"),
     ),
     Entry(
         "d28_n_days",
-        _events(ago=d.n_days_ago(10, **_NOW), away=d.n_days_away(10, **_NOW)),
+        _events(lambda: dict(ago=d.n_days_ago(10, **_now()), away=d.n_days_away(10, **_now()))),
         _events_sql(ago=f"{_LA_DAY} - 10", away=f"{_LA_DAY} + 10"),
     ),
     Entry(
         "d29_n_weeks",
-        _events(ago=d.n_weeks_ago(3, **_NOW), away=d.n_weeks_away(3, **_NOW)),
+        _events(lambda: dict(ago=d.n_weeks_ago(3, **_now()), away=d.n_weeks_away(3, **_now()))),
         _events_sql(
             ago=_day(f"DATE_TRUNC('week', {_LA_DAY} - INTERVAL 3 WEEK)"),
             away=_day(f"DATE_TRUNC('week', {_LA_DAY} + INTERVAL 3 WEEK)"),
@@ -290,7 +294,7 @@ ENTRIES = [
     ),
     Entry(
         "d30_n_months",
-        _events(ago=d.n_months_ago(3, **_NOW), away=d.n_months_away(3, **_NOW)),
+        _events(lambda: dict(ago=d.n_months_ago(3, **_now()), away=d.n_months_away(3, **_now()))),
         _events_sql(
             ago=_day(f"DATE_TRUNC('month', {_LA_DAY} - INTERVAL 3 MONTH)"),
             away=_day(f"DATE_TRUNC('month', {_LA_DAY} + INTERVAL 3 MONTH)"),
@@ -298,7 +302,7 @@ ENTRIES = [
     ),
     Entry(
         "d31_last_next_week",
-        _events(last=d.last_week(**_NOW), following=d.next_week(**_NOW)),
+        _events(lambda: dict(last=d.last_week(**_now()), following=d.next_week(**_now()))),
         _events_sql(
             last=_day(f"DATE_TRUNC('week', {_LA_DAY} - INTERVAL 1 WEEK)"),
             following=_day(f"DATE_TRUNC('week', {_LA_DAY} + INTERVAL 1 WEEK)"),
@@ -306,7 +310,7 @@ ENTRIES = [
     ),
     Entry(
         "d32_last_next_month",
-        _events(last=d.last_month(**_NOW), following=d.next_month(**_NOW)),
+        _events(lambda: dict(last=d.last_month(**_now()), following=d.next_month(**_now()))),
         _events_sql(
             last=_day(f"DATE_TRUNC('month', {_LA_DAY} - INTERVAL 1 MONTH)"),
             following=_day(f"DATE_TRUNC('month', {_LA_DAY} + INTERVAL 1 MONTH)"),
@@ -314,7 +318,7 @@ ENTRIES = [
     ),
     Entry(
         "d33_last_next_month_name",
-        _events(last=d.last_month_name(**_NOW), following=d.next_month_name(short=False, **_NOW)),
+        _events(lambda: dict(last=d.last_month_name(**_now()), following=d.next_month_name(short=False, **_now()))),
         _events_sql(
             last=f"substr(monthname({_LA_DAY} - INTERVAL 1 MONTH), 1, 3)",
             following=f"monthname({_LA_DAY} + INTERVAL 1 MONTH)",
@@ -322,17 +326,17 @@ ENTRIES = [
     ),
     Entry(
         "d34_last_next_month_number",
-        _events(last=d.last_month_number(**_NOW), following=d.next_month_number(**_NOW)),
+        _events(lambda: dict(last=d.last_month_number(**_now()), following=d.next_month_number(**_now()))),
         _events_sql(last=f"month({_LA_DAY} - INTERVAL 1 MONTH)", following=f"month({_LA_DAY} + INTERVAL 1 MONTH)"),
     ),
     Entry(
         "d35_periods_since",
-        _events(
+        _events(lambda: dict(
             **{
-                f"since_{p}": d.periods_since(F.lit("2020-02-29 23:30:00").cast("timestamp_ntz"), p, as_of=TS)
+                f"since_{p}": d.periods_since(F.lit("2020-02-29 23:30:00").cast("timestamp_ntz"), p, as_of=F.col("ts"))
                 for p in ("day", "week", "month", "year")
             }
-        ),
+        )),
         _events_sql(
             **{
                 f"since_{p}": f"date_diff('{p}', TIMESTAMP '2020-02-29 23:30:00', ts)"
@@ -342,15 +346,15 @@ ENTRIES = [
     ),
     Entry(
         "d36_round_timestamp",
-        _events(day=d.round_timestamp(TS)),
+        _events(lambda: dict(day=d.round_timestamp(F.col("ts")))),
         _events_sql(day="CAST(DATE_TRUNC('day', ts + INTERVAL 12 HOUR) AS TIMESTAMP)"),
     ),
     Entry(
         "d37_date_datetime",
-        _events(
-            day=d.make_date(F.year(TS), F.month(TS), F.day(TS)),
-            moment=d.make_datetime(F.year(TS), F.month(TS), F.day(TS), F.hour(TS), F.minute(TS), tz=_LA),
-        ),
+        _events(lambda: dict(
+            day=d.make_date(F.year(F.col("ts")), F.month(F.col("ts")), F.day(F.col("ts"))),
+            moment=d.make_datetime(F.year(F.col("ts")), F.month(F.col("ts")), F.day(F.col("ts")), F.hour(F.col("ts")), F.minute(F.col("ts")), tz=_LA),
+        )),
         _events_sql(
             day="make_date(year(ts), month(ts), day(ts))",
             moment="make_timestamp(year(ts), month(ts), day(ts), hour(ts), minute(ts), 0.0) "
@@ -359,10 +363,10 @@ ENTRIES = [
     ),
     Entry(
         "d38_period_bounds",
-        _orders(
-            **{f"{p}_start": d.period_start(p, DAY) for p in ("month", "quarter", "year")},
-            **{f"{p}_end": d.period_end(p, DAY) for p in ("month", "quarter", "year")},
-        ),
+        _orders(lambda: dict(
+            **{f"{p}_start": d.period_start(p, F.col("o_orderdate")) for p in ("month", "quarter", "year")},
+            **{f"{p}_end": d.period_end(p, F.col("o_orderdate")) for p in ("month", "quarter", "year")},
+        )),
         _orders_sql(
             **{f"{p}_start": _day(f"DATE_TRUNC('{p}', o_orderdate)") for p in ("month", "quarter", "year")},
             **{
@@ -373,7 +377,7 @@ ENTRIES = [
     ),
     Entry(
         "d39_prior_year_dates",
-        _orders(prior=d.prior_year(DAY), prior_364=d.prior_year_over_year(DAY)),
+        _orders(lambda: dict(prior=d.prior_year(F.col("o_orderdate")), prior_364=d.prior_year_over_year(F.col("o_orderdate")))),
         _orders_sql(prior=_day("o_orderdate - INTERVAL 1 YEAR"), prior_364=_day("o_orderdate - INTERVAL 364 DAY")),
     ),
 ]

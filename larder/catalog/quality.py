@@ -16,10 +16,14 @@ from larder.operators import expectations as e
 from larder.operators.suite import Check, run_suite
 from larder.plans import suites
 
-AS_OF = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
 AS_OF_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
 
 
+def as_of():
+    """The fixed "now" of the checks relative to it."""
+    return F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+
+
 def on(table: str, check, *args, **kwargs):
     """A check applied to one raw table."""
     return lambda spark, sf: check(Tables(spark, sf).raw(table), *args, **kwargs)
@@ -187,7 +191,7 @@ def _ignored(mode: str):
 
 def _moving(spark, sf):
     found = e.expect_column_values_to_be_within_n_moving_stdevs(
-        Tables(spark, sf).raw("events"), "value", "ts", group_by=["event_type"], sigma_threshold=1, as_of=AS_OF
+        Tables(spark, sf).raw("events"), "value", "ts", group_by=["event_type"], sigma_threshold=1, as_of=as_of()
     )
     places = [
         "agg_metric_value", "prior_agg_metric_value", "metric_test_value", "metric_test_rolling_average",
@@ -254,7 +258,7 @@ def _every_sql(part: str, interval: int | None = None) -> str:
 
 def _grouped_recent(spark, sf):
     return e.expect_grouped_row_values_to_have_recent_data(
-        Tables(spark, sf).raw("events"), "ts", "hour", 12, group_by=["user_id"], as_of=AS_OF
+        Tables(spark, sf).raw("events"), "ts", "hour", 12, group_by=["user_id"], as_of=as_of()
     )
 
 
@@ -414,7 +418,9 @@ ENTRIES = [
     *METADATA,
     Entry(
         "e6_recent_data",
-        on("events", e.expect_row_values_to_have_recent_data, "ts", "minute", 1, as_of=AS_OF),
+        lambda s, f: e.expect_row_values_to_have_recent_data(
+            Tables(s, f).raw("events"), "ts", "minute", 1, as_of=as_of()
+        ),
         f"SELECT * FROM (SELECT MAX(ts) AS max_timestamp FROM events WHERE ts <= {AS_OF_SQL}) WHERE "
         f"COALESCE(max_timestamp, TIMESTAMP '1970-01-01') < {AS_OF_SQL} - INTERVAL 1 MINUTE",
     ),

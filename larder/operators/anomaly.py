@@ -117,18 +117,30 @@ def _samples(df: DataFrame, features: Sequence[str], row_id: Sequence[str], tree
     """``size`` rows for each tree, chosen by hash so that partitioning plays no part.
 
     A pool of ``trees * size`` rows with the smallest hashes is a uniform sample of the
-    table; each tree draws its rows from the pool, again by hash.
+    table, found by a distributed top-n. In hash order every tree takes a stretch of the
+    pool: stretches of their own in a full pool, overlapping ones in a smaller table.
     """
     ident = F.xxhash64(F.lit(seed), *(F.col(f"`{c}`") for c in row_id))
+    order = ["_id", *features]
     pool = (
         df.select(*(F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features), ident.alias("_id"))
-        .orderBy("_id", *features)
+        .orderBy(*order)
         .limit(trees * size)
     )
-    per_tree = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    # At most the pool size per tree, whatever the table holds.
-    drawn = Window.partitionBy("tree").orderBy(F.xxhash64("_id", "tree"), "_id", *features)
-    return per_tree.withColumn("_rank", F.row_number().over(drawn)).filter(F.col("_rank") <= size).drop("_rank")
+    # The pool is small by construction, at most trees * size rows.
+    whole = Window.orderBy(*order)
+    placed = pool.withColumns(
+        {"_at": F.row_number().over(whole) - 1, "_pool": F.count(F.lit(1)).over(Window.partitionBy())}
+    )
+    tree = F.col("tree")
+    start = F.when(F.col("_pool") == trees * size, tree.cast("bigint") * size).otherwise(
+        F.pmod(F.xxhash64(tree, F.lit(seed)), F.col("_pool"))
+    )
+    return (
+        placed.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        .filter(F.pmod(F.col("_at") - start, F.col("_pool")) < size)
+        .select("tree", *order)
+    )
 
 
 def _mean_paths(values: np.ndarray, forest: list[dict]) -> np.ndarray:

@@ -8,7 +8,7 @@ otherwise sorts, splitting hot keys.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.numbers import exact_avg, exact_sum, rounded
@@ -282,26 +282,31 @@ def supplier_performance(orders: DataFrame) -> DataFrame:
 def demand_baseline(sales: DataFrame, dates: DataFrame, products: DataFrame) -> DataFrame:
     """Daily demand per product and store with its mean, 80 % bounds and error share.
 
-    Mean and spread come from one aggregate per (product, store) over the daily rows,
-    joined back; there is no window over a best-seller's history.
+    Sales are reduced to one row per day, product and store first, so the window over a
+    product's days holds at most one row per calendar day, even for a best-seller.
     """
     keys = ["product_id", "store_id"]
-    daily = sales.groupBy(F.col("order_date_id").alias("date_id"), *keys).agg(
-        F.sum("quantity").alias("daily_sales_qty"),
-        exact_sum(F.col("total_payment")).alias("daily_revenue"),
-        F.countDistinct("order_id").alias("total_orders"),
-    )
     qty = F.col("daily_sales_qty")
-    stats = daily.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(
-        (F.sum(qty) / F.count(qty)).alias("mean"), F.stddev_samp(qty).alias("spread")
+    days = Window.partitionBy(*keys)
+    daily = (
+        sales.groupBy(F.col("order_date_id").alias("date_id"), *keys)
+        .agg(
+            F.sum("quantity").alias("daily_sales_qty"),
+            exact_sum(F.col("total_payment")).alias("daily_revenue"),
+            F.countDistinct("order_id").alias("total_orders"),
+        )
+        .withColumns(
+            {
+                "mean": F.sum(qty).over(days) / F.count(qty).over(days),
+                "spread": F.stddev_samp(qty).over(days),
+            }
+        )
     )
-    # Missing keys form groups of their own here, so the join back is null-safe.
-    matched = F.col("product_id").eqNullSafe(F.col("_product_id")) & F.col("store_id").eqNullSafe(F.col("_store_id"))
     margin = F.lit(NORMAL_Z80) * F.coalesce("spread", F.lit(0.0))
     error = rounded(F.abs(qty - F.col("mean")) / F.nullif(qty, F.lit(0)), 4)
     return (
-        daily.join(stats, matched)
-        .join(dates.select("date_id", "year", "month", "day_name"), "date_id")
+        # The dates table has one row per calendar day.
+        daily.join(F.broadcast(dates.select("date_id", "year", "month", "day_name")), "date_id")
         .join(products.select("product_id", "category_name"), "product_id", "left")
         .select(
             "date_id",
