@@ -100,14 +100,14 @@ SELECT date_day, CAST(date_day - INTERVAL 1 DAY AS DATE) AS prior_date_day,
   {_day("DATE_TRUNC('week', date_day)")} + 6 AS iso_week_end_date,
   {_day("DATE_TRUNC('week', p364)")} AS prior_year_iso_week_start_date,
   {_day("DATE_TRUNC('week', p364)")} + 6 AS prior_year_iso_week_end_date,
-  week(date_day) AS iso_week_of_year, CAST(CEIL(dayofyear(p364) / 7) AS INT) AS prior_year_week_of_year,
-  week(p364) AS prior_year_iso_week_of_year, month(date_day) AS month_of_year, monthname(date_day) AS month_name,
+  CAST(week(date_day) AS INT) AS iso_week_of_year, CAST(CEIL(dayofyear(p364) / 7) AS INT) AS prior_year_week_of_year,
+  CAST(week(p364) AS INT) AS prior_year_iso_week_of_year, CAST(month(date_day) AS INT) AS month_of_year, monthname(date_day) AS month_name,
   substr(monthname(date_day), 1, 3) AS month_name_short,
   {_day("DATE_TRUNC('month', date_day)")} AS month_start_date, last_day(date_day) AS month_end_date,
   {_day("DATE_TRUNC('month', py)")} AS prior_year_month_start_date, last_day(py) AS prior_year_month_end_date,
-  quarter(date_day) AS quarter_of_year, {_day("DATE_TRUNC('quarter', date_day)")} AS quarter_start_date,
+  CAST(quarter(date_day) AS INT) AS quarter_of_year, {_day("DATE_TRUNC('quarter', date_day)")} AS quarter_start_date,
   {_day("DATE_TRUNC('quarter', date_day) + INTERVAL 3 MONTH - INTERVAL 1 DAY")} AS quarter_end_date,
-  year(date_day) AS year_number, {_day("DATE_TRUNC('year', date_day)")} AS year_start_date,
+  CAST(year(date_day) AS INT) AS year_number, {_day("DATE_TRUNC('year', date_day)")} AS year_start_date,
   {_day("DATE_TRUNC('year', date_day) + INTERVAL 1 YEAR - INTERVAL 1 DAY")} AS year_end_date
 FROM (SELECT date_day, CAST(date_day - INTERVAL 1 YEAR AS DATE) AS py, CAST(date_day - INTERVAL 364 DAY AS DATE) AS p364
       FROM (SELECT {_SPINE} AS date_day FROM {_BOUNDS_SQL}))"""
@@ -125,11 +125,11 @@ _FISCAL_YEAR = """
   ranges AS (SELECT fiscal_year_number, LAG(week_end_date) OVER (ORDER BY week_end_date) + 1 AS fiscal_year_start_date,
       week_end_date AS fiscal_year_end_date FROM at_month_end WHERE closest = 1),
   fiscal AS (SELECT d.date_day, m.*, w.week_start_date, w.week_end_date,
-      DENSE_RANK() OVER (PARTITION BY m.fiscal_year_number ORDER BY w.week_start_date) AS fiscal_week_of_year
+      CAST(DENSE_RANK() OVER (PARTITION BY m.fiscal_year_number ORDER BY w.week_start_date) AS INT) AS fiscal_week_of_year
     FROM dates d JOIN ranges m ON d.date_day BETWEEN m.fiscal_year_start_date AND m.fiscal_year_end_date
     JOIN weeks w ON d.date_day BETWEEN w.week_start_date AND w.week_end_date),
   periods AS (SELECT date_day, fiscal_year_number, week_start_date, week_end_date, fiscal_week_of_year,
-      DENSE_RANK() OVER (PARTITION BY q * 3 + p ORDER BY fiscal_week_of_year) AS fiscal_week_of_period,
+      CAST(DENSE_RANK() OVER (PARTITION BY q * 3 + p ORDER BY fiscal_week_of_year) AS INT) AS fiscal_week_of_period,
       q * 3 + p AS fiscal_period_number, q + 1 AS fiscal_quarter_number, p AS fiscal_period_of_quarter
     FROM (SELECT *, CAST(LEAST(FLOOR((fiscal_week_of_year - 1) / 13.0), 3) AS INT) AS q,
         CASE WHEN fiscal_week_of_year = 53 THEN 3 WHEN (fiscal_week_of_year - 1) % 13 <= 3 THEN 1
@@ -264,7 +264,7 @@ ENTRIES = [
     Entry("d18_to_unixtimestamp", _events(lambda: dict(epoch=d.to_unixtimestamp(F.col("ts")))), _events_sql(epoch="CAST(FLOOR(epoch(ts)) AS BIGINT)")),
     Entry("d19_iso_week_start", _orders(lambda: dict(day=d.iso_week_start(F.col("o_orderdate")))), _orders_sql(day=_day("DATE_TRUNC('week', o_orderdate)"))),
     Entry("d20_iso_week_end", _orders(lambda: dict(day=d.iso_week_end(F.col("o_orderdate")))), _orders_sql(day=_day("DATE_TRUNC('week', o_orderdate)") + " + 6")),
-    Entry("d21_iso_week_of_year", _orders(lambda: dict(week=d.iso_week_of_year(F.col("o_orderdate")))), _orders_sql(week="week(o_orderdate)")),
+    Entry("d21_iso_week_of_year", _orders(lambda: dict(week=d.iso_week_of_year(F.col("o_orderdate")))), _orders_sql(week="CAST(week(o_orderdate) AS INT)")),
     Entry("d22_week_start", _orders(lambda: dict(day=d.week_start(F.col("o_orderdate")))), _orders_sql(day=_week_start("o_orderdate"))),
     Entry("d23_week_end", _orders(lambda: dict(day=d.week_end(F.col("o_orderdate")))), _orders_sql(day=_week_start("o_orderdate") + " + 6")),
     Entry(

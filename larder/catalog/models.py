@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from larder.catalog.entry import Entry
 from larder.catalog.sqltext import with_tables
 from larder.catalog.tables import Tables
@@ -33,8 +35,73 @@ def _retrain(spark, sf):
     return lake.read("gold", "ml_demand_predictions")
 
 
+def _checked_readings(spark, sf):
+    """Everything about the labelled readings but the label."""
+    readings = Tables(spark, sf).readings
+    added = ["duration_minutes", "temp_diff", "delta_temp_per_minute"]
+    return anomaly.anomaly_check(readings).select(*readings.columns, *added)
+
+
+def _flagged_share(spark, sf):
+    """Readings and whether about one in twenty of them is flagged."""
+    flagged = F.count(F.when(F.col("anomaly_score") == -1, 1))
+    readings = F.count(F.lit(1))
+    labelled = anomaly.anomaly_check(Tables(spark, sf).readings)
+    return labelled.agg(
+        readings.alias("readings"), (F.abs(flagged / readings - 0.05) < 0.01).alias("share_is_contamination")
+    )
+
+
+_SERIES_SQL = (
+    "series AS (SELECT CAST(d AS DATE) AS ds, COALESCE(y, 0.0) AS y FROM (SELECT UNNEST(generate_series(MIN(order_date_id), "
+    "MAX(order_date_id), INTERVAL 1 DAY)) AS d FROM fact_sales) LEFT JOIN (SELECT order_date_id, CAST(SUM(quantity) AS DOUBLE) "
+    "AS y FROM fact_sales GROUP BY 1) ON d = order_date_id)"
+)
+
+
+def _on_series(body: str) -> str:
+    """SQL over the zero-filled daily series."""
+    return with_tables(f"SELECT * FROM (WITH {_SERIES_SQL} {body})", "fact_sales")
+
+
 ENTRIES = [
     Entry("m2_isolation_forest", _forest),
+    Entry(
+        "m2_anomaly_check_readings", _checked_readings, with_tables("SELECT * FROM features", "features")
+    ),
+    Entry(
+        "m2_flagged_share",
+        _flagged_share,
+        with_tables(
+            "SELECT COUNT(*) AS readings, true AS share_is_contamination FROM fact_cold_chain", "fact_cold_chain"
+        ),
+    ),
+    Entry(
+        "m3_forecast_days",
+        lambda s, f: forecast.demand_forecast(Tables(s, f).sales).select("ds", "historical_qty"),
+        _on_series(
+            "SELECT ds, y AS historical_qty FROM series UNION ALL SELECT CAST(m + i AS DATE), NULL FROM "
+            "(SELECT MAX(ds) AS m, UNNEST(generate_series(1, 30))::INT AS i FROM series)"
+        ),
+    ),
+    Entry(
+        "m4_folds",
+        lambda s, f: _cv(s, f).select("cutoff", "ds", "y"),
+        _on_series(
+            "SELECT cutoff, ds, y FROM series, (SELECT CAST(l - 30 - 30 * i AS DATE) AS cutoff FROM (SELECT f, l, "
+            "UNNEST(range(0, 1000))::INT AS i FROM (SELECT MIN(ds) AS f, MAX(ds) AS l FROM series)) "
+            "WHERE l - 30 - 30 * i >= f + CAST(GREATEST(30, (l - f) // 2) AS INT)) WHERE ds > cutoff AND ds <= cutoff + 30"
+        ),
+    ),
+    Entry(
+        "m5_predicted_days",
+        lambda s, f: _retrain(s, f).select("ds"),
+        with_tables(
+            "SELECT CAST(m + i AS TIMESTAMP) AS ds FROM (SELECT MAX(order_date_id) AS m, UNNEST(generate_series(1, 7))::INT AS i "
+            "FROM fact_sales)",
+            "fact_sales",
+        ),
+    ),
     Entry("m2_anomaly_check", lambda s, f: anomaly.anomaly_check(Tables(s, f).readings)),
     Entry("m3_demand_forecast", lambda s, f: forecast.demand_forecast(Tables(s, f).sales)),
     Entry(

@@ -95,9 +95,10 @@ def _with_row_count(check):
     return run
 
 
-def meta(name: str, check, rows: list[tuple], columns: list[str]) -> Entry:
+def meta(name: str, check, rows: list[tuple], columns: list[str], types: dict[str, str] | None = None) -> Entry:
     """A metadata check of the line table; the row count ties the result to the data."""
-    sql = f"SELECT v.*, (SELECT COUNT(*) FROM lineitem) AS table_rows FROM ({_values_sql(rows, columns, 'lineitem')}) v"
+    shown = ", ".join(f"CAST(v.{c} AS {types[c]}) AS {c}" if c in (types or {}) else f"v.{c}" for c in columns)
+    sql = f"SELECT {shown}, (SELECT COUNT(*) FROM lineitem) AS table_rows FROM ({_values_sql(rows, columns, 'lineitem')}) v"
     return Entry(name, _with_row_count(check), sql)
 
 
@@ -142,6 +143,7 @@ METADATA = [
         on("lineitem", e.expect_table_columns_to_contain_set, ["l_tax", "l_comment"]),
         [("L_COMMENT", None)],
         ["input_column", "relation_column"],
+        {"relation_column": "VARCHAR"},
     ),
     meta(
         "e13_columns_not_contain_set",
@@ -427,7 +429,7 @@ ENTRIES = [
     Entry(
         "e7_grouped_recent_data",
         _grouped_recent,
-        "SELECT 1 AS row_count, user_id, 1 AS join_key, latest_timestamp_column FROM (SELECT user_id, MAX(ts) AS "
+        "SELECT CAST(1 AS BIGINT) AS row_count, user_id, 1 AS join_key, latest_timestamp_column FROM (SELECT user_id, MAX(ts) AS "
         f"latest_timestamp_column FROM events WHERE ts <= {AS_OF_SQL} GROUP BY 1) WHERE latest_timestamp_column < {AS_OF_SQL} - INTERVAL 12 HOUR",
     ),
     Entry(

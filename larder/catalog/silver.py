@@ -9,6 +9,7 @@ from larder.catalog.sqltext import with_tables
 from larder.catalog.tables import Tables
 from larder.functions.dates import shift_date
 from larder.operators import silver
+from larder.sources import lenses
 
 _RETAIL = (
     "order_item_id, order_id, order_date, customer_id, store_id, product_id, category_name, qty, unit_price, "
@@ -17,10 +18,15 @@ _RETAIL = (
 _RETAIL_LIST = _RETAIL.split(", ")
 
 
-def _passthrough(spark, sf):
+def _retail_staged(spark, sf):
     return Tables(spark, sf).retail.select(*_RETAIL_LIST)
 
 
+def _staged(bronze: str, columns: dict[str, str]):
+    """All source columns of a bronze table, without the load metadata."""
+    return lambda spark, sf: Tables(spark, sf).bronze(bronze).select(*(F.col(f"`{c}`") for c in columns))
+
+
 def _grocery(spark, sf):
     return silver.stg_instacart_grocery(Tables(spark, sf).bronze("instacart_grocery"))
 
@@ -62,7 +68,20 @@ def _inventory_shifted(spark, sf):
 
 
 ENTRIES = [
-    Entry("p1_stg_passthrough", _passthrough, with_tables(f"SELECT {_RETAIL} FROM retail", "retail")),
+    Entry("p1_stg_retail_data", _retail_staged, with_tables(f"SELECT {_RETAIL} FROM retail", "retail")),
+    Entry(
+        "p1_stg_iot_telemetry",
+        _staged("iot_telemetry", lenses.IOT_COLUMNS),
+        with_tables("SELECT * FROM iot", "iot"),
+    ),
+    Entry(
+        "p1_stg_m5_forcasting", _staged("m5_forcasting", lenses.M5_COLUMNS), with_tables("SELECT * FROM m5", "m5")
+    ),
+    Entry(
+        "p1_stg_supply_chain",
+        _staged("SupplyChain", lenses.SUPPLY_COLUMNS),
+        with_tables("SELECT * FROM supply", "supply"),
+    ),
     Entry(
         "p2_stg_instacart_grocery",
         _grocery,

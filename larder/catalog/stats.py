@@ -39,6 +39,11 @@ def _random(spark, sf):
     return Tables(spark, sf).raw("lineitem").select("l_orderkey", random_uniform(7).alias("draw"))
 
 
+def _random_range(spark, sf):
+    drawn = _random(spark, sf).select("l_orderkey", ((F.col("draw") >= 0) & (F.col("draw") < 1)).alias("in_range"))
+    return drawn.groupBy("l_orderkey", "in_range").agg(F.count(F.lit(1)).alias("draws"))
+
+
 def _regex(spark, sf):
     text = F.col("text")
     return Tables(spark, sf).raw("documents").select(
@@ -75,6 +80,11 @@ ENTRIES = [
         f"SELECT l_orderkey, l_linenumber, {rnd('ln(NULLIF(l_quantity - 1, 0))', 5)} AS log_quantity FROM lineitem",
     ),
     Entry("x4_rand", _random),
+    Entry(
+        "x4_rand_range",
+        _random_range,
+        "SELECT l_orderkey, true AS in_range, COUNT(*) AS draws FROM lineitem GROUP BY 1",
+    ),
     Entry(
         "x5_regexp_match",
         _regex,

@@ -9,6 +9,7 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame
 
 from larder.operators import anomaly, forecast, gold, silver
+from larder.session import staged_files_removed
 from larder.sources.tables import Lake
 
 
@@ -75,7 +76,8 @@ def refresh(lake: Lake, layers: Iterable[str] = ("silver", "gold"), select: Iter
         layer, table = name.split(".", 1)
         try:
             inputs = [lake.read(*i.split(".", 1)) for i in model.inputs]
-            lake.write(model.build(*inputs), layer, table)
+            with staged_files_removed(lake.spark):
+                lake.write(model.build(*inputs), layer, table)
         except Exception as problem:
             raise RefreshError(f"{name} could not be rebuilt after {done or 'nothing'}") from problem
         done.append(name)

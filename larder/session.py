@@ -4,16 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_workdir: str | None = None
+_staged: list[str] = []
 
 
-def local_session(app: str = "larder", cpus: int | str = "*", partitions: int = 8) -> SparkSession:
+def local_session(
+    app: str = "larder", cpus: int | str = "*", partitions: int = 8, conf: dict[str, str] | None = None
+) -> SparkSession:
     """A session for tests and local benchmarks. A cluster brings its own."""
+    builder = SparkSession.builder.master(f"local[{cpus}]")
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
@@ -48,4 +56,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_files_removed(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, what :func:`stage` wrote inside it.
+
+    For jobs that store their result before the block ends; a lazy result that leaves the
+    block would find its input gone.
+    """
+    start = len(_staged)
+    try:
+        yield
+    finally:
+        while len(_staged) > start:
+            target = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -11,10 +11,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from larder.session import local_session
 
-    session = local_session("tests", partitions=4)
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = local_session("tests", partitions=4, conf={"spark.sql.warehouse.dir": warehouse})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

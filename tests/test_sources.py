@@ -88,9 +88,13 @@ def test_copy_csv(spark, tmp_path):
 
 def test_layers_in_folder_and_catalog(spark, lake):
     assert lake.ensure_layers() == ["bronze", "gold", "silver"]
-    named = Lake(spark)
-    assert named.path  # the catalog form needs no folder
     assert not lake.exists("gold", "nothing")
+    named = Lake(spark)
+    assert named.ensure_layers() == ["bronze", "gold", "silver"]
+    for _ in range(2):
+        named.write(spark.range(3), "silver", "numbers")
+    assert named.exists("silver", "numbers") and named.append(spark.range(2), "silver", "numbers").count() == 5
+    assert not named.exists("gold", "numbers")
 
 
 def test_predictions_grow(spark, lake):
@@ -129,6 +133,16 @@ def test_refresh_stops_at_the_first_failure(spark, lake):
     assert not lake.exists("gold", "daily_demand")
 
 
+def test_staged_files_go_with_their_block(spark):
+    from larder.session import stage, staged_files_removed
+
+    with staged_files_removed(spark):
+        path = stage(spark.range(3), "test").inputFiles()[0].rsplit("/", 1)[0]
+        assert spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_work_paths_lie_in_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     path = work_path(spark, "x")
