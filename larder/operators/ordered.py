@@ -25,6 +25,8 @@ from larder.session import stage
 CHUNK = "_chunk"
 COPIES = "_copies"
 BLOCK = 1 << 16
+# Chunks are later spread by hash; several per task even out how many a task gets.
+CHUNKS_PER_TASK = 4
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
@@ -50,7 +52,7 @@ def into_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataF
     The range bounds come from sampling, so the assignment is written down once and read
     from there; recomputing it could place rows differently.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = CHUNKS_PER_TASK * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *_ascending([*by, *order]))
     return stage(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
