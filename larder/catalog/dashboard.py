@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from larder.catalog.entry import Entry
-from larder.catalog.sqltext import davg, dsum, family, rnd, with_tables
+from larder.catalog.sqltext import davg, family, rnd, rsum, with_tables
 from larder.catalog.tables import Tables
 from larder.operators import dashboard as q
 from larder.operators import gold
 from larder.sources.tables import row_counts
 
 _RATE = rnd("CAST(SUM(unsold_qty) AS DOUBLE) * 100.0 / NULLIF(SUM(total_stock), 0)", 2)
-_LOSS = rnd(dsum("potential_waste_value"), 2)
+_LOSS = rsum("potential_waste_value", 2)
 _MEAN_RATE = rnd(davg("compliance_rate_pct"), 2)
 _BREACHES = "CAST(SUM(equipment_breach_count) AS BIGINT)"
 _UNSOLD = "CAST(SUM(unsold_qty) AS BIGINT)"
@@ -79,7 +79,7 @@ ENTRIES = [
         "q3_kpi_revenue",
         lambda s, d: q.kpi_revenue(Tables(s, d).kpi, _START, _END),
         with_tables(
-            f"SELECT {rnd(dsum('total_revenue'), 2)} AS total_revenue FROM kpi "
+            f"SELECT {rsum('total_revenue', 2)} AS total_revenue FROM kpi "
             f"WHERE kpi_month BETWEEN DATE '{_START}' AND DATE '{_END}'",
             "kpi",
         ),

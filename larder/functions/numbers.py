@@ -18,6 +18,11 @@ def exact_avg(value: Column, places: int = 6) -> Column:
     return exact_sum(value, places) / F.nullif(F.count(value), F.lit(0))
 
 
+def rounded_sum(value: Column, places: int) -> Column:
+    """Exact sum rounded while still a decimal; doubles of that size may have no cents left."""
+    return F.round(F.sum(value.cast("decimal(26,6)")), places).cast("double")
+
+
 def rounded(value: Column, places: int) -> Column:
     """ROUND half away from zero of the value as written in decimal, returned as double.
 

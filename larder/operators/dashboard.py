@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.numbers import exact_avg, exact_sum, rounded
+from larder.functions.numbers import exact_avg, rounded, rounded_sum
 from larder.operators.gold import by_family, month_of
 
 # --- fixed values that results must agree on --------------------------------------
@@ -29,7 +29,7 @@ def _waste_rate() -> Column:
 
 
 def _loss() -> Column:
-    return rounded(exact_sum(F.col("potential_waste_value")), 2)
+    return rounded_sum(F.col("potential_waste_value"), 2)
 
 
 def _mean_rate() -> Column:
@@ -54,7 +54,7 @@ def kpi_cold_chain(compliance: DataFrame, start=None, end=None) -> DataFrame:
 def kpi_revenue(kpi: DataFrame, start=None, end=None) -> DataFrame:
     """Revenue over a range of months."""
     return between(kpi, "kpi_month", start, end).agg(
-        rounded(exact_sum(F.col("total_revenue")), 2).alias("total_revenue")
+        rounded_sum(F.col("total_revenue"), 2).alias("total_revenue")
     )
 
 
@@ -91,7 +91,7 @@ def waste_by_category(waste: DataFrame, products: DataFrame, start=None, end=Non
         per_product.join(products.select("product_id", "category_name"), "product_id", "left")
         .groupBy(category.alias("category"))
         .agg(
-            rounded(F.sum("value").cast("double"), 2).alias("total_loss_value"),
+            F.round(F.sum("value"), 2).cast("double").alias("total_loss_value"),
             rounded(rate, 2).alias("waste_rate_pct"),
             F.sum("unsold").alias("total_unsold_qty"),
         )
