@@ -2,11 +2,33 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import exactdup, simhash
-from larder.llm.common import table
+from larder.llm import bpe, exactdup, mixing, simhash, toxicity
+from larder.llm.common import crc_mod, table
+
+#: Vocabulary of the encoder; another file of the same kind may take its place.
+VOCABULARY = os.environ.get("LARDER_BPE_FILE", "/opt/tokenizers/word_bpe_49k.json")
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents by source, weights 1, 2, 3 in turn."""
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as tokens and back, as digests."""
+    found = bpe.encoded(table(spark, sf_dir, "documents"), VOCABULARY)
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,9 +53,27 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labels outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    net = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 5) != 0)
+    found = toxicity.scored(docs.select("doc_id", "text", "lang"), net)
+    found = toxicity.with_threshold(found, net, F.col("lang"))
+    return found.select(
+        "doc_id",
+        (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+        F.col("_threshold").alias("threshold"),
+    )
+
+
 QUERIES = {
+    "op5_mix_sources": op5_mix_sources,
+    "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
+    "op9_toxicity": op9_toxicity,
 }
 
 SQL = {
