@@ -152,13 +152,16 @@ def cyclic_weights(sources: list, cycle: tuple[int, ...] = (1, 2, 3)) -> dict:
 
 
 def _greedy(group: pd.DataFrame) -> pd.DataFrame:
-    """In hash order, every document that still fits."""
-    group = group.sort_values(["_at", "_id", "_size"])
-    room, chosen = int(group["room"].iloc[0]), []
-    for words in (group["_size"] * group["rows"]).tolist():
-        chosen.append(0 < words <= room)
-        room -= words if chosen[-1] else 0
-    return group.loc[chosen, ["_pattern", "_id", "_size"]]
+    """In hash order, every document that still fits; if over half is wanted, every one that may be left out is."""
+    group = group[group["_size"] > 0].sort_values(["_at", "_id", "_size"])
+    words = (group["_size"] * group["rows"]).tolist()
+    room = int(group["room"].iloc[0]) if words else 0
+    most = 2 * room > sum(words)
+    room, picked = sum(words) - room if most else room, []
+    for size in words:
+        picked.append(size <= room)
+        room -= size if picked[-1] else 0
+    return group.loc[[p != most for p in picked], ["_pattern", "_id", "_size"]]
 
 
 class Mix:

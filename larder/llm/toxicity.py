@@ -1,13 +1,14 @@
 """Toxicity by a convolutional text classifier over hashed words.
 
-A word is a run of letters, digits and non-ASCII bytes, in lower case; its embedding is found by
-hash. Filters of several widths slide over the embeddings of a text, each keeps its largest
+A word is a run of letters, digits and non-ASCII bytes, in lower case; its embedding is the sum of
+those found under the hashes of the word and of its first four and five bytes, so that inflected forms
+of a stem share what is learnt. Filters of several widths slide over the embeddings of a text, each keeps its largest
 response, and a logistic layer reads those. One strong place in a long text is thus enough.
 
-Training runs in numpy on the driver, over a bounded sample of labelled rows (``Sample``). Words too
-rare in the sample to say anything share one embedding, which keeps the filters from learning
-single documents by heart. Scoring is distributed: as the embedding table is finite, each
-filter tap becomes a table of responses, and a convolution a sum of look-ups.
+Training runs in numpy on the driver, over a bounded sample of labelled rows (``Sample``). Words and
+beginnings too rare in the sample to say anything share one embedding, which keeps the filters from
+learning single documents by heart. Scoring is distributed: each filter tap is applied once to
+each distinct word of a batch, and a convolution is then a sum of look-ups.
 """
 
 from __future__ import annotations
@@ -35,24 +36,31 @@ WIDTHS = (1, 2, 3)
 class Sample:
     """Bounds of what is learnt from: rows per class, tokens per text, rows a word must appear in."""
 
-    rows: int = 6_000
+    rows: int = 4_000
     tokens: int = 8_192
     least_rows: int = 5
     buckets: int = 1 << 18
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and document of every word, in order."""
+#: Lengths in bytes of the beginnings that have embeddings of their own.
+STEMS = (4, 5)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of every distinct word and its beginnings (one row each), the row of every word in order, and its document."""
     data = LOWER[data]
-    inside = WORD[data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[offsets] = True
-    starts = np.flatnonzero(inside & (~np.append(False, inside[:-1]) | edge[:-1])) if len(data) else np.zeros(0, np.int64)
-    ends = np.flatnonzero(inside & (~np.append(inside[1:], False) | edge[1:])) + 1 if len(data) else starts
+    starts = ends = np.zeros(0, np.int64)
+    if len(data):
+        inside = WORD[data]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        starts = np.flatnonzero(inside & (~np.append(False, inside[:-1]) | edge[:-1]))
+        ends = np.flatnonzero(inside & (~np.append(inside[1:], False) | edge[1:])) + 1
     coded = word_array(data, starts, ends).dictionary_encode()
-    hashed = np.array([zlib.crc32(w) % buckets for w in coded.dictionary.to_pylist()], np.int64)
-    found = hashed[coded.indices.to_numpy(zero_copy_only=False)] if len(hashed) else np.zeros(0, np.int64)
-    return found, np.searchsorted(offsets, starts, side="right") - 1
+    crc = zlib.crc32
+    hashed = [(crc(w), *(crc(w[:k], k) for k in STEMS)) for w in coded.dictionary.to_pylist()]
+    hashed = np.array(hashed, np.int64).reshape(-1, 1 + len(STEMS)) % buckets
+    return hashed, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.searchsorted(offsets, starts, side="right") - 1
 
 
 @dataclass
@@ -73,13 +81,15 @@ class Network:
         at = np.minimum(np.searchsorted(self.known, hashed), len(self.known) - 1)
         return np.where(self.known[at] == hashed, at + 2, 1)
 
-    def tables(self) -> list[list[np.ndarray]]:
-        """Responses of every embedding row to every tap of every filter width."""
-        return [[self.embedding @ tap for tap in taps] for taps in self.filters]
+    def tables(self, hashed: np.ndarray) -> list[list[np.ndarray]]:
+        """Responses of words, given by their buckets, to every tap of every filter width; row 0 is padding."""
+        words = self.embedding[self.rows(hashed)].sum(axis=1)
+        words = np.concatenate([np.zeros((1, words.shape[1]), words.dtype), words])
+        return [[words @ tap for tap in taps] for taps in self.filters]
 
 
 def padded(rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The texts after one another with padding behind each, and where each begins."""
+    """The texts (words from 1 on) after one another with padding behind each, and where each begins."""
     gap = max(WIDTHS)
     starts = np.cumsum(sizes + gap) - sizes - gap
     out = np.zeros(int((sizes + gap).sum()) + gap, np.int64)
@@ -111,23 +121,33 @@ def _adam(state: dict, name: str, value: np.ndarray, grad: np.ndarray, rate: flo
 
 
 def train(
-    texts: list[np.ndarray], toxic: np.ndarray, sample: Sample = Sample(), size: int = 8, kinds: int = 6, epochs: int = 6, seed: int = 11
+    hashed: np.ndarray,
+    texts: list[np.ndarray],
+    toxic: np.ndarray,
+    sample: Sample = Sample(),
+    size: int = 8,
+    kinds: int = 6,
+    epochs: int = 5,
+    seed: int = 11,
 ) -> Network:
-    """Fit a network to texts of hashed words. Without both classes it scores every text with the share of class 1."""
+    """Fit a network to texts, given as rows of ``hashed``. Without both classes it scores every text with the share of class 1."""
     random = np.random.default_rng(seed)
     share = (toxic.sum() + 0.5) / (len(toxic) + 1)
-    inside = [np.unique(t) for t in texts]
-    flat = np.concatenate(inside) if inside else np.zeros(0, np.int64)
-    label = np.repeat(toxic, [len(t) for t in inside]) if inside else np.zeros(0, np.int64)
-    known, at = np.unique(flat, return_inverse=True)
-    total, ones = np.bincount(at, minlength=len(known)), np.bincount(at, label, minlength=len(known))
+    # In how many texts of either class each bucket appears.
+    buckets, at = np.unique(hashed, return_inverse=True)
+    at = at.reshape(hashed.shape)
+    total, ones = np.zeros(len(buckets)), np.zeros(len(buckets))
+    for text, label in zip(texts, toxic.tolist()):
+        some = np.unique(at[text])
+        total[some] += 1
+        ones[some] += label
     often = total >= sample.least_rows
-    known, total, ones = known[often], total[often], ones[often]
+    known, total, ones = buckets[often], total[often], ones[often]
     embedding = (random.standard_normal((len(known) + 2, size)) * 0.05).astype(np.float32)
-    # The first dimension begins as the word's shrunken log odds, so that training refines a sensible start.
+    # The first dimension begins as the shrunken log odds, so that training refines a sensible start.
     odds = np.log((ones + 4 * share) / (total - ones + 4 * (1 - share))) - np.log(share / (1 - share))
     embedding[:, 0] = 0
-    embedding[2:, 0] = odds
+    embedding[2:, 0] = odds / hashed.shape[1] if len(texts) else 0
     embedding[0] = 0
     filters = [(random.standard_normal((w, size, kinds)) * 0.2).astype(np.float32) for w in WIDTHS]
     for taps in filters:
@@ -138,56 +158,57 @@ def train(
     if not 0 < toxic.sum() < len(toxic):
         last[:] = 0
         return net
-    rows = [net.rows(t) for t in texts]
-    sizes = np.array([len(t) for t in rows])
+    rows = net.rows(hashed)
+    sizes = np.array([len(t) for t in texts])
     weight = np.where(toxic == 1, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean())) ** 0.5
     state: dict = {}
-    gap = max(WIDTHS)
     for epoch in range(epochs):
-        order = random.permutation(len(rows))
+        order = random.permutation(len(texts))
         rate = 0.01 * (1 - epoch / epochs)
         for k in range(0, len(order), 64):
             batch = order[k : k + 64]
-            ids, starts = padded(np.concatenate([rows[b] for b in batch]), sizes[batch])
+            ids, starts = padded(np.concatenate([texts[b] for b in batch]) + 1, sizes[batch])
+            words, ids = np.unique(ids, return_inverse=True)
+            features_of = np.where(words[:, None] > 0, rows[words - 1], 0)
+            vectors = embedding[features_of].sum(axis=1)
+            n = len(ids) - max(WIDTHS)
             best, where = [], []
             for taps in filters:
-                w = len(taps)
-                response = sum((embedding @ taps[j])[ids[j : len(ids) - gap + j]] for j in range(w)) if len(embedding) < 4 * len(ids) else sum(
-                    embedding[ids[j : len(ids) - gap + j]] @ taps[j] for j in range(w)
-                )
-                stops = np.append(starts[1:], len(ids) - gap)
-                place = np.array([a + response[a:b].argmax(axis=0) for a, b in zip(starts, stops)])
+                response = sum((vectors @ tap)[ids[j : n + j]] for j, tap in enumerate(taps))
+                place = np.array([a + response[a:b].argmax(axis=0) for a, b in zip(starts, np.append(starts[1:], n))])
                 where.append(place)
                 best.append(np.take_along_axis(response, place, axis=0))
             features = np.concatenate(best, axis=1)
             active = features > 0
-            features = np.where(active, features, 0)
             keep = (random.random(features.shape) > 0.2) / 0.8
-            logit = (features * keep) @ last + bias[0]
-            error = (1 / (1 + np.exp(-logit)) - toxic[batch]) * weight[batch] / len(batch)
+            features = np.where(active, features, 0) * keep
+            error = (1 / (1 + np.exp(-(features @ last + bias[0]))) - toxic[batch]) * weight[batch] / len(batch)
             back = (error[:, None] * last[None, :] * keep * active).astype(np.float32)
-            grad = np.zeros_like(embedding)
+            toward = np.zeros_like(vectors)
             for w, taps in enumerate(filters):
                 mine = back[:, w * kinds : (w + 1) * kinds]
-                dtaps = np.zeros_like(taps)
+                slope = np.zeros_like(taps)
                 for j in range(len(taps)):
                     hit = ids[where[w] + j]
-                    np.add.at(grad, hit.ravel(), (mine[:, :, None] * taps[j].T[None]).reshape(-1, size))
-                    dtaps[j] = np.einsum("nf,nfs->sf", mine, embedding[hit])
-                _adam(state, f"taps{w}", taps, dtaps + 1e-4 * taps, rate)
+                    np.add.at(toward, hit.ravel(), (mine[:, :, None] * taps[j].T[None]).reshape(-1, size))
+                    slope[j] = np.einsum("nf,nfs->sf", mine, vectors[hit])
+                _adam(state, f"taps{w}", taps, slope + 1e-4 * taps, rate)
+            moved = np.flatnonzero(np.abs(toward).sum(axis=1))
+            grad = np.zeros_like(embedding)
+            for row in features_of.T:
+                np.add.at(grad, row[moved], toward[moved])
             grad[0] = 0
             _adam(state, "embedding", embedding, grad, rate)
-            embedding[0] = 0
-            _adam(state, "last", last, ((features * keep) * error[:, None]).sum(axis=0).astype(np.float32) + 1e-4 * last, rate)
+            _adam(state, "last", last, (features * error[:, None]).sum(axis=0).astype(np.float32) + 1e-4 * last, rate)
             _adam(state, "bias", bias, np.array([error.sum()], np.float32), rate)
     net.bias = float(bias[0])
     return net
 
 
-def scores(net: Network, tables: list[list[np.ndarray]], hashed: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+def scores(net: Network, hashed: np.ndarray, words: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     """Score of each of ``n`` texts; a text without words has that of no response at all."""
-    ids, starts = padded(net.rows(hashed), np.bincount(doc, minlength=n))
-    return 1 / (1 + np.exp(-(pooled(tables, ids, starts) @ net.last + net.bias).astype(float)))
+    ids, starts = padded(words + 1, np.bincount(doc, minlength=n))
+    return 1 / (1 + np.exp(-(pooled(net.tables(hashed), ids, starts) @ net.last + net.bias).astype(float)))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, sample: Sample, id_col: str, text_col: str, lang_col: str) -> list:
@@ -209,9 +230,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, sample:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            hashed, doc = word_hashes(*utf8(batch.column("text")), sample.buckets)
+            hashed, words, doc = word_hashes(*utf8(batch.column("text")), sample.buckets)
             stops = np.searchsorted(doc, np.arange(batch.num_rows), side="right")
-            parts = [hashed[a:b].astype("<i4").tobytes() if b - a <= sample.tokens else None for a, b in zip([0, *stops], stops)]
+            parts = [hashed[words[a:b]].astype("<i4").tobytes() if b - a <= sample.tokens else None for a, b in zip([0, *stops], stops)]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id").cast(pa.int64()), "toxic": batch.column("toxic"), "lang": batch.column("lang"), "words": pa.array(parts, pa.binary())}
             )
@@ -238,14 +259,17 @@ def fit(
     """
     usable = F.lit(True) if usable is None else usable
     rows = labelled_sample(docs, labels, usable, sample, id_col, text_col, lang_col)
-    texts = [np.frombuffer(r["words"], "<i4").astype(np.int64) for r in rows]
     toxic = np.array([r["toxic"] for r in rows], np.int64)
-    net = train(texts, toxic, sample)
+    sizes = [len(r["words"]) // (4 * (1 + len(STEMS))) for r in rows]
+    flat = np.frombuffer(b"".join(r["words"] for r in rows), "<i4").reshape(-1, 1 + len(STEMS))
+    hashed, flat = np.unique(flat, axis=0, return_inverse=True)
+    hashed, flat = hashed.astype(np.int64), flat.ravel()
+    texts = np.split(flat, np.cumsum(sizes)[:-1]) if rows else []
+    net = train(hashed, texts, toxic, sample)
     if not 0 < toxic.sum() < len(toxic):
         net.thresholds = {None: 0.5}
         return net
-    tables = net.tables()
-    got = np.concatenate([scores(net, tables, t, np.zeros(len(t), np.int64), 1) for t in texts])
+    got = scores(net, hashed, flat, np.repeat(np.arange(len(rows)), sizes), len(rows))
     langs = np.array([r["lang"] or "" for r in rows])
     whole = best_threshold(got, toxic)
     net.thresholds = {None: whole}
@@ -271,10 +295,9 @@ def scored(docs: DataFrame, net: Network, sample: Sample = Sample(), text_col: s
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, tables = model.value, model.value.tables()
         for batch in slices(batches, text_col):
-            hashed, doc = word_hashes(*utf8(batch.column(text_col)), sample.buckets)
-            score = pa.array(scores(own, tables, hashed, doc, batch.num_rows), pa.float64())
+            found = word_hashes(*utf8(batch.column(text_col)), sample.buckets)
+            score = pa.array(scores(model.value, *found, batch.num_rows), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, score], [*names, "_score"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())]))
