@@ -7,13 +7,20 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exactdup, mixing, simhash, toxicity
+from larder.llm import bpe, exactdup, langid, mixing, simhash, toxicity
 from larder.llm.common import crc_mod, table
 
 #: Vocabulary of the encoder; another file of the same kind may take its place.
 VOCABULARY = os.environ.get("LARDER_BPE_FILE", "/opt/tokenizers/word_bpe_49k.json")
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learnt outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identified(docs, crc_mod(F.col("doc_id"), 5) != 0)
+    return found.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents by source, weights 1, 2, 3 in turn."""
     found = mixing.mix(table(spark, sf_dir, "documents"))
@@ -69,6 +76,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_langid": op3_langid,
     "op5_mix_sources": op5_mix_sources,
     "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
