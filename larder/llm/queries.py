@@ -7,13 +7,22 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exactdup, langid, mixing, simhash, toxicity
+from larder.llm import bpe, exactdup, langid, mixing, quality, simhash, toxicity
 from larder.llm.common import crc_mod, table
 
 #: Vocabulary of the encoder; another file of the same kind may take its place.
 VOCABULARY = os.environ.get("LARDER_BPE_FILE", "/opt/tokenizers/word_bpe_49k.json")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of the perplexity bands for every document."""
+    found = quality.judged(table(spark, sf_dir, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    # The contract's bound in whole numbers.
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return found.select("doc_id", *counts, failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"), "log_ppl", "low", "high")
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text, learnt outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
@@ -76,6 +85,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op3_langid": op3_langid,
     "op5_mix_sources": op5_mix_sources,
     "op6_bpe": op6_bpe,
