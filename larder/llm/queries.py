@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exactdup, langid, mixing, quality, simhash, toxicity
+from larder.llm import bpe, exactdup, hmm, langid, mixing, quality, simhash, toxicity
 from larder.llm.common import crc_mod, table
 
 #: Vocabulary of the encoder; another file of the same kind may take its place.
@@ -30,6 +30,14 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op4_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every text under the hidden Markov model and under a unigram model."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 7) == 2
+    found = hmm.scored(docs, ~held_out)
+    return found.withColumn("held_out", held_out)
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents by source, weights 1, 2, 3 in turn."""
     found = mixing.mix(table(spark, sf_dir, "documents"))
@@ -87,6 +95,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op3_langid": op3_langid,
+    "op4_hmm": op4_hmm,
     "op5_mix_sources": op5_mix_sources,
     "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
