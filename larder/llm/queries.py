@@ -7,9 +7,13 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exactdup, hmm, langid, mixing, quality, simhash, toxicity
+from larder.llm import bpe, exactdup, hmm, langid, lengths, mixing, quality, simhash, templates, toxicity
 from larder.llm.common import crc_mod, table
 
+#: Ranks that lengths are counted with, and the pattern that splits a text before its merges (fixed values of the file).
+RANKS = os.environ.get("LARDER_RANK_FILE", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+RANK_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
 #: Vocabulary of the encoder; another file of the same kind may take its place.
 VOCABULARY = os.environ.get("LARDER_BPE_FILE", "/opt/tokenizers/word_bpe_49k.json")
 
@@ -23,6 +27,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"), "log_ppl", "low", "high")
 
 
+def op2_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histogram of token counts over all documents with its suffix sums."""
+    found = lengths.encoded_lengths(table(spark, sf_dir, "documents"), RANKS, RANK_PATTERN)
+    return lengths.limits(lengths.histogram(found))
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text, learnt outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
@@ -92,8 +102,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = templates.extracted(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_lengths": op2_lengths,
     "op3_langid": op3_langid,
     "op4_hmm": op4_hmm,
     "op5_mix_sources": op5_mix_sources,
@@ -101,6 +118,7 @@ QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
+    "op10_templates": op10_templates,
 }
 
 SQL = {
