@@ -37,10 +37,16 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def column_of(batch: pa.RecordBatch, path: str) -> pa.Array:
+    """A column, or with a dot and a number that field of a struct column."""
+    name, _, place = path.partition(".")
+    return batch.column(name).field(int(place)) if place else batch.column(name)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches, cut between rows so that each holds about ``limit`` bytes of ``column``."""
     for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.binary_length(column_of(batch, column)), 0).to_numpy(zero_copy_only=False)
         part = np.cumsum(lengths, dtype=np.int64) // limit
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):

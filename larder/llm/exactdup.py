@@ -221,53 +221,37 @@ def _own(carry: list[str], largest: bool, with_text: bool):
     return run
 
 
-def owners(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    largest: bool = False,
-    carry: list[str] | None = None,
-    with_text: bool = False,
-) -> DataFrame:
-    """One row per distinct text: ``text_sha256, keep_id, top_rows, group_size``.
-
-    ``keep_id`` is the smallest id of the text's rows (``largest``: the largest); a null id yields
-    to any other. ``top_rows`` counts the rows that carry it, ``group_size`` all rows. A null text
-    is the empty text. ``carry`` adds columns of the owning row, ``with_text`` the text. An empty
-    table gives no rows.
-    """
-    spark, carry = docs.sparkSession, list(carry or [])
-    kinds = {f.name: f.dataType for f in docs.schema.fields}
+def _owners(docs: DataFrame, id_col: str, text_col: str, largest: bool, carry: list[str], with_text: bool) -> DataFrame:
+    """:func:`owners`, with the text as ``_text`` and the k-th carried column of the owning row as ``_ck``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    extra = [f"_c{k}" for k in range(len(carry))]
     keyed = docs.select(
         F.octet_length(text).cast("long").alias("_len"),
         F.xxhash64(text).alias("_hash"),
         F.col(id_col).cast("long").alias("_key"),
         text.alias("_body"),
-        *(F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)),
+        *(F.col(c).alias(name) for c, name in zip(carry, extra)),
     )
-    extra = [f"_c{k}" for k in range(len(carry))]
-    carried = [T.StructField(f"_c{k}", kinds[c]) for k, c in enumerate(carry)]
+    carried = [keyed.schema[name] for name in extra]
     long = lambda *names: [T.StructField(x, T.LongType()) for x in names]
     folded = keyed.mapInArrow(
         _fold("_key", "_body", extra, largest),
         T.StructType([*long("_len", "_hash"), T.StructField("_text", T.BinaryType()), *long("_id", "_top", "_rows"), *carried]),
     )
-    dealt = folded.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_len", "_hash")
-    found = dealt.sortWithinPartitions("_len", "_hash", "_text").mapInArrow(
-        _own(extra, largest, with_text),
-        T.StructType(
-            [
-                T.StructField("text_sha256", T.StringType()),
-                *long("keep_id", "top_rows", "group_size"),
-                *([T.StructField("_text", T.BinaryType())] if with_text else []),
-                *carried,
-            ]
-        ),
-    )
-    for k, c in enumerate(carry):
-        found = found.withColumnRenamed(f"_c{k}", c)
-    return found.withColumn("_text", F.col("_text").cast("string")).withColumnRenamed("_text", text_col) if with_text else found
+    dealt = folded.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_len", "_hash")
+    kept = [T.StructField("_text", T.BinaryType())] if with_text else []
+    schema = T.StructType([T.StructField("text_sha256", T.StringType()), *long("keep_id", "top_rows", "group_size"), *kept, *carried])
+    return dealt.sortWithinPartitions("_len", "_hash", "_text").mapInArrow(_own(extra, largest, with_text), schema)
+
+
+def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", largest: bool = False) -> DataFrame:
+    """One row per distinct text: ``text_sha256, keep_id, top_rows, group_size``.
+
+    ``keep_id`` is the smallest id of the text's rows (``largest``: the largest); a null id yields
+    to any other. ``top_rows`` counts the rows that carry it, ``group_size`` all rows. A null text
+    is the empty text. An empty table gives no rows.
+    """
+    return _owners(docs, id_col, text_col, largest, [], with_text=False)
 
 
 def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", largest: bool = False) -> DataFrame:
@@ -300,7 +284,8 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", largest: bool = False) -> DataFrame:
-    """The documents without their exact copies, with all columns: the owner's row of each text."""
+    """The documents without their exact copies, with all columns: the owner's row of each text. A null text becomes the empty one."""
     carry = [c for c in docs.columns if c not in (id_col, text_col)]
-    found = owners(docs, id_col, text_col, largest, carry, with_text=True)
-    return found.withColumnRenamed("keep_id", id_col).select(*docs.columns)
+    found = _owners(docs, id_col, text_col, largest, carry, with_text=True)
+    own = {id_col: F.col("keep_id").cast(docs.schema[id_col].dataType), text_col: F.col("_text").cast("string")}
+    return found.select(*(own.get(c, F.col(f"_c{carry.index(c)}") if c in carry else None).alias(c) for c in docs.columns))

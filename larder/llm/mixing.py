@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.common import slices, utf8, word_spans, per_doc
+from larder.llm.common import column_of, per_doc, slices, utf8, word_spans
 from larder.session import stage
 
 #: Distinct patterns, and distinct sources, that a mix may have.
@@ -124,18 +124,18 @@ def capped_shares(sizes: dict, weights: dict, total: float, most: float) -> dict
 
 
 def sized(docs: DataFrame, sources: Column, id_col: str, text_col: str, keep: bool) -> DataFrame:
-    """``_id, _members, _size``: each row's sources in order and the words of its text (null: none); ``keep``: its columns too."""
+    """``_id, _members, _size``: each row's sources in order and the words of its text (null: none); ``keep``: its columns as ``_row``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            _, _, doc = word_spans(*utf8(batch.column(text)))
+            _, _, doc = word_spans(*utf8(column_of(batch, text)))
             columns = [batch.column(c) for c in names] + [pa.array(per_doc(doc, batch.num_rows), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*names, "_size"])
 
     members = F.array_sort(F.array_distinct(sources)).cast("array<string>").alias("_members")
-    columns = [F.col(c) for c in docs.columns] if keep else []
-    text = text_col if keep else "_text"
-    rows = docs.select(*columns, F.col(id_col).cast("long").alias("_id"), members, *([] if keep else [F.col(text_col).alias("_text")]))
+    whole = F.struct(*docs.columns).alias("_row") if keep else F.col(text_col).alias("_text")
+    text = f"_row.{docs.columns.index(text_col)}" if keep else "_text"
+    rows = docs.select(whole, F.col(id_col).cast("long").alias("_id"), members)
     names = [c for c in rows.columns if c != "_text"]
     schema = T.StructType([rows.schema[c] for c in names] + [T.StructField("_size", T.LongType())])
     return rows.mapInArrow(run, schema)
@@ -267,4 +267,4 @@ def mixed_documents(
     """The mix itself: all columns of the documents, each row as often as :func:`mix` holds it."""
     _, sources, plan = _prepared(docs, sources, id_col, text_col, weights, total_share, repeats, seed, max_patterns)
     found = plan.decide(sized(docs, sources, id_col, text_col, keep=True))
-    return found.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("_copy")).drop("_copy")
+    return found.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("_row.*")

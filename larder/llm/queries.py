@@ -92,13 +92,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     net = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 5) != 0)
     found = toxicity.scored(docs.select("doc_id", "text", "lang"), net)
-    found = toxicity.with_threshold(found, net, F.col("lang"))
     return found.select(
-        "doc_id",
-        (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
-        F.col("_threshold").alias("threshold"),
+        "row.doc_id",
+        (crc_mod(F.col("row.doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "threshold",
     )
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.common import LOWER, slices, utf8, word_array
+from larder.llm.common import LOWER, column_of, slices, utf8, word_array
 
 #: Bytes inside words: letters, digits, everything beyond ASCII.
 WORD = np.zeros(256, bool)
@@ -289,30 +289,29 @@ def best_threshold(got: np.ndarray, toxic: np.ndarray) -> float:
     return float((got[order[k]] + below) / 2)
 
 
-def scored(docs: DataFrame, net: Network, sample: Sample = Sample(), text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``_score``. A null or empty text has the score of a text without words."""
+def scored(docs: DataFrame, net: Network, sample: Sample = Sample(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``row, score, threshold``: all columns of each document as a struct, its score, and the threshold of its language.
+
+    A null or empty text has the score of a text without words. The score depends on the text alone.
+    """
     model = docs.sparkSession.sparkContext.broadcast(net)
-    names = docs.columns
+    text = f"row.{docs.columns.index(text_col)}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col):
-            found = word_hashes(*utf8(batch.column(text_col)), sample.buckets)
+        for batch in slices(batches, text):
+            found = word_hashes(*utf8(column_of(batch, text)), sample.buckets)
             score = pa.array(scores(model.value, *found, batch.num_rows), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, score], [*names, "_score"])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())]))
-
+            yield pa.RecordBatch.from_arrays([batch.column("row"), score], ["row", "score"])
 
-def with_threshold(rows: DataFrame, net: Network, lang: Column) -> DataFrame:
-    """Adds ``_threshold``: that of the row's language."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    found = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())]))
     cut = F.lit(net.thresholds[None])
     for name, value in net.thresholds.items():
         if name is not None:
-            cut = F.when(F.coalesce(lang, F.lit("")) == name, F.lit(value)).otherwise(cut)
-    return rows.withColumn("_threshold", cut)
+            cut = F.when(F.coalesce(F.col("row").getField(lang_col).cast("string"), F.lit("")) == name, F.lit(value)).otherwise(cut)
+    return found.withColumn("threshold", cut)
 
 
 def clean_documents(docs: DataFrame, net: Network, sample: Sample = Sample(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The documents whose score lies below their language's threshold, all columns kept."""
-    found = with_threshold(scored(docs, net, sample, text_col), net, F.col(lang_col))
-    return found.filter("_score < _threshold").select(*docs.columns)
+    return scored(docs, net, sample, text_col, lang_col).filter("score < threshold").select("row.*")
