@@ -77,7 +77,7 @@ class Network:
     def rows(self, hashed: np.ndarray) -> np.ndarray:
         """Embedding rows of hashed words."""
         if not len(self.known):
-            return np.ones(len(hashed), np.int64)
+            return np.ones(hashed.shape, np.int64)
         at = np.minimum(np.searchsorted(self.known, hashed), len(self.known) - 1)
         return np.where(self.known[at] == hashed, at + 2, 1)
 
@@ -97,15 +97,16 @@ def padded(rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out, starts
 
 
-def pooled(tables: list[list[np.ndarray]], ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Largest response per text and filter, never below 0."""
+def pooled(tables: list[list[np.ndarray]], ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Largest response per text and filter, never below 0. A window begins at a word of its text or right behind the last."""
     parts = []
+    edges = np.column_stack([starts, starts + sizes + 1]).ravel()
     n = len(ids) - max(WIDTHS)
     for taps in tables:
         response = taps[0][ids[:n]]
         for j, tap in enumerate(taps[1:], 1):
             response += tap[ids[j : n + j]]
-        parts.append(np.maximum(np.maximum.reduceat(response, starts, axis=0), 0))
+        parts.append(np.maximum(np.maximum.reduceat(response, edges, axis=0)[::2], 0))
     return np.concatenate(parts, axis=1)
 
 
@@ -128,9 +129,13 @@ def train(
     size: int = 8,
     kinds: int = 6,
     epochs: int = 5,
+    steps: int = 300,
     seed: int = 11,
 ) -> Network:
-    """Fit a network to texts, given as rows of ``hashed``. Without both classes it scores every text with the share of class 1."""
+    """Fit a network to texts, given as rows of ``hashed``; small samples get more epochs, for ``steps`` batches at least.
+
+    Without both classes the network scores every text with the share of class 1.
+    """
     random = np.random.default_rng(seed)
     share = (toxic.sum() + 0.5) / (len(toxic) + 1)
     # In how many texts of either class each bucket appears.
@@ -162,6 +167,7 @@ def train(
     sizes = np.array([len(t) for t in texts])
     weight = np.where(toxic == 1, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean())) ** 0.5
     state: dict = {}
+    epochs = max(epochs, -(-steps * 64 // len(texts)))
     for epoch in range(epochs):
         order = random.permutation(len(texts))
         rate = 0.01 * (1 - epoch / epochs)
@@ -175,7 +181,7 @@ def train(
             best, where = [], []
             for taps in filters:
                 response = sum((vectors @ tap)[ids[j : n + j]] for j, tap in enumerate(taps))
-                place = np.array([a + response[a:b].argmax(axis=0) for a, b in zip(starts, np.append(starts[1:], n))])
+                place = np.array([a + response[a:b].argmax(axis=0) for a, b in zip(starts, starts + sizes[batch] + 1)])
                 where.append(place)
                 best.append(np.take_along_axis(response, place, axis=0))
             features = np.concatenate(best, axis=1)
@@ -207,8 +213,9 @@ def train(
 
 def scores(net: Network, hashed: np.ndarray, words: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     """Score of each of ``n`` texts; a text without words has that of no response at all."""
-    ids, starts = padded(words + 1, np.bincount(doc, minlength=n))
-    return 1 / (1 + np.exp(-(pooled(net.tables(hashed), ids, starts) @ net.last + net.bias).astype(float)))
+    sizes = np.bincount(doc, minlength=n)
+    ids, starts = padded(words + 1, sizes)
+    return 1 / (1 + np.exp(-(pooled(net.tables(hashed), ids, starts, sizes) @ net.last + net.bias).astype(float)))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, sample: Sample, id_col: str, text_col: str, lang_col: str) -> list:
