@@ -261,7 +261,7 @@ ENTRIES = [
             micros="make_timestamp(1623076520123456 + o_orderkey)",
         ),
     ),
-    Entry("d18_to_unixtimestamp", _events(lambda: dict(epoch=d.to_unixtimestamp(F.col("ts")))), _events_sql(epoch="CAST(FLOOR(epoch(ts)) AS BIGINT)")),
+    Entry("d18_to_unixtimestamp", _events(lambda: dict(epoch=d.to_unixtimestamp(F.col("ts")))), _events_sql(epoch="epoch(ts)")),
     Entry("d19_iso_week_start", _orders(lambda: dict(day=d.iso_week_start(F.col("o_orderdate")))), _orders_sql(day=_day("DATE_TRUNC('week', o_orderdate)"))),
     Entry("d20_iso_week_end", _orders(lambda: dict(day=d.iso_week_end(F.col("o_orderdate")))), _orders_sql(day=_day("DATE_TRUNC('week', o_orderdate)") + " + 6")),
     Entry("d21_iso_week_of_year", _orders(lambda: dict(week=d.iso_week_of_year(F.col("o_orderdate")))), _orders_sql(week="CAST(week(o_orderdate) AS INT)")),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from larder.catalog.entry import Entry
 from larder.catalog.sqltext import with_tables
 from larder.catalog.tables import Tables
+from larder.operators.silver import where_equal
 from larder.plans.refresh import models, refresh
 from larder.session import work_path
 from larder.sources import ingest
@@ -16,7 +17,11 @@ from larder.streaming.incremental import ingest_new_files
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 _ORDERS_SQL = f"SELECT {', '.join(ORDER_COLUMNS)} FROM orders"
-_AS_LOADED = "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
+#: What the loaders keep: every column, and the file it came from.
+_AS_LOADED = (
+    "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus, o_totalprice, "
+    "o_orderdate, o_orderpriority, true AS source_known FROM orders"
+)
 
 
 def _lake(spark) -> Lake:
@@ -24,7 +29,7 @@ def _lake(spark) -> Lake:
 
 
 def _write_csv(df: DataFrame, path: str) -> str:
-    df.write.option("header", True).csv(path)
+    df.write.options(**ingest.CSV_FORM).csv(path)
     return path
 
 
@@ -32,15 +37,22 @@ def _orders(spark, sf) -> DataFrame:
     return Tables(spark, sf).raw("orders").select(*ORDER_COLUMNS)
 
 
-def _loaded(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
-    )
+def _loaded(df: DataFrame, source: str) -> DataFrame:
+    keys = [F.col(c).cast("bigint").alias(c) for c in ("o_orderkey", "o_custkey")]
+    known = F.col("_source_file").contains(source) & F.col("_loaded_at").isNotNull()
+    return df.select(*keys, *ORDER_COLUMNS[2:], known.alias("source_known"))
 
 
 def _ingest_csv(spark, sf):
     path = _write_csv(_orders(spark, sf), work_path(spark, "csv"))
-    return _loaded(ingest.ingest_csv(_lake(spark), path, "orders"))
+    return _loaded(ingest.ingest_csv(_lake(spark), path, "orders"), path)
+
+
+def _ingest_documents(spark, sf):
+    """Cells with quotes and line breaks."""
+    docs = Tables(spark, sf).raw("documents")
+    path = _write_csv(docs, work_path(spark, "csv"))
+    return ingest.ingest_csv(_lake(spark), path, "documents", schema=docs.schema).select(*docs.columns)
 
 
 def _ingest_dir(spark, sf):
@@ -48,7 +60,13 @@ def _ingest_dir(spark, sf):
     names = ["customer", "orders", "supplier"]
     for name in names:
         _write_csv(Tables(spark, sf).raw(name), f"{folder}/{name}.csv")
-    return row_counts(ingest.ingest_dir(_lake(spark), folder))
+    loaded = ingest.ingest_dir(_lake(spark), folder)
+    keys = {"customer": ("c_custkey", "c_name"), "orders": ("o_orderkey", "o_orderpriority"), "supplier": ("s_suppkey", "s_name")}
+    parts = [
+        loaded[t].select(F.lit(t).alias("table_name"), F.col(k).cast("bigint").alias("key"), F.col(v).alias("value"))
+        for t, (k, v) in keys.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def _halves(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -62,20 +80,20 @@ def _incremental(spark, sf):
     lake = _lake(spark)
     for export in _halves(spark, sf):
         ingest.ingest_incremental(lake, _write_csv(export, work_path(spark, "csv")), "orders", "o_orderkey")
-    return _loaded(lake.read("bronze", "orders"))
+    return _loaded(lake.read("bronze", "orders"), "csv")
 
 
 def _stream(spark, sf):
     lake, folder, checkpoint = _lake(spark), work_path(spark, "landing"), work_path(spark, "offsets")
     schema = _orders(spark, sf).schema
     for export in _halves(spark, sf):
-        export.write.mode("append").option("header", True).csv(folder)
+        export.write.mode("append").options(**ingest.CSV_FORM).csv(folder)
         ingest_new_files(lake, folder, "orders", "o_orderkey", schema, checkpoint)
-    return _loaded(lake.read("bronze", "orders"))
+    return _loaded(lake.read("bronze", "orders"), folder)
 
 
 def _timestamp_format(spark, sf):
-    text = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), F.lit("+07"))
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+07"))
     events = Tables(spark, sf).raw("events").select("event_id", text.alias("timestamp"), "value")
     path = _write_csv(events, work_path(spark, "csv"))
     loaded = ingest.ingest_csv(_lake(spark), path, "iot_telemetry", timestamp_format="%Y-%m-%d %H:%M:%S.%f+07")
@@ -88,6 +106,12 @@ def _write_table(spark, sf):
     return lake.write(_orders(spark, sf), "silver", "orders")
 
 
+def _write_clustered(spark, sf):
+    """A range of the column that the files are laid out by."""
+    stored = _lake(spark).write(_orders(spark, sf), "silver", "orders", cluster_by="o_orderdate")
+    return stored.filter("o_orderdate < DATE '1996-01-01'")
+
+
 def _append_predictions(spark, sf):
     lake = _lake(spark)
     batch = _orders(spark, sf).select(
@@ -111,7 +135,22 @@ _PREDICTIONS_SQL = (
 def _layers(spark, sf):
     lake = _lake(spark)
     layers = lake.ensure_layers()
-    return row_counts({layer: lake.write(_orders(spark, sf), layer, "orders") for layer in layers})
+    tables = [lake.write(_orders(spark, sf), layer, "orders").withColumn("layer", F.lit(layer)) for layer in layers]
+    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+
+
+def _passthrough(spark, sf):
+    """A stored bronze table with what the loader added."""
+    lake = _lake(spark)
+    lake.write(ingest.with_load_metadata(_orders(spark, sf), "orders"), "bronze", "orders")
+    return lake.stg_passthrough("orders").drop("_loaded_at")
+
+
+def _equality(spark, sf):
+    """An equality on a stored table, where the Parquet reader can use it."""
+    lake = _lake(spark)
+    stored = lake.write(_orders(spark, sf), "bronze", "orders")
+    return where_equal(stored, "o_orderstatus", "F").select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 def _copy_csv(spark, sf):
@@ -122,9 +161,8 @@ def _copy_csv(spark, sf):
     copied = ingest.copy_csv(
         spark, exports, work_path(spark, "csv"), rename={"o_custkey": "customer"}, sort_by=["o_orderdate"]
     )
-    return copied.select(
-        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("customer").cast("bigint").alias("customer"), "o_orderpriority"
-    )
+    kinds = _orders(spark, sf).withColumnRenamed("o_custkey", "customer").schema
+    return copied.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds))
 
 
 def _refresh(spark, sf):
@@ -155,11 +193,13 @@ _REFRESH_COUNTS = {
 
 ENTRIES = [
     Entry("s1_ingest_csv", _ingest_csv, _AS_LOADED),
+    Entry("s1_ingest_csv_documents", _ingest_documents, "SELECT doc_id, text, lang, source, n_chars FROM documents"),
     Entry(
         "s2_ingest_dir",
         _ingest_dir,
         " UNION ALL ".join(
-            f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in ("customer", "orders", "supplier")
+            f"SELECT '{t}' AS table_name, CAST({k} AS BIGINT) AS key, {v} AS value FROM {t}"
+            for t, k, v in (("customer", "c_custkey", "c_name"), ("orders", "o_orderkey", "o_orderpriority"), ("supplier", "s_suppkey", "s_name"))
         ),
     ),
     Entry("s3_ingest_incremental", _incremental, _AS_LOADED),
@@ -167,16 +207,17 @@ ENTRIES = [
     Entry(
         "s4_ingest_timestamp_format",
         _timestamp_format,
-        "SELECT event_id, CAST(DATE_TRUNC('milliseconds', ts) AS TIMESTAMP) AS timestamp, value FROM events",
+        "SELECT event_id, CAST(ts AS TIMESTAMP) AS timestamp, value FROM events",
     ),
+    Entry("s5_write_table_clustered", _write_clustered, _ORDERS_SQL + " WHERE o_orderdate < DATE '1996-01-01'"),
     Entry("s5_write_table", _write_table, _ORDERS_SQL),
     Entry("s6_append_predictions", _append_predictions, f"{_PREDICTIONS_SQL} UNION ALL {_PREDICTIONS_SQL}"),
     Entry(
         "s7_ensure_layers",
         _layers,
-        " UNION ALL ".join(f"SELECT '{layer}' AS table_name, COUNT(*) AS row_count FROM orders" for layer in LAYERS),
+        " UNION ALL ".join(f"SELECT {', '.join(ORDER_COLUMNS)}, '{layer}' AS layer FROM orders" for layer in LAYERS),
     ),
-    Entry("s8_copy_csv", _copy_csv, "SELECT o_orderkey, o_custkey AS customer, o_orderpriority FROM orders"),
+    Entry("s8_copy_csv", _copy_csv, "SELECT o_orderkey, o_custkey AS customer, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"),
     Entry(
         "s9_refresh",
         _refresh,

@@ -210,8 +210,9 @@ def from_unixtimestamp(epoch: Column | str, fmt: str = "seconds") -> Column:
 
 
 def to_unixtimestamp(value: Column | str) -> Column:
-    """UTC time to epoch seconds (whole seconds)."""
-    return datediff(F.lit("1970-01-01 00:00:00").cast(NTZ), value, "second")
+    """UTC time to epoch seconds, with their fraction."""
+    start = F.lit("1970-01-01 00:00:00").cast(NTZ)
+    return F.timestamp_diff("MICROSECOND", start, _col(value)) / F.lit(1e6)
 
 
 def round_timestamp(value: Column | str) -> Column:

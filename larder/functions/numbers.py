@@ -5,30 +5,67 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-def exact_sum(value: Column, places: int = 6) -> Column:
-    """SUM that does not depend on row order, retries or the number of partitions.
 
-    Doubles are added as decimals with ``places`` digits; the result is a double again.
+def sum_parts(value: Column) -> Column:
+    """SUM of doubles, as they are written, in three decimal parts that do not depend on row order, retries or partitioning.
+
+    Whole numbers, the first 18 digits behind the point, and the 18 after those are summed apart, so small
+    addends are not lost beside great ones. NULL if no value is there; one that is infinite, not a number,
+    or has over 38 digits before the point raises. :func:`merged_parts` sums such sums.
     """
-    return F.sum(value.cast(f"decimal(26,{places})")).cast("double")
+    value = value.cast("double")
+    small = F.abs(value) < F.lit(1e19)
+    written = value.cast("decimal(38,18)")
+    first = F.when(small, (written % F.lit(1)).cast("decimal(38,18)")).when(value.isNotNull(), F.lit(0).cast("decimal(38,18)"))
+    whole = F.when(small, (written - first).cast("decimal(38,0)")).otherwise(value.cast("decimal(38,0)"))
+    rest = F.when(small, ((value - written.cast("double")) * F.lit(1e18)).cast("decimal(38,18)")).when(
+        value.isNotNull(), F.lit(0).cast("decimal(38,18)")
+    )
+    return F.struct(F.sum(whole).alias("whole"), F.sum(first).alias("first"), F.sum(rest).alias("rest"))
+
+
+def merged_parts(parts: Column) -> Column:
+    """SUM over the results of :func:`sum_parts`."""
+    return F.struct(*(F.sum(parts[name]).alias(name) for name in ("whole", "first", "rest")))
+
+
+def _together(parts: Column) -> tuple[Column, Column]:
+    """The first two parts as one decimal, and whether they fit one."""
+    whole = parts["whole"]
+    return whole.cast("decimal(38,18)") + parts["first"], F.abs(whole) < F.lit("10000000000000000000").cast("decimal(38,0)")
+
+
+def parts_value(parts: Column) -> Column:
+    """The sum as a double."""
+    together, fits = _together(parts)
+    apart = parts["whole"].cast("double") + parts["first"].cast("double")
+    return F.when(fits, together.cast("double")).otherwise(apart) + parts["rest"].cast("double") / F.lit(1e18)
 
 
-def exact_avg(value: Column, places: int = 6) -> Column:
+def parts_rounded(parts: Column, places: int) -> Column:
+    """The sum rounded half away from zero while it is still a decimal; doubles of that size may have no cents left."""
+    together, fits = _together(parts)
+    return F.when(fits, F.round(together, places).cast("double") + F.lit(0.0)).otherwise(parts_value(parts))
+
+
+def exact_sum(value: Column) -> Column:
+    """SUM that does not depend on row order, as a double."""
+    return parts_value(sum_parts(value))
+
+
+def exact_avg(value: Column) -> Column:
     """Mean over non-NULL values on top of :func:`exact_sum`; NULL when there is none."""
-    return exact_sum(value, places) / F.nullif(F.count(value), F.lit(0))
+    return exact_sum(value) / F.nullif(F.count(value), F.lit(0))
 
 
 def rounded_sum(value: Column, places: int) -> Column:
-    """Exact sum rounded while still a decimal; doubles of that size may have no cents left."""
-    return F.round(F.sum(value.cast("decimal(26,6)")), places).cast("double")
+    """Exact sum, rounded once."""
+    return parts_rounded(sum_parts(value), places)
 
 
 def rounded(value: Column, places: int) -> Column:
-    """ROUND half away from zero of the value as written in decimal, returned as double.
-
-    Going through a decimal keeps 2.675 from turning into 2.67 and removes -0.0.
-    """
-    return F.round(value.cast("decimal(30,6)"), places).cast("double")
+    """ROUND half away from zero of the double as written in decimal: 2.675 becomes 2.68, and -0.0 becomes 0.0."""
+    return F.round(value.cast("double"), places) + F.lit(0.0)
 
 
 def to_int(value: Column) -> Column:

@@ -16,10 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.operators.ordered import COPIES, collapse_copies, percentile_cont, repeat_rows, with_previous
-from larder.session import stage
+from larder.session import ship_package, stage
 
 FEATURES = ("temperature_c", "duration_minutes", "delta_temp_per_minute")
-SCORE_PLACES = 6
 
 
 def anomaly_features(readings: DataFrame, copy_index: str | None = None) -> DataFrame:
@@ -117,16 +116,21 @@ def _samples(df: DataFrame, features: Sequence[str], row_id: Sequence[str], tree
     """``size`` rows for each tree, chosen by hash so that partitioning plays no part.
 
     A pool of ``trees * size`` rows with the smallest hashes is a uniform sample of the
-    table, found by a distributed top-n. In hash order every tree takes a stretch of the
+    table. Only rows below a hash bound that about four pools fall under are ordered, so the last
+    task sees as many however large the table is. In hash order every tree takes a stretch of the
     pool: stretches of their own in a full pool, overlapping ones in a smaller table.
     """
     ident = F.xxhash64(F.lit(seed), *(F.col(f"`{c}`") for c in row_id))
     order = ["_id", *features]
-    pool = (
-        df.select(*(F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features), ident.alias("_id"))
-        .orderBy(*order)
-        .limit(trees * size)
-    )
+    rows = df.select(*(F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features), ident.alias("_id"))
+    share = 4.0 * trees * size / max(df.count(), 1)
+    few = rows
+    while share < 1:
+        few = rows.filter(F.col("_id") < int((share - 0.5) * 2**64))
+        if few.count() >= trees * size:
+            break
+        share, few = share * 4, rows
+    pool = few.orderBy(*order).limit(trees * size)
     # The pool is small by construction, at most trees * size rows.
     whole = Window.orderBy(*order)
     placed = pool.withColumns(
@@ -172,15 +176,15 @@ def isolation_forest(
     """Label the most isolated share of rows -1 and the others 1, in ``anomaly_score``.
 
     Missing features count as 0. The raw isolation score in (0, 1] is kept as
-    ``isolation_score``, with six places, so that the threshold is found among at most a
-    million distinct values. ``row_id`` names the columns that tell rows apart (default:
+    ``isolation_score``. ``row_id`` names the columns that tell rows apart (default:
     all); the sample is drawn by their hash. The same rows and seed give the same labels
     at any number of partitions.
     """
+    ship_package(df.sparkSession)
     features = list(features)
     row_id = list(row_id or df.columns)
     sample = _samples(df, features, row_id, n_estimators, max_samples, seed)
-    # Small tables draw fewer rows; the depth limit and the norm follow the real sample size.
+    # The depth limit follows ``max_samples``; small tables draw fewer rows, and the norm follows those.
     depth_limit = math.ceil(math.log2(max(max_samples, 2)))
 
     def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -205,7 +209,7 @@ def isolation_forest(
         for columns in batches:
             values = np.column_stack([c.to_numpy(dtype=float) for c in columns])
             paths = _mean_paths(np.nan_to_num(values, nan=0.0), trees)
-            yield pd.Series(np.round(np.power(2.0, -paths / norm), SCORE_PLACES))
+            yield pd.Series(np.power(2.0, -paths / norm))
 
     inputs = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
     # Scored once, read twice: for the threshold and for the labels.

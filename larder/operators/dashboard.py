@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.numbers import exact_avg, rounded, rounded_sum
+from larder.functions.numbers import exact_avg, merged_parts, parts_rounded, rounded, rounded_sum, sum_parts
 from larder.operators.gold import by_family, month_of
 
 # --- fixed values that results must agree on --------------------------------------
@@ -80,7 +80,7 @@ def waste_by_category(waste: DataFrame, products: DataFrame, start=None, end=Non
         between(waste, "date_id", start, end)
         .groupBy("product_id")
         .agg(
-            F.sum(F.col("potential_waste_value").cast("decimal(26,6)")).alias("value"),
+            sum_parts(F.col("potential_waste_value")).alias("value"),
             F.sum("unsold_qty").alias("unsold"),
             F.sum("total_stock").alias("stock"),
         )
@@ -91,7 +91,7 @@ def waste_by_category(waste: DataFrame, products: DataFrame, start=None, end=Non
         per_product.join(products.select("product_id", "category_name"), "product_id", "left")
         .groupBy(category.alias("category"))
         .agg(
-            F.round(F.sum("value"), 2).cast("double").alias("total_loss_value"),
+            parts_rounded(merged_parts(F.col("value")), 2).alias("total_loss_value"),
             rounded(rate, 2).alias("waste_rate_pct"),
             F.sum("unsold").alias("total_unsold_qty"),
         )

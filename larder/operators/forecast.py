@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.operators.gold import training_series
+from larder.session import ship_package
 from larder.sources.tables import Lake
 
 # --- fixed values that results must agree on --------------------------------------
@@ -144,6 +145,7 @@ def forecast_daily(
     daily: DataFrame, by: Sequence[str] = (), horizon: int = FORECAST_DAYS, model: Additive = Additive()
 ) -> DataFrame:
     """Fitted values for the history and forecasts for ``horizon`` days after it."""
+    ship_package(daily.sparkSession)
     grouped, keys = _series(daily, by)
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -193,6 +195,7 @@ def walk_forward_cv(
     ``initial`` days (default: half the history, at least 30) lie before them. A series
     too short for one cutoff gives no rows. Each day is sent to the cutoffs that use it.
     """
+    ship_package(series.sparkSession)
     grouped, keys = _series(series, by)
     whole = Window.partitionBy(*keys)
     first, last = F.min("ds").over(whole), F.max("ds").over(whole)
@@ -229,10 +232,36 @@ def walk_forward_cv(
     return folds.groupBy(*keys, "cutoff").applyInPandas(fit, schema)
 
 
-def mean_mape(cv: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Mean absolute percentage error in percent; days with no demand have none."""
+def rolling_mape(cv: DataFrame, by: Sequence[str] = (), window: float = 0.1) -> DataFrame:
+    """Absolute percentage error by horizon, ``horizon_days, mape``, as a rolling mean over the share ``window`` of all errors.
+
+    Errors are ordered by the days between cutoff and forecast day; the mean at a horizon is over the last errors up to
+    it. Where the window begins within a horizon, that horizon's mean stands for the part. Horizons with fewer errors
+    up to them have no row, and a series with a day of no demand has none at all.
+    """
+    keys = list(by)
+    days = F.datediff(F.col("ds").cast("date"), F.col("cutoff").cast("date"))
     error = F.abs((F.col("y") - F.col("yhat")) / F.nullif(F.col("y"), F.lit(0.0)))
-    return cv.groupBy(*by).agg((F.avg(error) * 100).alias("mape_pct"))
+    per_day = cv.groupBy(*keys, days.alias("horizon_days")).agg(
+        F.avg(error).alias("mean"), F.count(F.lit(1)).alias("n"), F.min(F.abs("y")).alias("least")
+    )
+    series, ordered = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("horizon_days")
+    # One row per horizon and series from here on.
+    per_day = per_day.withColumns(
+        {"upto": F.sum("n").over(ordered), "all": F.sum("n").over(series), "least": F.min("least").over(series)}
+    ).filter("least >= 1e-8")
+    size = F.greatest(F.floor(F.col("all") * window), F.lit(1))
+    ends = per_day.select(*keys, "horizon_days", F.col("upto").alias("end"), size.alias("size")).filter("end >= size")
+    inside = per_day.select(*keys, F.col("horizon_days").alias("_day"), "mean", "upto", (F.col("upto") - F.col("n")).alias("before"))
+    on = [ends[k].eqNullSafe(inside[k]) for k in keys] + [inside["_day"] <= ends["horizon_days"]]
+    share = F.greatest(F.col("upto") - F.greatest("before", F.col("end") - F.col("size")), F.lit(0)) / F.col("size")
+    met = ends.join(inside, on).select(*(ends[k] for k in keys), "horizon_days", (share * F.col("mean")).alias("part"))
+    return met.groupBy(*keys, "horizon_days").agg(F.sum("part").alias("mape"))
+
+
+def mean_mape(cv: DataFrame, by: Sequence[str] = (), window: float = 0.1) -> DataFrame:
+    """Mean of :func:`rolling_mape` over its horizons, in percent."""
+    return rolling_mape(cv, by, window).groupBy(*by).agg((F.avg("mape") * 100).alias("mape_pct"))
 
 
 def retrain(demand: DataFrame, horizon: int = RETRAIN_DAYS, generated_at: Column | None = None) -> DataFrame:

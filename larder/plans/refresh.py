@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from graphlib import TopologicalSorter
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from larder.operators import anomaly, forecast, gold, silver
@@ -19,11 +21,12 @@ class RefreshError(RuntimeError):
 
 @dataclass(frozen=True)
 class Model:
-    """A table, the tables it reads (``layer.name``), and how it is built."""
+    """A table, the tables it reads (``layer.name``), how it is built, and the column its files are laid out by."""
 
     layer: str
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
+    cluster_by: str | None = None
 
 
 def _waste(sales, products, inventory, stores):
@@ -38,10 +41,10 @@ def models(lake: Lake) -> dict[str, Model]:
         "silver.dim_product": Model(s, ("bronze.retail_data",), silver.dim_product),
         "silver.dim_store": Model(s, ("bronze.retail_data", "bronze.m5_forcasting"), silver.dim_store),
         "silver.dim_supplier": Model(s, ("bronze.retail_data",), silver.dim_supplier),
-        "silver.fact_sales": Model(s, ("bronze.retail_data",), silver.fact_sales),
-        "silver.fact_inventory": Model(s, ("bronze.m5_forcasting",), silver.fact_inventory),
-        "silver.fact_purchase_order": Model(s, ("bronze.SupplyChain",), silver.fact_purchase_order),
-        "silver.fact_cold_chain": Model(s, ("bronze.iot_telemetry",), silver.fact_cold_chain),
+        "silver.fact_sales": Model(s, ("bronze.retail_data",), silver.fact_sales, "order_date_id"),
+        "silver.fact_inventory": Model(s, ("bronze.m5_forcasting",), silver.fact_inventory, "date_id"),
+        "silver.fact_purchase_order": Model(s, ("bronze.SupplyChain",), silver.fact_purchase_order, "order_date_id"),
+        "silver.fact_cold_chain": Model(s, ("bronze.iot_telemetry",), silver.fact_cold_chain, "date_id"),
         "gold.food_waste_summary": Model(
             g, ("silver.fact_sales", "silver.dim_product", "silver.fact_inventory", "silver.dim_store"), _waste
         ),
@@ -60,25 +63,38 @@ def models(lake: Lake) -> dict[str, Model]:
 COLD_CHAIN = ("silver.fact_cold_chain", "gold.anomaly_check", "gold.cold_chain_compliance", "gold.executive_kpi")
 
 
-def refresh(lake: Lake, layers: Iterable[str] = ("silver", "gold"), select: Iterable[str] | None = None) -> list[str]:
+def refresh(lake: Lake, layers: Iterable[str] = ("silver", "gold"), select: Iterable[str] | None = None, parallel: int = 4) -> list[str]:
     """Rebuild the chosen tables in dependency order and return their names.
 
     Each table is written before the next one reads it, so every step starts from stored
-    data. The first failure stops the job with an error.
+    data; tables that do not depend on each other are built ``parallel`` at a time. After a failure
+    nothing new is started, and the job ends with an error.
     """
     known = models(lake)
     layers = set(layers)
     wanted = set(select) if select is not None else {n for n, m in known.items() if m.layer in layers}
     order = TopologicalSorter({n: [i for i in m.inputs if i in known] for n, m in known.items()}).static_order()
-    done = []
-    for name in (n for n in order if n in wanted):
+    done: list[str] = []
+
+    def build(name: str) -> str:
         model = known[name]
         layer, table = name.split(".", 1)
-        try:
-            inputs = [lake.read(*i.split(".", 1)) for i in model.inputs]
-            with staged_files_removed(lake.spark):
-                lake.write(model.build(*inputs), layer, table)
-        except Exception as problem:
-            raise RefreshError(f"{name} could not be rebuilt after {done or 'nothing'}") from problem
-        done.append(name)
+        lake.write(model.build(*(lake.read(*i.split(".", 1)) for i in model.inputs)), layer, table, model.cluster_by)
+        return name
+
+    chosen = {n: {i for i in known[n].inputs if i in wanted} for n in order if n in wanted}
+    sorter = TopologicalSorter(chosen)
+    sorter.prepare()
+    with staged_files_removed(lake.spark), ThreadPoolExecutor(parallel) as pool:
+        running: dict = {}
+        while sorter.is_active():
+            for name in sorter.get_ready():
+                running[pool.submit(inheritable_thread_target(lake.spark)(build), name)] = name
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                name = running.pop(future)
+                if (problem := future.exception()) is not None:
+                    wait(running)
+                    raise RefreshError(f"{name} could not be rebuilt after {done or 'nothing'}") from problem
+                done.append(name)
+                sorter.done(name)
     return done

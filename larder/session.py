@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_workdir: str | None = None
 _staged: list[str] = []
+_shipped: set[str] = set()
 
 
 def local_session(
@@ -37,17 +40,33 @@ def local_session(
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, the folder every executor can reach.
 
-    Only where the setting is absent (unit tests) is a local folder made.
+    Only in local mode may the setting be absent (unit tests): then a local folder is made.
     """
     global _local_workdir
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or "local-cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if _local_workdir is None:
             _local_workdir = tempfile.mkdtemp(prefix="larder-")
         root = _local_workdir
     return f"{root.rstrip('/')}/larder/{label}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors, so that Python functions find it wherever the job was started. Once per context."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="larder-package-")) / "larder.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the work folder and read it back.
 

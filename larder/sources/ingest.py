@@ -19,10 +19,20 @@ STRFTIME = {
     "%H": "HH",
     "%M": "mm",
     "%S": "ss",
-    "%f": "SSS",
+    "%f": "SSSSSS",
 }
 
 
+#: How CSV is written and read: quotes inside quotes are doubled, white space stays, a cell that does not
+#: fit its type is an error.
+CSV_FORM = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def csv_options(multi_line: bool = True) -> dict:
+    """Reader options. ``multi_line`` allows line breaks in quoted cells; without it Spark may split a large file."""
+    return CSV_FORM | {"mode": "FAILFAST", "multiLine": multi_line}
+
+
 def datetime_pattern(fmt: str) -> str:
     """A strftime format as a Spark pattern; literal text after the fields is quoted."""
     out, literal, i = [], "", 0
@@ -52,14 +62,16 @@ def read_csv(
     schema: T.StructType | None = None,
     timestamp_columns: list[str] | None = None,
     timestamp_format: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """One CSV with header. Times keep their wall clock as ``timestamp_ntz``.
+    """One CSV with header. A malformed cell raises. Times keep their wall clock as ``timestamp_ntz``.
 
     Without ``schema`` Spark makes one extra pass over the file to infer it; give the
     schema for large inputs. ``timestamp_format`` (strftime letters) is applied to
-    ``timestamp_columns``, which are then read as text first.
+    ``timestamp_columns``, which are then read as text first; fractions of up to six digits are
+    kept. One file with ``multi_line`` is one task; pass False where no cell has a line break.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.options(**csv_options(multi_line))
     if schema is not None and not timestamp_format:
         return reader.schema(schema).csv(path)
     if timestamp_format:
@@ -74,7 +86,7 @@ def read_csv(
         )
         pattern = datetime_pattern(timestamp_format)
         return (
-            spark.read.option("header", True).option("timestampNTZFormat", pattern).schema(typed).csv(path)
+            spark.read.options(**csv_options(multi_line)).option("timestampNTZFormat", pattern).schema(typed).csv(path)
         )
     df = reader.option("inferSchema", True).csv(path)
     zoned = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
@@ -149,11 +161,11 @@ def copy_csv(
 
     Columns stay text, so values are copied unchanged.
     """
-    frames = [spark.read.option("header", True).csv(p, schema=schema) for p in sources]
+    frames = [spark.read.options(**csv_options()).csv(p, schema=schema) for p in sources]
     out = frames[0].withColumnsRenamed(rename or {})
     for frame in frames[1:]:
         out = out.unionByName(frame.withColumnsRenamed(rename or {}), allowMissingColumns=True)
     if sort_by:
         out = out.orderBy(*sort_by)
-    out.write.mode("overwrite").option("header", True).csv(target)
-    return spark.read.option("header", True).csv(target)
+    out.write.mode("overwrite").options(**CSV_FORM).csv(target)
+    return spark.read.options(**csv_options()).csv(target)

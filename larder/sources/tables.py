@@ -6,6 +6,7 @@ A :class:`Lake` is either a folder (``<root>/<layer>/<table>`` in Parquet) or, w
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,10 +46,14 @@ class Lake:
             self._hadoop_fs(self.path(layer, ""), "mkdirs")
         return sorted(layer for layer in LAYERS if self._hadoop_fs(self.path(layer, ""), "exists"))
 
+    def _hadoop(self, path: str):
+        """File system and Hadoop path."""
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
+
     def _hadoop_fs(self, path: str, call: str):
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        return getattr(target.getFileSystem(conf), call)(target)
+        fs, target = self._hadoop(path)
+        return getattr(fs, call)(target)
 
     def exists(self, layer: str, name: str) -> bool:
         if self.root is None:
@@ -60,12 +65,28 @@ class Lake:
             return self.spark.table(f"{layer}.{name}")
         return self.spark.read.parquet(self.path(layer, name))
 
-    def write(self, df: DataFrame, layer: str, name: str) -> DataFrame:
-        """Rebuild a table from scratch. Row order is not a table property and is not kept."""
+    def write(self, df: DataFrame, layer: str, name: str, cluster_by: str | None = None) -> DataFrame:
+        """Rebuild a table from scratch; the old one stays until the new one is complete.
+
+        With ``cluster_by`` the files hold ranges of that column, sorted, so that a filter on it skips files and
+        row groups by their statistics. Row order as such is not a table property.
+        """
+        if cluster_by:
+            df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
         if self.root is None:
-            df.write.mode("overwrite").saveAsTable(f"{layer}.{name}")
+            # The catalog has no swap: write beside, then rename.
+            new, old = f"{layer}.{name}__new", f"{layer}.{name}"
+            self.spark.sql(f"DROP TABLE IF EXISTS {new}")
+            df.write.saveAsTable(new)
+            self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+            self.spark.sql(f"ALTER TABLE {new} RENAME TO {old}")
         else:
-            df.write.mode("overwrite").parquet(self.path(layer, name))
+            new = self.path(layer, f"_{name}-{uuid.uuid4().hex}")
+            df.write.parquet(new)
+            fs, path = self._hadoop(self.path(layer, name))
+            fs.delete(path, True)
+            if not fs.rename(self._hadoop(new)[1], path):
+                raise OSError(f"{new} is complete but could not take the place of {layer}.{name}")
         return self.read(layer, name)
 
     def append(self, df: DataFrame, layer: str, name: str) -> DataFrame:

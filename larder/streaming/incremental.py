@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.sources.ingest import high_water_mark, with_load_metadata
+from larder.sources.ingest import csv_options, high_water_mark, with_load_metadata
 from larder.sources.tables import Lake
 
 
@@ -30,7 +30,7 @@ def ingest_new_files(
             batch = batch.filter(F.col(key) > F.lit(high))
         lake.append(with_load_metadata(batch, folder), "bronze", table)
 
-    stream = spark.readStream.option("header", True).schema(schema).csv(folder)
+    stream = spark.readStream.options(**csv_options()).schema(schema).csv(folder)
     query = (
         stream.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
