@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from larder.llm.common import coded_words, slices, utf8
 
 #: Symbols up to which pieces share arrays, and words a task remembers before it starts anew.
-WIDE, MEMORY_WORDS = 64, 1_000_000
+WIDE, MEMORY_WORDS = 64, 400_000
 
 #: No merge: above every rank.
 NONE = np.int64(1) << 60
@@ -272,10 +272,10 @@ def unpacked(rows: DataFrame, column: str = "ids") -> DataFrame:
             _, offsets, data = packed.buffers()
             stops = np.frombuffer(offsets, np.int64)[packed.offset : packed.offset + len(packed) + 1]
             flat = np.frombuffer(data, "<u4") if data is not None else np.zeros(0, "<u4")
-            flat = flat[stops[0] // 4 : stops[-1] // 4].astype(np.int64)
+            flat = flat[stops[0] // 4 : stops[-1] // 4].astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array((stops - stops[0]) // 4, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([lists if k == at else c for k, c in enumerate(batch.columns)], names)
 
     names = rows.columns
-    fields = [T.StructField(f.name, T.ArrayType(T.LongType())) if f.name == column else f for f in rows.schema.fields]
+    fields = [T.StructField(f.name, T.ArrayType(T.IntegerType())) if f.name == column else f for f in rows.schema.fields]
     return rows.mapInArrow(run, T.StructType(fields))

@@ -34,9 +34,9 @@ WIDTHS = (1, 2, 3)
 
 @dataclass(frozen=True)
 class Sample:
-    """Bounds of what is learnt from: rows per class, tokens per text, rows a word must appear in."""
+    """Bounds of what is learnt from: rows per class, tokens per text, rows a word must appear in; hash buckets (2**21 at most)."""
 
-    rows: int = 4_000
+    rows: int = 3_000
     tokens: int = 8_192
     least_rows: int = 5
     buckets: int = 1 << 18
@@ -239,7 +239,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, sample:
         for batch in slices(batches, "text"):
             hashed, words, doc = word_hashes(*utf8(batch.column("text")), sample.buckets)
             stops = np.searchsorted(doc, np.arange(batch.num_rows), side="right")
-            parts = [hashed[words[a:b]].astype("<i4").tobytes() if b - a <= sample.tokens else None for a, b in zip([0, *stops], stops)]
+            packed = (hashed[:, 0] * sample.buckets + hashed[:, 1]) * sample.buckets + hashed[:, 2]
+            parts = [packed[words[a:b]].tobytes() if b - a <= sample.tokens else None for a, b in zip([0, *stops], stops)]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id").cast(pa.int64()), "toxic": batch.column("toxic"), "lang": batch.column("lang"), "words": pa.array(parts, pa.binary())}
             )
@@ -267,17 +268,26 @@ def fit(
     usable = F.lit(True) if usable is None else usable
     rows = labelled_sample(docs, labels, usable, sample, id_col, text_col, lang_col)
     toxic = np.array([r["toxic"] for r in rows], np.int64)
-    sizes = [len(r["words"]) // (4 * (1 + len(STEMS))) for r in rows]
-    flat = np.frombuffer(b"".join(r["words"] for r in rows), "<i4").reshape(-1, 1 + len(STEMS))
-    hashed, flat = np.unique(flat, axis=0, return_inverse=True)
-    hashed, flat = hashed.astype(np.int64), flat.ravel()
-    texts = np.split(flat, np.cumsum(sizes)[:-1]) if rows else []
+    langs = np.array([r["lang"] or "" for r in rows])
+    sizes = [len(r["words"]) // 8 for r in rows]
+    packed = np.frombuffer(b"".join(r["words"] for r in rows), np.int64)
+    empty = not rows
+    del rows
+    packed, flat = np.unique(packed, return_inverse=True)
+    rest, third = np.divmod(packed, sample.buckets)
+    hashed = np.stack([*np.divmod(rest, sample.buckets), third], axis=1)
+    texts = [] if empty else np.split(flat, np.cumsum(sizes)[:-1])
     net = train(hashed, texts, toxic, sample)
     if not 0 < toxic.sum() < len(toxic):
         net.thresholds = {None: 0.5}
         return net
-    got = scores(net, hashed, flat, np.repeat(np.arange(len(rows)), sizes), len(rows))
-    langs = np.array([r["lang"] or "" for r in rows])
+    parts = []
+    for k in range(0, len(texts), 256):
+        some = texts[k : k + 256]
+        words, at = np.unique(np.concatenate(some), return_inverse=True)
+        doc = np.repeat(np.arange(len(some)), [len(t) for t in some])
+        parts.append(scores(net, hashed[words], at, doc, len(some)))
+    got = np.concatenate(parts)
     whole = best_threshold(got, toxic)
     net.thresholds = {None: whole}
     for lang in np.unique(langs):
