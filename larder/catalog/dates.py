@@ -75,8 +75,6 @@ _DATEDIFF_SQL = (
 )
 
 
-
-
 def _week_start(x: str) -> str:
     return f"CAST(DATE_TRUNC('week', {x} + INTERVAL 1 DAY) - INTERVAL 1 DAY AS DATE)"
 
@@ -112,28 +110,21 @@ SELECT date_day, CAST(date_day - INTERVAL 1 DAY AS DATE) AS prior_date_day,
 FROM (SELECT date_day, CAST(date_day - INTERVAL 1 YEAR AS DATE) AS py, CAST(date_day - INTERVAL 364 DAY AS DATE) AS p364
       FROM (SELECT {_SPINE} AS date_day FROM {_BOUNDS_SQL}))"""
 
-_FISCAL_YEAR = """
-  year_month_end AS (SELECT year_number - 1 AS fiscal_year_number, month_end_date FROM dates
-    WHERE month_of_year = 1 GROUP BY 1, 2),
-  weeks AS (SELECT year_number, month_of_year, date_day AS week_start_date, date_day + 6 AS week_end_date
-    FROM dates WHERE day_of_week = 1),
-  year_week_ends AS (SELECT year_number - 1 AS fiscal_year_number, week_end_date FROM weeks
-    WHERE month_of_year = 1 GROUP BY 1, 2),
-  at_month_end AS (SELECT d.fiscal_year_number, d.week_end_date, RANK() OVER (PARTITION BY d.fiscal_year_number
-      ORDER BY ABS(date_diff('day', d.week_end_date, m.month_end_date))) AS closest
-    FROM year_week_ends d JOIN year_month_end m ON d.fiscal_year_number = m.fiscal_year_number),
-  ranges AS (SELECT fiscal_year_number, LAG(week_end_date) OVER (ORDER BY week_end_date) + 1 AS fiscal_year_start_date,
-      week_end_date AS fiscal_year_end_date FROM at_month_end WHERE closest = 1),
-  fiscal AS (SELECT d.date_day, m.*, w.week_start_date, w.week_end_date,
-      CAST(DENSE_RANK() OVER (PARTITION BY m.fiscal_year_number ORDER BY w.week_start_date) AS INT) AS fiscal_week_of_year
-    FROM dates d JOIN ranges m ON d.date_day BETWEEN m.fiscal_year_start_date AND m.fiscal_year_end_date
-    JOIN weeks w ON d.date_day BETWEEN w.week_start_date AND w.week_end_date),
+# A year ends on the Saturday nearest to the last day of January, which is the last one up to 3 February. Weeks are
+# counted in sevens from the day after the previous end, and a week's period follows from the weeks that periods begin with.
+_PERIOD_STARTS = [1 + 13 * quarter + week for quarter in range(4) for week in (0, 4, 9)]
+_FISCAL_YEAR = f"""
+  ends AS (SELECT y - 1 AS fy, f - CAST((dayofweek(f) + 1) % 7 AS INT) AS e
+    FROM (SELECT DISTINCT year_number AS y, make_date(year_number, 2, 3) AS f FROM dates WHERE month_of_year = 1)),
+  fiscal AS (SELECT date_day, this.fy AS fiscal_year_number, prev.e + 1 AS fiscal_year_start_date, this.e AS fiscal_year_end_date,
+      date_day - CAST(dayofweek(date_day) AS INT) AS week_start_date, date_day - CAST(dayofweek(date_day) AS INT) + 6 AS week_end_date,
+      CAST((date_day - prev.e - 1) // 7 + 1 AS INT) AS fiscal_week_of_year
+    FROM ends this JOIN ends prev ON prev.fy = this.fy - 1 JOIN dates ON date_day > prev.e AND date_day <= this.e),
+  rule AS (SELECT w, CAST(len(list_filter({_PERIOD_STARTS}, lambda x: x <= w)) AS INT) AS period FROM (SELECT UNNEST(range(1, 54)) AS w)),
   periods AS (SELECT date_day, fiscal_year_number, week_start_date, week_end_date, fiscal_week_of_year,
-      CAST(DENSE_RANK() OVER (PARTITION BY q * 3 + p ORDER BY fiscal_week_of_year) AS INT) AS fiscal_week_of_period,
-      q * 3 + p AS fiscal_period_number, q + 1 AS fiscal_quarter_number, p AS fiscal_period_of_quarter
-    FROM (SELECT *, CAST(LEAST(FLOOR((fiscal_week_of_year - 1) / 13.0), 3) AS INT) AS q,
-        CASE WHEN fiscal_week_of_year = 53 THEN 3 WHEN (fiscal_week_of_year - 1) % 13 <= 3 THEN 1
-          WHEN (fiscal_week_of_year - 1) % 13 <= 8 THEN 2 ELSE 3 END AS p FROM fiscal))"""
+      CAST(w - {_PERIOD_STARTS}[period] + 1 AS INT) AS fiscal_week_of_period, period AS fiscal_period_number,
+      (period - 1) // 3 + 1 AS fiscal_quarter_number, (period - 1) % 3 + 1 AS fiscal_period_of_quarter
+    FROM fiscal JOIN rule ON w = fiscal_week_of_year)"""
 
 
 def _fiscal_sql(body: str) -> str:

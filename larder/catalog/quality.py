@@ -202,22 +202,19 @@ def _moving(spark, sf):
     return found.select("metric_period", "event_type", *(rounded(F.col(p), 4).alias(p) for p in places))
 
 
-_LOGS = "COALESCE(LN(NULLIF({}, 0)), 0)"
+_LOG = "COALESCE(LN(NULLIF({}, 0)), 0)"
 _MOVING_SQL = f"""
-WITH sums AS (SELECT DATE_TRUNC('day', ts) AS metric_period, event_type, SUM(value) AS agg_metric_value
-    FROM events GROUP BY 1, 2),
-  priors AS (SELECT *, LAG(agg_metric_value, 1) OVER (PARTITION BY event_type ORDER BY metric_period) AS prior_agg_metric_value FROM sums),
-  tests AS (SELECT *, {_LOGS.format('agg_metric_value')} - {_LOGS.format('prior_agg_metric_value')} AS metric_test_value FROM priors),
-  moving AS (SELECT *, AVG(metric_test_value) OVER w AS metric_test_rolling_average,
-      STDDEV(metric_test_value) OVER w AS metric_test_rolling_stddev FROM tests
-    WINDOW w AS (PARTITION BY event_type ORDER BY metric_period ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)),
-  sigma AS (SELECT *, metric_test_value - metric_test_rolling_average AS metric_test_delta,
-      (metric_test_value - metric_test_rolling_average) / NULLIF(metric_test_rolling_stddev, 0) AS metric_test_sigma FROM moving)
-SELECT CAST(metric_period AS TIMESTAMP) AS metric_period, event_type, {', '.join(f"{rnd(c, 4)} AS {c}" for c in (
-    'agg_metric_value', 'prior_agg_metric_value', 'metric_test_value', 'metric_test_rolling_average',
-    'metric_test_rolling_stddev', 'metric_test_delta', 'metric_test_sigma'))}
-FROM sigma WHERE metric_period >= DATE_TRUNC('day', {AS_OF_SQL}) - INTERVAL 14 DAY
-  AND metric_period < DATE_TRUNC('day', {AS_OF_SQL}) AND NOT (metric_test_sigma >= -1 AND metric_test_sigma <= 1)"""
+SELECT CAST(day AS TIMESTAMP) AS metric_period, event_type, {rnd('total', 4)} AS agg_metric_value, {rnd('before', 4)} AS prior_agg_metric_value,
+  {rnd('change', 4)} AS metric_test_value, {rnd('usual', 4)} AS metric_test_rolling_average, {rnd('spread', 4)} AS metric_test_rolling_stddev,
+  {rnd('change - usual', 4)} AS metric_test_delta, {rnd('(change - usual) / NULLIF(spread, 0)', 4)} AS metric_test_sigma
+FROM (SELECT *, AVG(change) OVER week AS usual, STDDEV(change) OVER week AS spread
+  FROM (SELECT DATE_TRUNC('day', ts) AS day, event_type, SUM(value) AS total,
+      LAG(SUM(value)) OVER (PARTITION BY event_type ORDER BY DATE_TRUNC('day', ts)) AS before,
+      {_LOG.format('SUM(value)')} - {_LOG.format("LAG(SUM(value)) OVER (PARTITION BY event_type ORDER BY DATE_TRUNC('day', ts))")} AS change
+    FROM events GROUP BY 1, 2)
+  WINDOW week AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+WHERE day BETWEEN DATE_TRUNC('day', {AS_OF_SQL}) - INTERVAL 14 DAY AND DATE_TRUNC('day', {AS_OF_SQL}) - INTERVAL 1 DAY
+  AND NOT ABS((change - usual) / NULLIF(spread, 0)) <= 1"""
 
 
 def _stdevs(spark, sf):
@@ -238,14 +235,17 @@ FROM (SELECT *, AVG(q) OVER () AS m, STDDEV(q) OVER () AS s
 def _every(**options):
     def run(spark, sf):
         return e.expect_row_values_to_have_data_for_every_n_datepart(
-            Tables(spark, sf).raw("events"), "ts", row_condition="event_type = 'error' AND value > 20", **options
+            Tables(spark, sf).raw("events"), "ts", **options
         )
 
     return run
 
 
-def _every_sql(part: str, interval: int | None = None) -> str:
-    rows = "events WHERE event_type = 'error' AND value > 20"
+_RARE = "event_type = 'error' AND value > 20"
+
+
+def _every_sql(part: str, interval: int | None = None, where: str = "true") -> str:
+    rows = f"events WHERE {where}"
     bucket = f"DATE_TRUNC('{part}', ts)"
     if interval:
         bucket += f" - CAST(date_diff('{part}', s, ts) % {interval} AS INT) * INTERVAL 1 {part}"
@@ -264,19 +264,17 @@ def _grouped_recent(spark, sf):
     )
 
 
-def _within_record(spark, sf):
-    orders = Tables(spark, sf).raw("lineitem")
-    return e.expect_select_column_values_to_be_unique_within_record(
-        orders, ["l_linenumber", "l_suppkey", "l_partkey"], row_condition="l_quantity > 10"
-    )
+def _within_record(**options):
+    columns = ["l_linenumber", "l_suppkey", "l_partkey"]
+    return lambda s, f: e.expect_select_column_values_to_be_unique_within_record(Tables(s, f).raw("lineitem"), columns, **options)
 
 
-_WITHIN_SQL = """
-WITH v AS (SELECT ROW_NUMBER() OVER (ORDER BY l_linenumber, l_suppkey, l_partkey) AS row_index,
-    l_linenumber, l_suppkey, l_partkey FROM lineitem WHERE l_quantity > 10),
-  u AS (SELECT row_index, md5(CAST(l_linenumber AS VARCHAR)) AS x FROM v UNION ALL
-    SELECT row_index, md5(CAST(l_suppkey AS VARCHAR)) FROM v UNION ALL SELECT row_index, md5(CAST(l_partkey AS VARCHAR)) FROM v)
-SELECT row_index, COUNT(DISTINCT x) AS column_values FROM u GROUP BY 1 HAVING COUNT(DISTINCT x) < 3"""
+def _within_sql(rows: str) -> str:
+    distinct = "len(list_distinct([l_linenumber::BIGINT, l_suppkey::BIGINT, l_partkey::BIGINT]))"
+    return (
+        f"SELECT * FROM (SELECT ROW_NUMBER() OVER (ORDER BY l_linenumber, l_suppkey, l_partkey) AS row_index, {distinct} AS column_values "
+        f"FROM {rows}) WHERE column_values < 3"
+    )
 
 
 def _casing(display: bool):
@@ -386,6 +384,11 @@ ENTRIES = [
         on("lineitem", e.expression_is_true, "sum(l_quantity) > 800", group_by=["l_suppkey", "l_returnflag"]),
         true_sql("SUM(l_quantity) > 800", "lineitem", ("l_suppkey", "l_returnflag")),
     ),
+    Entry(
+        "e1_expression_is_true_grouped_mean",
+        on("lineitem", e.expression_is_true, "avg(l_quantity) > 25", group_by=["l_suppkey", "l_returnflag"]),
+        true_sql("AVG(l_quantity) > 25", "lineitem", ("l_suppkey", "l_returnflag")),
+    ),
     Entry(
         "e1_expression_is_false",
         on("lineitem", e.expression_is_true, "l_tax > 0.04", test_condition="= false"),
@@ -472,6 +475,11 @@ ENTRIES = [
         on("lineitem", e.expect_column_values_to_be_between, "l_quantity", 5, 45, row_condition="l_tax > 0"),
         true_sql("(l_quantity >= 5 AND l_quantity <= 45)", "lineitem", where="l_tax > 0"),
     ),
+    Entry(
+        "e20_values_between_all",
+        on("lineitem", e.expect_column_values_to_be_between, "l_quantity", 5, 45),
+        true_sql("(l_quantity >= 5 AND l_quantity <= 45)", "lineitem"),
+    ),
     Entry(
         "e21_values_increasing",
         on("events", e.expect_column_values_to_be_increasing, "value", sort_column="ts"),
@@ -503,6 +511,11 @@ ENTRIES = [
         lambda s, f: e.expect_column_values_to_be_null(Tables(s, f).retail, "category_name", row_condition="qty > 40"),
         with_tables(true_sql("category_name IS NULL", "retail", where="qty > 40"), "retail"),
     ),
+    Entry(
+        "e25_values_null_all",
+        lambda s, f: e.expect_column_values_to_be_null(Tables(s, f).retail, "category_name"),
+        with_tables(true_sql("category_name IS NULL", "retail"), "retail"),
+    ),
     Entry(
         "e26_values_not_null",
         lambda s, f: e.expect_column_values_to_not_be_null(Tables(s, f).retail, "category_name"),
@@ -564,6 +577,11 @@ ENTRIES = [
         on("documents", e.expect_column_values_to_not_match_regex, "text", "@[^.]*", row_condition=_EN),
         true_sql("NOT regexp_matches(text, '@[^.]*')", "documents", where=_EN),
     ),
+    Entry(
+        "e38_not_match_regex_all",
+        on("documents", e.expect_column_values_to_not_match_regex, "text", "@[^.]*"),
+        true_sql("NOT regexp_matches(text, '@[^.]*')", "documents"),
+    ),
     Entry(
         "e39_match_regex_list",
         on("documents", e.expect_column_values_to_match_regex_list, "text", ["[0-9]{3}", "@[a-z]"], match_on="all"),
@@ -653,6 +671,11 @@ ENTRIES = [
         on("lineitem", e.expect_column_pair_values_to_be_equal, "l_linenumber", "l_suppkey", row_condition="l_suppkey < 8"),
         true_sql("l_linenumber = l_suppkey", "lineitem", where="l_suppkey < 8"),
     ),
+    Entry(
+        "e59_pair_equal_all",
+        on("lineitem", e.expect_column_pair_values_to_be_equal, "l_linenumber", "l_suppkey"),
+        true_sql("l_linenumber = l_suppkey", "lineitem"),
+    ),
     Entry(
         "e60_pair_in_set",
         on("lineitem", e.expect_column_pair_values_to_be_in_set, "l_returnflag", "l_linestatus", [["A", "F"], ["R", "F"], ["N", "O"]]),
@@ -668,7 +691,8 @@ ENTRIES = [
         "SELECT l_orderkey, l_linenumber, COUNT(*) AS n_records FROM lineitem WHERE NOT (l_orderkey IS NULL AND l_linenumber IS NULL) "
         "GROUP BY 1, 2 HAVING COUNT(*) > 1",
     ),
-    Entry("e62_unique_within_record", _within_record, _WITHIN_SQL),
+    Entry("e62_unique_within_record", _within_record(row_condition="l_quantity > 10"), _within_sql("lineitem WHERE l_quantity > 10")),
+    Entry("e62_unique_within_record_all", _within_record(), _within_sql("lineitem")),
     Entry(
         "e63_multicolumn_sum",
         on("lineitem", e.expect_multicolumn_sum_to_equal, ["l_linenumber", "l_suppkey"], "l_partkey", group_by=["l_orderkey"]),
@@ -676,8 +700,10 @@ ENTRIES = [
     ),
     Entry("e64_within_n_moving_stdevs", _moving, _MOVING_SQL),
     Entry("e65_within_n_stdevs", _stdevs, _STDEVS_SQL),
-    Entry("e66_data_for_every_hour", _every(date_part="hour"), _every_sql("hour")),
-    Entry("e66_data_for_every_8_hours", _every(date_part="hour", interval=8), _every_sql("hour", 8)),
+    Entry("e66_data_for_every_hour", _every(date_part="hour", row_condition=_RARE), _every_sql("hour", where=_RARE)),
+    Entry("e66_data_for_every_minute_all", _every(date_part="minute"), _every_sql("minute")),
+    Entry("e66_data_for_every_8_hours", _every(date_part="hour", interval=8, row_condition=_RARE), _every_sql("hour", 8, _RARE)),
+    Entry("e66_data_for_every_5_minutes_all", _every(date_part="minute", interval=5), _every_sql("minute", 5)),
     Entry(
         "e67_not_null",
         lambda s, f: e.not_null(Tables(s, f).retail, "store_city").select("order_item_id", "store_id"),
