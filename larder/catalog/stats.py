@@ -8,13 +8,13 @@ from larder.catalog.entry import Entry
 from larder.catalog.sqltext import rnd
 from larder.catalog.tables import Tables
 from larder.functions.numbers import log_natural, md5_text, random_uniform, regexp_match, rounded
-from larder.operators.ordered import median, percentile_cont, running_sum
+from larder.operators.ordered import median, percentile_cont, running_sums
 
 
 def _running(spark, sf):
     lines = Tables(spark, sf).raw("lineitem").select("l_orderkey", "l_suppkey", "l_shipdate", "l_linenumber")
-    up = running_sum(lines, "l_linenumber", ["l_suppkey"], "l_shipdate", "rolling_sum_increasing")
-    return running_sum(up, "l_linenumber", ["l_suppkey"], "l_shipdate", "rolling_sum_decreasing", descending=True)
+    both = {"rolling_sum_increasing": False, "rolling_sum_decreasing": True}
+    return running_sums(lines, "l_linenumber", ["l_suppkey"], "l_shipdate", both)
 
 
 def _percentiles(spark, sf):

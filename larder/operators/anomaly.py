@@ -15,7 +15,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.operators.ordered import COPIES, collapse_copies, percentile_cont, repeat_rows, with_previous
+from larder.operators.ordered import (
+    COPIES,
+    collapse_copies,
+    has_crowds,
+    into_chunks,
+    percentile_cont,
+    previous_in_chunks,
+    repeat_rows,
+)
 from larder.session import ship_package, stage
 
 FEATURES = ("temperature_c", "duration_minutes", "delta_temp_per_minute")
@@ -33,13 +41,14 @@ def anomaly_features(readings: DataFrame, copy_index: str | None = None) -> Data
     order = ["telemetry_timestamp", "temperature_c"]
     order += [c for c in columns if c not in ("device_id", *order)]
     distinct = collapse_copies(readings)
-    linked = with_previous(
-        distinct,
+    stored = into_chunks(distinct, ["device_id"], order)
+    linked = previous_in_chunks(
+        stored,
         ["device_id"],
         order,
         {"telemetry_timestamp": "_previous_time", "temperature_c": "_previous_temperature"},
     )
-    rows = repeat_rows(linked, COPIES, "_copy")
+    rows = repeat_rows(linked, COPIES, "_copy", crowds=has_crowds(stored))
     first = F.col("_copy") == 1
     micros = F.timestamp_diff("MICROSECOND", F.col("_previous_time"), F.col("telemetry_timestamp"))
     minutes = F.when(first, micros / F.lit(1000000.0) / F.lit(60.0))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.expectations.core import as_column, ignore_row_if, where
-from larder.operators.ordered import COPIES, repeat_rows, row_positions
+from larder.operators.ordered import COPIES, has_crowds, repeat_rows, row_positions
+from larder.session import stage
 
 __all__ = [
     "expect_column_values_to_be_unique",
@@ -68,7 +69,8 @@ def expect_select_column_values_to_be_unique_within_record(
     broken = placed.withColumn("column_values", distinct.cast("bigint")).filter(
         F.col("column_values") < len(names)
     )
-    return repeat_rows(broken, COPIES, "_copy").select(
+    broken = stage(broken, "broken-records")
+    return repeat_rows(broken, COPIES, "_copy", crowds=has_crowds(broken)).select(
         (F.col("_first") + F.col("_copy") - 1).alias("row_index"), "column_values"
     )
 

@@ -25,8 +25,10 @@ from larder.session import stage
 CHUNK = "_chunk"
 COPIES = "_copies"
 BLOCK = 1 << 16
-# Chunks are later spread by hash; several per task even out how many a task gets.
-CHUNKS_PER_TASK = 4
+# Bytes of input files per chunk; a chunk is sorted by one task.
+CHUNK_BYTES = 64 << 20
+# Carried tables have up to two rows per chunk and are broadcast, hence a limit; beyond it chunks grow.
+MAX_CHUNKS = 200_000
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
@@ -46,13 +48,21 @@ def _rank_key(columns: Sequence[str]) -> Column:
     return F.struct(*fields)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of what the plan reads, as the optimizer knows it; sources of unknown size count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    return sum(size for size in sizes if size < 1 << 60)
+
+
 def into_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Store ``df`` range-partitioned on (by, order), with the partition number as a column.
 
     The range bounds come from sampling, so the assignment is written down once and read
-    from there; recomputing it could place rows differently.
+    from there; recomputing it could place rows differently. The number of chunks follows the input's size.
     """
-    n = CHUNKS_PER_TASK * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(least, min(-(-input_bytes(df) // CHUNK_BYTES), MAX_CHUNKS))
     ranged = df.repartitionByRange(n, *_ascending([*by, *order]))
     return stage(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
@@ -75,7 +85,13 @@ def with_previous(
 
     ``order`` must be total within a group (no two rows alike).
     """
-    staged = into_chunks(df, by, order)
+    return previous_in_chunks(into_chunks(df, by, order), by, order, values)
+
+
+def previous_in_chunks(
+    staged: DataFrame, by: Sequence[str], order: Sequence[str], values: dict[str, str]
+) -> DataFrame:
+    """:func:`with_previous` on what :func:`into_chunks` has stored."""
     in_chunk = Window.partitionBy(*by, CHUNK).orderBy(*_ascending(order))
     picked = F.struct(*(F.col(f"`{c}`").alias(out) for c, out in values.items()))
 
@@ -106,36 +122,43 @@ def with_running_sum(
 
     ``order`` must be total within a group. ``descending`` runs from the last row backwards.
     """
+    return with_running_sums(df, by, order, value, {out: descending}, total)
+
+
+def with_running_sums(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    outputs: dict[str, bool],
+    total: str | None = None,
+) -> DataFrame:
+    """:func:`with_running_sum` in several directions at once; ``outputs`` maps a name to whether it descends."""
     staged = into_chunks(df, by, order)
     sums = staged.groupBy(*by, CHUNK).agg(F.sum(value).alias("_sum"))
-    across = Window.partitionBy(*by)
-    before = across.orderBy(F.desc(CHUNK) if descending else F.asc(CHUNK)).rowsBetween(
-        Window.unboundedPreceding, -1
+    across, in_chunk = Window.partitionBy(*by), Window.partitionBy(*by, CHUNK)
+    carried = sums.withColumns(
+        {"_sum_total": F.sum("_sum").over(across), "_span": F.count(F.lit(1)).over(across)}
     )
-    carried = (
-        sums.withColumns(
-            {
-                "_sum_before": F.sum("_sum").over(before),
-                "_sum_total": F.sum("_sum").over(across),
-                "_span": F.count(F.lit(1)).over(across),
-            }
-        )
-        .filter(F.col("_span") > 1)
-        .select(*by, CHUNK, "_sum_before", "_sum_total")
-    )
-    in_chunk = Window.partitionBy(*by, CHUNK)
-    ordered = in_chunk.orderBy(*(_descending(order) if descending else _ascending(order)))
-    running = F.sum(value).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = staged.withColumn("_sum_here", running)
+    local = staged
+    for k, (out, descending) in enumerate(outputs.items()):
+        before = across.orderBy(F.desc(CHUNK) if descending else F.asc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
+        carried = carried.withColumn(f"_before_{k}", F.sum("_sum").over(before))
+        ordered = in_chunk.orderBy(*(_descending(order) if descending else _ascending(order)))
+        running = F.sum(value).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        local = local.withColumn(f"_here_{k}", running)
+    befores = [f"_before_{k}" for k in range(len(outputs))]
+    carried = carried.filter(F.col("_span") > 1).select(*by, CHUNK, *befores, "_sum_total")
     if total:
         local = local.withColumn("_sum_chunk", F.sum(value).over(in_chunk))
     rows = _attach(local, carried, by)
-    # A NULL part (only NULL values so far) must not erase the other one.
-    added = F.coalesce(F.col("_sum_here") + F.col("_sum_before"), F.col("_sum_here"), F.col("_sum_before"))
-    rows = rows.withColumn(out, added)
+    for k, out in enumerate(outputs):
+        here, before = F.col(f"_here_{k}"), F.col(f"_before_{k}")
+        # A NULL part (only NULL values so far) must not erase the other one.
+        rows = rows.withColumn(out, F.coalesce(here + before, here, before))
     if total:
         rows = rows.withColumn(total, F.coalesce("_sum_total", "_sum_chunk"))
-    return rows.drop("_sum_here", "_sum_before", "_sum_total", "_sum_chunk", CHUNK)
+    return rows.drop(*befores, *(f"_here_{k}" for k in range(len(outputs))), "_sum_total", "_sum_chunk", CHUNK)
 
 
 def collapse_copies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -144,40 +167,53 @@ def collapse_copies(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES))
 
 
-def repeat_rows(df: DataFrame, count: str = COPIES, index: str = "_copy") -> DataFrame:
+def has_crowds(stored: DataFrame, count: str = COPIES) -> bool:
+    """Whether a stored table has a row with more than a block of copies; one column is read."""
+    return not stored.filter(F.col(count) > BLOCK).isEmpty()
+
+
+def repeat_rows(df: DataFrame, count: str = COPIES, index: str = "_copy", crowds: bool = True) -> DataFrame:
     """Each row ``count`` times, numbered from 1 in ``index``; the count column goes away.
 
-    Rows with very many copies are cut into blocks that spread over the cluster.
+    With ``crowds``, rows with very many copies are cut into blocks that spread over the cluster, which takes ``df``
+    twice. Callers that know that no row has more than a block (:func:`has_crowds`) save that.
     """
     n = F.col(count)
-    few = df.filter(n <= BLOCK).withColumn(index, F.explode(F.sequence(F.lit(1).cast("bigint"), n)))
-    blocks = df.filter(n > BLOCK).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / BLOCK)))
-    )
+    number = lambda first, last: F.explode(F.sequence(first, last))
+    one = F.lit(1).cast("bigint")
+    if not crowds:
+        return df.withColumn(index, number(one, n)).drop(count)
+    few = df.filter(n <= BLOCK).withColumn(index, number(one, n))
+    blocks = df.filter(n > BLOCK).withColumn("_block", number(F.lit(0).cast("bigint"), F.floor((n - 1) / BLOCK)))
     start = F.col("_block") * BLOCK + 1
     many = (
         blocks.repartition("_block", count)
-        .withColumn(index, F.explode(F.sequence(start, F.least(start + (BLOCK - 1), n))))
+        .withColumn(index, number(start, F.least(start + (BLOCK - 1), n)))
         .drop("_block")
     )
     return few.unionByName(many).drop(count)
 
 
-def running_sum(
-    df: DataFrame, column: str, by: Sequence[str], order: str, out: str, descending: bool = False
-) -> DataFrame:
-    """Cumulative sum per group in the given direction; rows with equal order share a value.
+def running_sums(df: DataFrame, column: str, by: Sequence[str], order: str, outputs: dict[str, bool]) -> DataFrame:
+    """Cumulative sums per group; ``outputs`` maps a name to whether it descends. Rows with equal order share a value.
 
-    Peers are added up first, so what is ordered is one row per (group, order value).
+    Peers are added up first, so what is ordered is one row per (group, order value), once for all outputs.
     """
     peers = df.groupBy(*by, order).agg(F.sum(column).alias("_peer_sum"))
-    sums = with_running_sum(peers, by, [order], "_peer_sum", out, descending=descending)
+    sums = with_running_sums(peers, by, [order], "_peer_sum", outputs)
     keys = [*by, order]
-    right = sums.select(*(F.col(f"`{c}`").alias(f"_k_{i}") for i, c in enumerate(keys)), out)
+    right = sums.select(*(F.col(f"`{c}`").alias(f"_k_{i}") for i, c in enumerate(keys)), *outputs)
     on = [F.col(f"`{c}`").eqNullSafe(F.col(f"_k_{i}")) for i, c in enumerate(keys)]
     return df.join(right, on, "left").drop(*(f"_k_{i}" for i in range(len(keys))))
 
 
+def running_sum(
+    df: DataFrame, column: str, by: Sequence[str], order: str, out: str, descending: bool = False
+) -> DataFrame:
+    """:func:`running_sums` in one direction."""
+    return running_sums(df, column, by, order, {out: descending})
+
+
 def percentile_cont(
     df: DataFrame, column: str, q: float, by: Sequence[str] = (), out: str = "percentile"
 ) -> DataFrame:

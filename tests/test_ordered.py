@@ -154,3 +154,27 @@ def test_whole_table_lag_is_windowed_per_chunk(spark):
     df = spark.createDataFrame(rows(9), SCHEMA)
     found = e.expect_column_values_to_be_increasing(df, "v", "k")
     assert "hashpartitioning(_chunk" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_both_directions_at_once(spark):
+    df = spark.createDataFrame([(k % 2, k, k * 3) for k in range(50)], "g int, k int, v int")
+    got = {r.k: (r.up, r.down) for r in o.running_sums(df, "v", ["g"], "k", {"up": False, "down": True}).collect()}
+    for k in range(50):
+        same = [x for x in range(50) if x % 2 == k % 2]
+        assert got[k] == (sum(3 * x for x in same if x <= k), sum(3 * x for x in same if x >= k))
+
+
+def test_chunks_follow_the_input(spark, monkeypatch):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_linenumber")
+    size = o.input_bytes(df)
+    assert size > 0
+    monkeypatch.setattr(o, "CHUNK_BYTES", size // 9)
+    assert o.into_chunks(df, [], ["l_orderkey"]).select(o.CHUNK).distinct().count() > 4
+
+
+def test_no_crowds_needs_no_second_pass(spark):
+    df = spark.createDataFrame([("a", 3), ("b", 1)], "g string, _copies long")
+    assert not o.has_crowds(df)
+    rows = o.repeat_rows(df, crowds=False)
+    assert sorted((r.g, r._copy) for r in rows.collect()) == [("a", 1), ("a", 2), ("a", 3), ("b", 1)]
+    assert "Union" not in rows._jdf.queryExecution().optimizedPlan().toString()
