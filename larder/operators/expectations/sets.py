@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.operators.expectations.core import as_column, where
+from larder.operators.expectations.columns import PREDICATES
+from larder.operators.expectations.core import Predicate, as_column, where
 
 __all__ = [
     "expect_column_values_to_be_in_set",
@@ -57,6 +58,28 @@ def expect_column_values_to_not_be_in_set(
     return rows.withColumn("_hit", F.explode(hits)).select("value_field")
 
 
+def _stated(column: str, value_set: Sequence, quote_values: bool) -> Column:
+    value = as_column(column)
+    listed = (value.cast("string") if quote_values else value).isin(*_literals(value_set, quote_values))
+    return F.coalesce(listed, F.lit(False))
+
+
+def _in_set(column: str, value_set: Sequence, quote_values: bool = True, row_condition=None) -> Predicate:
+    return Predicate(_stated(column, value_set, quote_values), row_condition=row_condition)
+
+
+def _not_in_set(column: str, value_set: Sequence, quote_values: bool = True, row_condition=None) -> Predicate | None:
+    # A value that is listed twice fails twice, which no predicate says.
+    if len(set(value_set)) < len(value_set):
+        return None
+    return Predicate(~_stated(column, value_set, quote_values), row_condition=row_condition)
+
+
+# What a suite can evaluate in the table's one scan.
+PREDICATES["expect_column_values_to_be_in_set"] = _in_set
+PREDICATES["expect_column_values_to_not_be_in_set"] = _not_in_set
+
+
 def expect_column_distinct_values_to_be_in_set(
     df: DataFrame, column: str, value_set: Sequence, quote_values: bool = True, row_condition=None
 ) -> DataFrame:

@@ -69,8 +69,8 @@ def _fused(check: Check) -> Column | None:
     build = PREDICATES.get({"not_null": "expect_column_values_to_not_be_null"}.get(check.expectation, check.expectation))
     if build is None or check.fail_calc != COUNT_ROWS:
         return None
-    predicate: Predicate = build(**check.args)
-    if predicate.group_by or (predicate.aggregate and predicate.row_condition is not None):
+    predicate: Predicate | None = build(**check.args)
+    if predicate is None or predicate.group_by or (predicate.aggregate and predicate.row_condition is not None):
         return None
     fails = predicate.fails
     if predicate.aggregate:

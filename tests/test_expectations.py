@@ -360,3 +360,18 @@ def test_suite_reads_a_table_once(spark, tmp_path, data):
     checks += [Check("t", "expect_table_row_count_to_equal", {"value": 4})]
     plan = run_suite({"t": spark.read.parquet(path)}, checks)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 1
+
+
+def test_suites_evaluate_set_checks_in_the_tables_scan(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,), ("b",)], "v string")
+    inside, outside = "expect_column_values_to_be_in_set", "expect_column_values_to_not_be_in_set"
+    checks = [
+        Check("t", inside, {"column": "v", "value_set": ["a", "b"]}),
+        Check("t", outside, {"column": "v", "value_set": ["b", "c"]}),
+        Check("t", outside, {"column": "v", "value_set": ["b", "b"]}),
+        Check("t", inside, {"column": "v", "value_set": ["a"], "row_condition": "v <> 'c'"}),
+    ]
+    alone = [getattr(e, c.expectation)(df, **c.args).count() for c in checks]
+    found = run_suite({"t": df}, checks)
+    assert [r.failures for r in found.orderBy("position").collect()] == alone == [2, 3, 4, 2]
+    assert run_suite({"t": df}, checks[:2])._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
