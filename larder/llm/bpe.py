@@ -21,16 +21,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from larder.llm.common import coded_words, slices, utf8
 
 #: Symbols up to which pieces share arrays, and words a task remembers before it starts anew.
-WIDE, MEMORY_WORDS = 64, 400_000
+WIDE, MEMORY_WORDS = 64, 150_000
 
 #: No merge: above every rank.
 NONE = np.int64(1) << 60
@@ -231,11 +229,11 @@ class Bpe:
 _loaded: dict[int, Bpe] = {}
 
 
-def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", packed: bool = True) -> DataFrame:
     """``doc_id, ids, decoded`` of every whole text: ids as little-endian unsigned 32-bit integers in one binary value.
 
-    A null text counts as empty and has no ids; repeated rows get equal results. ``unpacked`` makes an
-    array of the ids. White space separates words, so words are encoded one by one.
+    Without ``packed`` the ids are an array. A null text counts as empty and has no ids; repeated rows get equal
+    results. White space separates words, so words are encoded one by one.
     """
     with open(path, encoding="utf-8") as file:
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -256,26 +254,15 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 mine = [known[k] for k in code[a:b].tolist()]
                 ids.append(b"".join(x[0] for x in mine))
                 texts.append(b"".join(x[1] for x in mine)[:-1].decode())
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.binary()), "decoded": pa.array(texts, pa.string())})
+            column = pa.array(ids, pa.binary()) if packed else _lists(ids)
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": column, "decoded": pa.array(texts, pa.string())})
+        model.words.clear()  # the worker may serve other work next
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids binary, decoded string")
+    return rows.mapInArrow(run, f"doc_id long, ids {'binary' if packed else 'array<int>'}, decoded string")
 
 
-def unpacked(rows: DataFrame, column: str = "ids") -> DataFrame:
-    """The packed ids as an array of integers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index(column)
-            packed = pc.fill_null(batch.column(at), b"").cast(pa.large_binary())
-            _, offsets, data = packed.buffers()
-            stops = np.frombuffer(offsets, np.int64)[packed.offset : packed.offset + len(packed) + 1]
-            flat = np.frombuffer(data, "<u4") if data is not None else np.zeros(0, "<u4")
-            flat = flat[stops[0] // 4 : stops[-1] // 4].astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array((stops - stops[0]) // 4, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([lists if k == at else c for k, c in enumerate(batch.columns)], names)
-
-    names = rows.columns
-    fields = [T.StructField(f.name, T.ArrayType(T.IntegerType())) if f.name == column else f for f in rows.schema.fields]
-    return rows.mapInArrow(run, T.StructType(fields))
+def _lists(ids: list[bytes]) -> pa.Array:
+    """Packed ids as an Arrow array of lists."""
+    stops = np.cumsum([0, *(len(x) // 4 for x in ids)])
+    return pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32)))

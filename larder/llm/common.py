@@ -27,8 +27,16 @@ LOWER[65:91] += 32
 SLICE_BYTES = 2 << 20
 
 
+def modest_batches(spark: SparkSession) -> None:
+    """Hand whole texts to Python 2000 rows at a time, unless the session says otherwise: the usual 10,000 may be 100 MB."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "2000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the test folder."""
+    modest_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -25,7 +25,7 @@ from larder.llm.common import lookup
 from larder.session import stage
 
 #: Bytes of labels a task keeps before it spills subtrees.
-RESIDENT_BYTES = 32 << 20
+RESIDENT_BYTES = 16 << 20
 
 
 class Owner:

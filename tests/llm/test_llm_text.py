@@ -76,7 +76,7 @@ def test_both_trees_take_the_leftmost_lowest_rank(model):
 def test_encoded_documents(spark, reference):
     texts = [None, *samples()[:60], "long text " * 30_000]
     rows = odd(spark, [(i, t, "s") for i, t in enumerate(texts)] + [(None, "x", None)])
-    got = bpe.unpacked(bpe.encoded(rows, VOCABULARY)).collect()
+    got = bpe.encoded(rows, VOCABULARY, packed=False).collect()
     assert len(got) == len(texts) + 1
     for r in got:
         text = (texts[r["doc_id"]] or "") if r["doc_id"] is not None else "x"
