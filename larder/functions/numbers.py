@@ -14,6 +14,8 @@ def sum_parts(value: Column) -> Column:
     or has over 38 digits before the point raises. :func:`merged_parts` sums such sums.
     """
     value = value.cast("double")
+    finite = ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+    value = F.when(value.isNull() | finite, value).otherwise(F.raise_error(F.lit("a sum over numbers that are not finite")).cast("double"))
     small = F.abs(value) < F.lit(1e19)
     written = value.cast("decimal(38,18)")
     first = F.when(small, (written % F.lit(1)).cast("decimal(38,18)")).when(value.isNotNull(), F.lit(0).cast("decimal(38,18)"))

@@ -76,7 +76,7 @@ def test_wall_clock_is_kept(lake, tmp_path):
     path = put(tmp_path / "iot.csv", "timestamp,temp_celsius\n2020-07-12 00:01:34.385+07,22.5\n")
     df = ingest.ingest_csv(lake, path, "iot", timestamp_format="%Y-%m-%d %H:%M:%S.%f+07")
     assert df.first().timestamp == dt.datetime(2020, 7, 12, 0, 1, 34, 385000)
-    assert ingest.datetime_pattern("%Y-%m-%d %H:%M:%S.%f+07") == "yyyy-MM-dd HH:mm:ss.SSS'+07'"
+    assert ingest.datetime_pattern("%Y-%m-%d %H:%M:%S.%f+07") == "yyyy-MM-dd HH:mm:ss.SSSSSS'+07'"
 
 
 def test_copy_csv(spark, tmp_path):
@@ -148,3 +148,74 @@ def test_work_paths_lie_in_the_shared_folder(spark):
     path = work_path(spark, "x")
     assert path != work_path(spark, "x")
     assert root is None or path.startswith(root)
+
+
+def test_csv_keeps_quotes_and_line_breaks(spark, lake, tmp_path):
+    path = put(tmp_path / "q.csv", 'id,text\n1,"he said ""hi"", ok"\n2,"two\nlines"\n3,"  kept  "\n')
+    rows = ingest.ingest_csv(lake, path, "q").orderBy("id").collect()
+    assert [r.text for r in rows] == ['he said "hi", ok', "two\nlines", "  kept  "]
+    copied = ingest.copy_csv(spark, [path], str(tmp_path / "copy"))
+    assert sorted(r.text for r in copied.collect()) == sorted(r.text for r in rows)
+
+
+def test_cells_that_do_not_fit_raise(spark, tmp_path):
+    path = put(tmp_path / "bad.csv", "id,v\n1,2\n2,x\n")
+    schema = spark.createDataFrame([], "id int, v int").schema
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ|CAST|parse"):
+        ingest.read_csv(spark, path, schema).collect()
+    late = put(tmp_path / "late.csv", "id,timestamp\n1,yesterday\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ|CAST|parse"):
+        ingest.read_csv(spark, late, timestamp_format="%Y-%m-%d %H:%M:%S").collect()
+
+
+@pytest.mark.parametrize("digits", ["3", "38", "385", "385123"])
+def test_fractions_of_a_second(spark, tmp_path, digits):
+    path = put(tmp_path / "t.csv", f"id,timestamp\n1,2020-07-12 00:01:34.{digits}+07\n")
+    row = ingest.read_csv(spark, path, timestamp_format="%Y-%m-%d %H:%M:%S.%f+07").first()
+    assert row["timestamp"] == dt.datetime(2020, 7, 12, 0, 1, 34, int(digits.ljust(6, "0")))
+
+
+def test_a_failed_rebuild_keeps_the_table(spark, lake):
+    lake.write(spark.range(5).toDF("id"), "silver", "t")
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception):
+        lake.write(broken, "silver", "t")
+    assert lake.read("silver", "t").count() == 5
+    assert lake.write(spark.range(3).toDF("id"), "silver", "t").count() == 3
+
+
+def test_clustered_files_hold_ranges(spark, lake):
+    rows = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("k"))
+    stored = lake.write(rows, "silver", "c", cluster_by="k")
+    per_file = stored.groupBy(F.input_file_name()).agg(F.min("k").alias("a"), F.max("k").alias("b")).orderBy("a").collect()
+    assert all(x.b < y.a for x, y in zip(per_file, per_file[1:]))
+
+
+def test_equality_reaches_the_parquet_reader(spark, lake):
+    from larder.operators.silver import where_equal
+
+    stored = lake.write(spark.createDataFrame([("F", 1), ("O", 2)], "s string, n int"), "bronze", "e")
+    plan = where_equal(stored, "s", "F").select("n")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(s,F)" in plan
+
+
+def test_clusters_need_a_shared_folder():
+    from types import SimpleNamespace
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_path(cluster, "x")
+
+
+def test_the_package_is_handed_to_executors(spark):
+    import zipfile
+
+    from larder import session
+
+    session.ship_package(spark)
+    files = [f for f in spark.sparkContext._python_includes if f.endswith("larder.zip")]
+    assert files and spark.sparkContext.applicationId in session._shipped
+    from pyspark import SparkFiles
+
+    names = zipfile.ZipFile(SparkFiles.get("larder.zip")).namelist()
+    assert "larder/operators/forecast.py" in names and "larder/__init__.py" in names
