@@ -7,7 +7,8 @@ response, and a logistic layer reads those. One strong place in a long text is t
 
 Training runs in numpy on the driver, over a bounded sample of labelled rows (``Sample``). Words and
 beginnings too rare in the sample to say anything share one embedding, which keeps the filters from
-learning single documents by heart. Scoring is distributed: each filter tap is applied once to
+learning single documents by heart. Thresholds come from all labelled rows: a quarter is never learnt from, Spark
+scores every labelled text that the network has not seen, and counts them by language, label and score. Scoring is distributed: each filter tap is applied once to
 each distinct word of a batch, and a convolution is then a sum of look-ups.
 """
 
@@ -19,6 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,15 @@ class Sample:
     buckets: int = 1 << 18
 
 
+#: One in so many labelled ids is kept out of training.
+KEPT_OUT = 4
+
+#: Toxic rows outside training that a language needs for a threshold of its own.
+LEAST_TOXIC = 30
+
+#: Steps of a score's log odds that are counted apart.
+STEPS = 64
+
 #: Lengths in bytes of the beginnings that have embeddings of their own.
 STEMS = (4, 5)
 
@@ -218,10 +229,21 @@ def scores(net: Network, hashed: np.ndarray, words: np.ndarray, doc: np.ndarray,
     return 1 / (1 + np.exp(-(pooled(net.tables(hashed), ids, starts, sizes) @ net.last + net.bias).astype(float)))
 
 
+def packed_words(hashed: np.ndarray, words: np.ndarray, doc: np.ndarray, n: int, sample: Sample) -> Iterator[bytes]:
+    """The words of each of ``n`` texts, eight bytes a word."""
+    stops = np.searchsorted(doc, np.arange(n), side="right")
+    packed = (hashed[:, 0] * sample.buckets + hashed[:, 1]) * sample.buckets + hashed[:, 2]
+    return (packed[words[a:b]].tobytes() for a, b in zip([0, *stops], stops))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, sample: Sample, id_col: str, text_col: str, lang_col: str) -> list:
-    """Hashed words, label and language of at most ``sample.rows`` labelled documents per class, drawn by a hash of the id."""
+    """Hashed words, label and language of at most ``sample.rows`` labelled documents per class, drawn by a hash of the id.
+
+    One in ``KEPT_OUT`` ids is never drawn.
+    """
     mark = F.xxhash64("doc_id")
-    known = labels.filter(usable & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic")).withColumn("_h", mark)
+    learnt = F.pmod(F.xxhash64("doc_id", F.lit("threshold")), F.lit(KEPT_OUT)) != 0
+    known = labels.filter(usable & F.col("toxic").isin(0, 1) & learnt).select("doc_id", F.col("toxic").cast("int").alias("toxic")).withColumn("_h", mark)
     counts = dict(known.groupBy("toxic").count().collect())
     drawn = None
     for value, count in sorted(counts.items()):
@@ -238,9 +260,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, sample:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             hashed, words, doc = word_hashes(*utf8(batch.column("text")), sample.buckets)
-            stops = np.searchsorted(doc, np.arange(batch.num_rows), side="right")
-            packed = (hashed[:, 0] * sample.buckets + hashed[:, 1]) * sample.buckets + hashed[:, 2]
-            parts = [packed[words[a:b]].tobytes() if b - a <= sample.tokens else None for a, b in zip([0, *stops], stops)]
+            parts = [p if len(p) <= 8 * sample.tokens else None for p in packed_words(hashed, words, doc, batch.num_rows, sample)]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id").cast(pa.int64()), "toxic": batch.column("toxic"), "lang": batch.column("lang"), "words": pa.array(parts, pa.binary())}
             )
@@ -262,16 +282,16 @@ def fit(
 ) -> Network:
     """A network learnt from ``labels`` (``doc_id, toxic``) where ``usable`` holds, with a threshold per language.
 
-    A language's threshold is the score that separates its sample best (F1); languages with fewer than 30 toxic
-    sample texts get that of the whole sample, and a sample without both classes gets 0.5.
+    A language's threshold is the score that separates its labelled rows best (F1), see :func:`score_counts`; languages with
+    fewer than ``LEAST_TOXIC`` toxic rows outside training get that of all rows, and labels without both classes get 0.5.
     """
     usable = F.lit(True) if usable is None else usable
     rows = labelled_sample(docs, labels, usable, sample, id_col, text_col, lang_col)
     toxic = np.array([r["toxic"] for r in rows], np.int64)
-    langs = np.array([r["lang"] or "" for r in rows])
     sizes = [len(r["words"]) // 8 for r in rows]
     packed = np.frombuffer(b"".join(r["words"] for r in rows), np.int64)
     empty = not rows
+    seen = sorted({xxhash.xxh64_intdigest(r["words"]) - (1 << 63) for r in rows})
     del rows
     packed, flat = np.unique(packed, return_inverse=True)
     rest, third = np.divmod(packed, sample.buckets)
@@ -281,29 +301,66 @@ def fit(
     if not 0 < toxic.sum() < len(toxic):
         net.thresholds = {None: 0.5}
         return net
-    parts = []
-    for k in range(0, len(texts), 256):
-        some = texts[k : k + 256]
-        words, at = np.unique(np.concatenate(some), return_inverse=True)
-        doc = np.repeat(np.arange(len(some)), [len(t) for t in some])
-        parts.append(scores(net, hashed[words], at, doc, len(some)))
-    got = np.concatenate(parts)
-    whole = best_threshold(got, toxic)
-    net.thresholds = {None: whole}
-    for lang in np.unique(langs):
-        mine = langs == lang
-        net.thresholds[str(lang)] = best_threshold(got[mine], toxic[mine]) if toxic[mine].sum() >= 30 else whole
+    net.thresholds = thresholds(score_counts(docs, labels, usable, net, seen, sample, id_col, text_col, lang_col).collect())
     return net
 
 
-def best_threshold(got: np.ndarray, toxic: np.ndarray) -> float:
-    """The cut with the best F1, in the middle of its gap; of equal cuts the highest."""
-    order = np.argsort(-got, kind="stable")
-    hits = np.cumsum(toxic[order])
-    f1 = 2 * hits / (np.arange(1, len(got) + 1) + toxic.sum())
-    k = int(f1.argmax())
-    below = got[order[k + 1]] if k + 1 < len(got) else 0.0
-    return float((got[order[k]] + below) / 2)
+def score_counts(
+    docs: DataFrame, labels: DataFrame, usable: Column, net: Network, seen: list[int], sample: Sample, id_col: str, text_col: str, lang_col: str
+) -> DataFrame:
+    """``lang, toxic, step, n, fresh``: labelled rows by step of their score's log odds, and how many have texts not in ``seen``.
+
+    Only ids and steps meet the labels, texts stay where they are.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            hashed, words, doc = word_hashes(*utf8(batch.column("text")), sample.buckets)
+            score = np.clip(scores(model.value, hashed, words, doc, batch.num_rows), 1e-12, 1 - 1e-12)
+            step = np.floor(np.log(score / (1 - score)) * STEPS).astype(np.int32)
+            known = np.array([xxhash.xxh64_intdigest(p) - (1 << 63) for p in packed_words(hashed, words, doc, batch.num_rows, sample)], np.int64)
+            fresh = ~np.isin(known, seen)
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "lang": batch.column("lang"), "step": pa.array(step), "fresh": pa.array(fresh)})
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
+    marks = labels.filter(usable & F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    found = rows.filter("doc_id is not null").mapInArrow(run, "doc_id long, lang string, step int, fresh boolean").join(marks, "doc_id")
+    return found.groupBy("lang", "toxic", "step").agg(F.count(F.lit(1)).alias("n"), F.count_if("fresh").alias("fresh"))
+
+
+def thresholds(counts: list) -> dict[str | None, float]:
+    """The threshold of all rows (None) and of each language with enough toxic rows, from ``lang, toxic, step, n, fresh``.
+
+    Scores are distributed as those outside training, classes as in all labelled rows, whatever share of a class was learnt from.
+    """
+
+    def best(rows: list) -> float | None:
+        steps = sorted({step for _, _, step, _, fresh in rows if fresh}, reverse=True)
+        at = {step: k for k, step in enumerate(steps)}
+        total, found = np.zeros(2), np.zeros((2, len(steps)))
+        for _, toxic, step, n, fresh in rows:
+            total[toxic] += n
+            if fresh:
+                found[toxic, at[step]] += fresh
+        unseen = found.sum(axis=1)
+        if not unseen.all():
+            return None
+        false, true = np.cumsum(found * (total / unseen)[:, None], axis=1)
+        k = int((2 * true / (true + false + total[1])).argmax())
+        # In the middle of the gap below the lowest step that counts as toxic.
+        low = 1 / (1 + np.exp(-(steps[k + 1] + 1) / STEPS)) if k + 1 < len(steps) else 0.0
+        return float((1 / (1 + np.exp(-steps[k] / STEPS)) + low) / 2)
+
+    whole = best(counts)
+    result: dict[str | None, float] = {None: 0.5 if whole is None else whole}
+    by_lang: dict[str, list] = {}
+    for row in counts:
+        by_lang.setdefault(row[0], []).append(row)
+    for lang, rows in sorted(by_lang.items()):
+        if sum(fresh for _, toxic, _, _, fresh in rows if toxic) >= LEAST_TOXIC and (own := best(rows)) is not None:
+            result[lang] = own
+    return result
 
 
 def scored(docs: DataFrame, net: Network, sample: Sample = Sample(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:

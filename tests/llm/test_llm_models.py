@@ -264,3 +264,30 @@ def test_toxicity_held_out(spark):
     rows = toxicity.scored(held, net).select("row.toxic", "score").collect()
     score, toxic = np.array([r["score"] for r in rows]), np.array([r["toxic"] for r in rows])
     assert (score[toxic == 1] >= 0.5).mean() > 0.8 and (score[toxic == 0] >= 0.5).mean() < 0.02
+
+
+def test_toxicity_thresholds_of_languages_come_from_all_labels(spark):
+    r = random.Random(5)
+    rows = []
+    for i in range(1200):
+        toxic, lang = int(i % 3 == 0), "en" if i % 2 else "de"
+        words = [r.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(12)]
+        if toxic or lang == "de" and r.random() < 0.2:
+            words[3] = "vilest"
+        rows.append((i, " ".join(words) + f" {i}", lang, toxic))
+    docs = spark.createDataFrame([x[:3] for x in rows], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(x[0], x[3]) for x in rows], "doc_id long, toxic int")
+    net = toxicity.fit(docs, marks, sample=toxicity.Sample(rows=20))
+    assert set(net.thresholds) == {None, "en", "de"}
+    assert len(set(net.thresholds.values())) > 1
+    counts = toxicity.score_counts(docs, marks, F.lit(True), net, [], toxicity.Sample(), "doc_id", "text", "lang").collect()
+    assert sum(x["n"] for x in counts) == sum(x["fresh"] for x in counts) == 1200
+
+
+def test_toxicity_thresholds_do_not_follow_what_was_sampled():
+    # Nine in ten toxic rows were learnt from, and few of the others.
+    few = [("en", 1, 64, 1000, 100), ("en", 1, -64, 1000, 100), ("en", 0, -64, 1500, 1400), ("en", 0, -640, 9000, 8900)]
+    all_ = [(lang, toxic, step, n, n) for lang, toxic, step, n, _ in few]
+    got = toxicity.thresholds(few)
+    assert got == pytest.approx(toxicity.thresholds(all_)) and got["en"] == got[None] < 0.27
+    assert toxicity.thresholds([("en", 1, 5, 3, 0), ("en", 0, 5, 3, 3)]) == {None: 0.5}
