@@ -15,15 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.operators.ordered import (
-    COPIES,
-    collapse_copies,
-    has_crowds,
-    into_chunks,
-    percentile_cont,
-    previous_in_chunks,
-    repeat_rows,
-)
+from larder.operators.ordered import percentile_cont
+from larder.operators.sweep import swept
 from larder.session import ship_package, stage
 
 FEATURES = ("temperature_c", "duration_minutes", "delta_temp_per_minute")
@@ -34,25 +27,17 @@ def anomaly_features(readings: DataFrame, copy_index: str | None = None) -> Data
 
     The first reading of a device has zeros. Readings of one instant are ordered by their
     values; exact copies follow each other with no change. A device may hold any share of
-    the readings. ``copy_index`` keeps the number of the copy, which together with the
-    reading's own columns identifies every row.
+    the readings. ``copy_index`` names the reading's number in its device's order, which
+    together with the reading's own columns identifies every row.
     """
     columns = readings.columns
     order = ["telemetry_timestamp", "temperature_c"]
     order += [c for c in columns if c not in ("device_id", *order)]
-    distinct = collapse_copies(readings)
-    stored = into_chunks(distinct, ["device_id"], order)
-    linked = previous_in_chunks(
-        stored,
-        ["device_id"],
-        order,
-        {"telemetry_timestamp": "_previous_time", "temperature_c": "_previous_temperature"},
-    )
-    rows = repeat_rows(linked, COPIES, "_copy", crowds=has_crowds(stored))
-    first = F.col("_copy") == 1
+    before = {"telemetry_timestamp": "_previous_time", "temperature_c": "_previous_temperature"}
+    rows = swept(readings, ["device_id"], order, before, position=copy_index)
     micros = F.timestamp_diff("MICROSECOND", F.col("_previous_time"), F.col("telemetry_timestamp"))
-    minutes = F.when(first, micros / F.lit(1000000.0) / F.lit(60.0))
-    change = F.when(first, F.col("temperature_c") - F.col("_previous_temperature"))
+    minutes = micros / F.lit(1000000.0) / F.lit(60.0)
+    change = F.col("temperature_c") - F.col("_previous_temperature")
     result = rows.withColumns(
         {
             "duration_minutes": F.coalesce(minutes, F.lit(0.0)),
@@ -65,9 +50,7 @@ def anomaly_features(readings: DataFrame, copy_index: str | None = None) -> Data
         ),
     )
     added = ["duration_minutes", "temp_diff", "delta_temp_per_minute"]
-    if copy_index:
-        return result.withColumnRenamed("_copy", copy_index).select(*columns, *added, copy_index)
-    return result.select(*columns, *added)
+    return result.select(*columns, *added, *([copy_index] if copy_index else []))
 
 
 def classify_anomaly(scored: DataFrame) -> DataFrame:

@@ -11,15 +11,8 @@ from pyspark.sql import functions as F
 
 from larder.functions.numbers import regexp_match
 from larder.operators.expectations.core import Predicate, as_column, bounds_hold, failing, where
-from larder.operators.ordered import (
-    COPIES,
-    collapse_copies,
-    has_crowds,
-    into_chunks,
-    percentile_cont,
-    previous_in_chunks,
-    repeat_rows,
-)
+from larder.operators.ordered import percentile_cont
+from larder.operators.sweep import swept
 
 PREDICATES: dict[str, Callable[..., Predicate]] = {}
 
@@ -271,13 +264,8 @@ def _monotone(df, column, sort_column, strictly, row_condition, group_by, step,
     )
     keys = [f"_group_{i}" for i in range(len(groups))]
     order = ["sort_column", "value_field"]
-    stored = into_chunks(collapse_copies(rows), keys, order)
-    linked = previous_in_chunks(stored, keys, order, {"value_field": "value_field_lag"})
+    copies = swept(rows, keys, order, {"value_field": "value_field_lag"})
     value, before = F.col("value_field"), F.col("value_field_lag")
-    # Every copy after the first follows a row like itself.
-    copies = repeat_rows(linked, COPIES, "_copy", crowds=has_crowds(stored)).withColumn(
-        "value_field_lag", F.when(F.col("_copy") > 1, value).otherwise(before)
-    )
     compare = {(True, True): operator.gt, (True, False): operator.ge, (False, True): operator.lt, (False, False): operator.le}
     holds = compare[rising, strictly](value, before)
     if step:

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.expectations.core import as_column, ignore_row_if, where
-from larder.operators.ordered import COPIES, has_crowds, repeat_rows, row_positions
-from larder.session import stage
+from larder.operators.sweep import swept
 
 __all__ = [
     "expect_column_values_to_be_unique",
@@ -57,22 +56,15 @@ def expect_select_column_values_to_be_unique_within_record(
     """Fails for each row with fewer distinct values than columns.
 
     Values are compared as text; a missing value is none, so a partly empty row fails.
-    ``row_index`` is the row's position in the table ordered by the columns. Equal rows are
-    counted before they are placed, and positions come from running counts per chunk.
+    ``row_index`` is the row's position in the table ordered by the columns.
     """
     names = _column_names(column_list, quote_columns)
     rows = where(df, row_condition).filter(ignore_row_if(ignore_row_if_mode, names))
     columns = [f"_c{i}" for i in range(len(names))]
-    placed = row_positions(rows.select(*(as_column(n).alias(c) for n, c in zip(names, columns))), columns)
+    placed = swept(rows.select(*(as_column(n).alias(c) for n, c in zip(names, columns))), [], columns, position="row_index")
     texts = F.array(*(F.col(c).cast("string") for c in columns))
-    distinct = F.size(F.array_distinct(F.array_compact(texts)))
-    broken = placed.withColumn("column_values", distinct.cast("bigint")).filter(
-        F.col("column_values") < len(names)
-    )
-    broken = stage(broken, "broken-records")
-    return repeat_rows(broken, COPIES, "_copy", crowds=has_crowds(broken)).select(
-        (F.col("_first") + F.col("_copy") - 1).alias("row_index"), "column_values"
-    )
+    distinct = F.size(F.array_distinct(F.array_compact(texts))).cast("bigint").alias("column_values")
+    return placed.select("row_index", distinct).filter(F.col("column_values") < len(names))
 
 
 def not_null(df: DataFrame, column: str, row_condition=None) -> DataFrame:

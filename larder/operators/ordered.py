@@ -1,81 +1,24 @@
 """Order-dependent operators over groups of any size.
 
 A plain window sends a whole group to one task. With few devices, one best-selling product
-or no grouping at all, that task holds a third of the table or all of it. Here the rows
-are range-partitioned on (group, order) into evenly filled chunks instead; windows run
-inside a chunk, and what a chunk needs from earlier ones is carried over by a small table.
+or no grouping at all, that task holds a third of the table or all of it. What depends on the
+order of rows comes from :mod:`larder.operators.sweep` instead: sorted range partitions with an
+exchange at their boundaries.
 
-A group that spans several chunks lies in neighbouring ones, so ``n`` chunks hold at most
-``2 n`` (group, chunk) pairs of spanning groups. That bounds every carried table, whatever
-the data: broadcasting it is safe.
-
-Exact copies cannot be told apart by any order, so callers collapse them into one row with
-a count first and unfold them afterwards (:func:`collapse_copies`, :func:`repeat_rows`).
+:func:`collapse_copies` and :func:`repeat_rows` count exact copies and unfold them again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.session import stage
+from larder.operators.sweep import swept
 
-CHUNK = "_chunk"
 COPIES = "_copies"
 BLOCK = 1 << 16
-# Bytes of input files per chunk; a chunk is sorted by one task.
-CHUNK_BYTES = 64 << 20
-# Carried tables have up to two rows per chunk and are broadcast, hence a limit; beyond it chunks grow.
-MAX_CHUNKS = 200_000
-
-
-def _ascending(columns: Sequence[str]) -> list[Column]:
-    return [F.col(f"`{c}`").asc_nulls_last() for c in columns]
-
-
-def _descending(columns: Sequence[str]) -> list[Column]:
-    return [F.col(f"`{c}`").desc_nulls_first() for c in columns]
-
-
-def _rank_key(columns: Sequence[str]) -> Column:
-    """A struct that compares like ``ORDER BY columns NULLS LAST``."""
-    fields = []
-    for i, c in enumerate(columns):
-        col = F.col(f"`{c}`")
-        fields += [col.isNull().alias(f"n{i}"), col.alias(f"v{i}")]
-    return F.struct(*fields)
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Size of what the plan reads, as the optimizer knows it; sources of unknown size count as nothing."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = (int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
-    return sum(size for size in sizes if size < 1 << 60)
-
-
-def into_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Store ``df`` range-partitioned on (by, order), with the partition number as a column.
-
-    The range bounds come from sampling, so the assignment is written down once and read
-    from there; recomputing it could place rows differently. The number of chunks follows the input's size.
-    """
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = max(least, min(-(-input_bytes(df) // CHUNK_BYTES), MAX_CHUNKS))
-    ranged = df.repartitionByRange(n, *_ascending([*by, *order]))
-    return stage(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
-
-
-def _attach(df: DataFrame, carried: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Left join of the small carried table on (by, chunk); NULL groups match."""
-    right = carried.select(
-        *(F.col(f"`{c}`").alias(f"_r_{i}") for i, c in enumerate([*by, CHUNK])),
-        *(F.col(f"`{c}`") for c in carried.columns if c not in (*by, CHUNK)),
-    )
-    on = [F.col(f"`{c}`").eqNullSafe(F.col(f"_r_{i}")) for i, c in enumerate([*by, CHUNK])]
-    joined = df.join(F.broadcast(right), on, "left")
-    return joined.drop(*(f"_r_{i}" for i in range(len(by) + 1)))
 
 
 def with_previous(
@@ -83,30 +26,9 @@ def with_previous(
 ) -> DataFrame:
     """Add the values of the preceding row of the group; ``values`` maps column to new name.
 
-    ``order`` must be total within a group (no two rows alike).
+    Rows that ``order`` leaves alike follow one another in any order.
     """
-    return previous_in_chunks(into_chunks(df, by, order), by, order, values)
-
-
-def previous_in_chunks(
-    staged: DataFrame, by: Sequence[str], order: Sequence[str], values: dict[str, str]
-) -> DataFrame:
-    """:func:`with_previous` on what :func:`into_chunks` has stored."""
-    in_chunk = Window.partitionBy(*by, CHUNK).orderBy(*_ascending(order))
-    picked = F.struct(*(F.col(f"`{c}`").alias(out) for c, out in values.items()))
-
-    last = staged.groupBy(*by, CHUNK).agg(F.max_by(picked, _rank_key(order)).alias("_last"))
-    across = Window.partitionBy(*by).orderBy(CHUNK)
-    carried = (
-        last.withColumn("_carried", F.lag("_last").over(across))
-        .filter(F.col("_carried").isNotNull())
-        .select(*by, CHUNK, "_carried")
-    )
-    rows = _attach(staged.withColumn("_local", F.lag(picked).over(in_chunk)), carried, by)
-    previous = F.coalesce(F.col("_local"), F.col("_carried"))
-    return rows.withColumns({out: previous[out] for out in values.values()}).drop(
-        "_local", "_carried", CHUNK
-    )
+    return swept(df, by, order, lags=values)
 
 
 def with_running_sum(
@@ -134,31 +56,8 @@ def with_running_sums(
     total: str | None = None,
 ) -> DataFrame:
     """:func:`with_running_sum` in several directions at once; ``outputs`` maps a name to whether it descends."""
-    staged = into_chunks(df, by, order)
-    sums = staged.groupBy(*by, CHUNK).agg(F.sum(value).alias("_sum"))
-    across, in_chunk = Window.partitionBy(*by), Window.partitionBy(*by, CHUNK)
-    carried = sums.withColumns(
-        {"_sum_total": F.sum("_sum").over(across), "_span": F.count(F.lit(1)).over(across)}
-    )
-    local = staged
-    for k, (out, descending) in enumerate(outputs.items()):
-        before = across.orderBy(F.desc(CHUNK) if descending else F.asc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
-        carried = carried.withColumn(f"_before_{k}", F.sum("_sum").over(before))
-        ordered = in_chunk.orderBy(*(_descending(order) if descending else _ascending(order)))
-        running = F.sum(value).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        local = local.withColumn(f"_here_{k}", running)
-    befores = [f"_before_{k}" for k in range(len(outputs))]
-    carried = carried.filter(F.col("_span") > 1).select(*by, CHUNK, *befores, "_sum_total")
-    if total:
-        local = local.withColumn("_sum_chunk", F.sum(value).over(in_chunk))
-    rows = _attach(local, carried, by)
-    for k, out in enumerate(outputs):
-        here, before = F.col(f"_here_{k}"), F.col(f"_before_{k}")
-        # A NULL part (only NULL values so far) must not erase the other one.
-        rows = rows.withColumn(out, F.coalesce(here + before, here, before))
-    if total:
-        rows = rows.withColumn(total, F.coalesce("_sum_total", "_sum_chunk"))
-    return rows.drop(*befores, *(f"_here_{k}" for k in range(len(outputs))), "_sum_total", "_sum_chunk", CHUNK)
+    running = {out: (value, descending) for out, descending in outputs.items()}
+    return swept(df, by, order, running=running, totals={total: value} if total else None)
 
 
 def collapse_copies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -253,11 +152,3 @@ def percentile_cont(
 def median(df: DataFrame, column: str, by: Sequence[str] = (), out: str = "median") -> DataFrame:
     """Exact interpolated median."""
     return percentile_cont(df, column, 0.5, by, out)
-
-
-def row_positions(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Distinct rows over ``order`` with ``_copies`` and ``_first``, the 1-based position of
-    the first copy in the ordered table. Together they number every row."""
-    counted = collapse_copies(df.select(*order))
-    placed = with_running_sum(counted, [], order, COPIES, "_upto")
-    return placed.withColumn("_first", F.col("_upto") - F.col(COPIES) + 1).drop("_upto")

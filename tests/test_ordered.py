@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from larder.operators import expectations as e
 from larder.operators import ordered as o
+from larder.operators import sweep
+from larder.operators.sweep import swept
+from larder.session import stage
 
 
 def rows(seed: int, n: int = 600):
@@ -128,13 +131,13 @@ def test_monotone_checks_match_brute_force(spark, rising, strictly, step, groupe
     assert got == sorted(want, key=str)
 
 
-def test_row_positions_number_every_row(spark):
+def test_positions_number_every_row(spark):
     data = [(g, v) for g, _, v in rows(7)]
     df = spark.createDataFrame(data, "g string, v double")
     ordered = sorted(data, key=lambda r: (last(r[0]), last(r[1])))
-    for r in o.row_positions(df, ["g", "v"]).collect():
-        stretch = ordered[r._first - 1 : r._first - 1 + r._copies]
-        assert stretch == [(r.g, r.v)] * r._copies
+    found = sorted(swept(df, [], ["g", "v"], position="at").collect(), key=lambda r: r["at"])
+    assert [r["at"] for r in found] == list(range(1, len(data) + 1))
+    assert [(r.g, r.v) for r in found] == ordered
 
 
 def test_result_does_not_depend_on_partitions(spark):
@@ -150,10 +153,53 @@ def test_result_does_not_depend_on_partitions(spark):
     assert seen[0] == seen[1] == seen[2]
 
 
-def test_whole_table_lag_is_windowed_per_chunk(spark):
+def test_one_shuffle_and_no_window(spark):
     df = spark.createDataFrame(rows(9), SCHEMA)
     found = e.expect_column_values_to_be_increasing(df, "v", "k")
-    assert "hashpartitioning(_chunk" in found._jdf.queryExecution().executedPlan().toString()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("parts", [1, 5, 40])
+def test_sweep_matches_brute_force(spark, parts):
+    """Groups over many partitions, partitions without rows, NULL and NaN groups and values, copies of one row."""
+    rng = random.Random(parts)
+    groups = [None, 1.5, float("nan"), 2.5, 2.5, 2.5]
+    data = [(rng.choice(groups), rng.choice([None, *range(9)]), rng.choice([None, -3, 0, 7])) for _ in range(400)]
+    data += [(2.5, 4, 7)] * 300
+    df = spark.createDataFrame(data, "g double, k int, v int")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        running = {"up": ("v", False), "down": ("v", True)}
+        found = swept(df, ["g"], ["k", "v"], {"v": "lag", "k": "klag"}, running, {"sum": "v"}, "at").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    name = lambda g: "nan" if g is not None and g != g else g
+    sums = lambda xs: sum(xs) if xs else None
+    want = []
+    for g in {name(r[0]) for r in data}:
+        mine = sorted(((k, v) for h, k, v in data if name(h) == g), key=lambda r: (last(r[0]), last(r[1])))
+        there = [[v for _, v in part if v is not None] for part in (mine,)][0]
+        for i, (k, v) in enumerate(mine):
+            upto = [x for _, x in mine[: i + 1] if x is not None]
+            rest = [x for _, x in mine[i:] if x is not None]
+            before = mine[i - 1] if i else (None, None)
+            want.append((g, k, v, before[1], before[0], sums(upto), sums(rest), sums(there), i + 1))
+    assert sorted(((name(r.g), *r[1:]) for r in found), key=str) == sorted(want, key=str)
+
+
+def test_sweep_sums_decimals_and_endless_values(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, float("inf")), ("b", 1, 2.0), ("b", 2, None)], "g string, k int, v double")
+    df = df.withColumn("d", F.col("v").cast("int").cast("decimal(10,2)"))
+    found = {(r.g, r.k): (r.up, r.dec) for r in swept(df.filter("k = 1"), ["g"], ["k"], running={"up": ("v", False), "dec": ("d", True)}).collect()}
+    assert found["a", 1] == (1.0, 1) and found["b", 1] == (2.0, 2)
+    up = {(r.g, r.k): r.up for r in swept(df.drop("d"), ["g"], ["k"], running={"up": ("v", False)}).collect()}
+    assert up["a", 2] == float("inf") and up["b", 1] == 2.0 and up["b", 2] == 2.0
+
+
+def test_sweep_of_nothing(spark):
+    df = spark.createDataFrame([], "g string, k int")
+    assert swept(df, ["g"], ["k"], {"k": "p"}, position="at").collect() == []
 
 
 def test_both_directions_at_once(spark):
@@ -164,12 +210,15 @@ def test_both_directions_at_once(spark):
         assert got[k] == (sum(3 * x for x in same if x <= k), sum(3 * x for x in same if x >= k))
 
 
-def test_chunks_follow_the_input(spark, monkeypatch):
+def test_partitions_follow_the_input(spark, monkeypatch):
     df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_linenumber")
-    size = o.input_bytes(df)
+    size = sweep.input_bytes(df)
     assert size > 0
-    monkeypatch.setattr(o, "CHUNK_BYTES", size // 9)
-    assert o.into_chunks(df, [], ["l_orderkey"]).select(o.CHUNK).distinct().count() > 4
+    monkeypatch.setattr(sweep, "CHUNK_BYTES", size // 9)
+    kept = []
+    monkeypatch.setattr(sweep, "stage", lambda d, label: kept.append(d) or stage(d, label))
+    swept(df, [], ["l_orderkey"], position="at")
+    assert kept[-1].select(sweep.CHUNK).distinct().count() > 4
 
 
 def test_no_crowds_needs_no_second_pass(spark):
