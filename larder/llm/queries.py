@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exactdup, hmm, langid, lengths, mixing, quality, simhash, templates, toxicity
+from larder.llm import bpe, exactdup, hmm, langid, lengths, merkle, mixing, quality, simhash, templates, toxicity
 from larder.llm.common import crc_mod, table
 
 #: Ranks that lengths are counted with, and the pattern that splits a text before its merges (fixed values of the file).
@@ -107,6 +107,95 @@ def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+#: A-Z, and what they become.
+CAPITALS, SMALL_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Merkle tree per language and one over these, with every document's proof checked against a tampered third."""
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", CAPITALS, SMALL_LETTERS)
+    given, tampered = (
+        merkle.digest(*(merkle.field(c) for c in (F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)))
+        for text in (F.col("text"), lowered)
+    )
+    shown = F.when(crc_mod(F.col("doc_id"), 3) == 0, tampered)
+    trees = merkle.Manifest(docs.select("doc_id", "lang", given.alias("leaf"), shown.alias("shown")), F.col("lang"), ["doc_id"])
+    subroots = trees.roots.select("key", F.col("root").alias("leaf"))
+    found = trees.proofs(merkle.Manifest(subroots, F.lit("all"), ["key"]).proofs())
+    folded = merkle.folded(F.coalesce("shown", "leaf"), F.col("lefts"), F.col("rights"))
+    found = found.withColumn("folded_root", folded)
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.siblings_digest(F.col("lefts"), F.col("rights")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 (reflected, polynomial EDB88320) of an ASCII text."""
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    codes = f"list_transform(string_split({text}, ''), lambda d: ascii(d)::BIGINT)"
+    return f"(CASE WHEN {text} = '' THEN 0 ELSE xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {step}), 4294967295) END)"
+
+
+def _merkle_sql(levels: int = 7, top_levels: int = 3) -> str:
+    """The trees level by level; the number of levels bounds a language at 8 ** levels documents."""
+
+    def field(value: str) -> str:
+        return f"coalesce(octet_length(encode(({value})::VARCHAR))::VARCHAR || ':' || ({value})::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    run = "PARTITION BY key, i // 8 ORDER BY i ROWS BETWEEN"
+
+    def tree(name: str, first: str, depth: int) -> list[str]:
+        made = [f"{name}0 AS ({first})"]
+        for k in range(depth):
+            made.append(
+                f"{name}{k + 1} AS (SELECT key, i // 8 AS i, (any_value(n) + 7) // 8 AS n, sha256(string_agg(h, '' ORDER BY i)) AS h "
+                f"FROM {name}{k} WHERE n > 1 GROUP BY key, i // 8)"
+            )
+        for k in range(depth):
+            left, right = (
+                f"coalesce(string_agg(h, '') OVER ({run} {rows}), '')"
+                for rows in ("UNBOUNDED PRECEDING AND 1 PRECEDING", "1 FOLLOWING AND UNBOUNDED FOLLOWING")
+            )
+            made.append(f"{name}s{k} AS (SELECT key, i, {left} AS a, {right} AS b FROM {name}{k} WHERE n > 1)")
+        ends = " UNION ALL ".join(f"SELECT key, h FROM {name}{k} WHERE n = 1" for k in range(depth + 1))
+        return [*made, f"{name}_root AS ({ends})"]
+
+    def climb(rows: str, name: str, depth: int, key: str, place: str) -> str:
+        for k in range(depth):
+            rows = (
+                f"SELECT r.* EXCLUDE (proof, f), proof || coalesce(s.a || s.b, '') AS proof, CASE WHEN s.a IS NULL THEN f ELSE sha256(s.a || f || s.b) END AS f "
+                f"FROM ({rows}) r LEFT JOIN {name}s{k} s ON s.key = r.{key} AND s.i = r.{place} // {8**k}"
+            )
+        return rows
+
+    lowered = f"translate(text, '{CAPITALS}', '{SMALL_LETTERS}')"
+    crc = crc_sql("coalesce(doc_id::VARCHAR, '')")
+    parts = [
+        f"d AS (SELECT doc_id, coalesce('=' || lang, '') AS key, {leaf('text')} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {leaf(lowered)} ELSE {leaf('text')} END AS shown FROM documents)",
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id, leaf) - 1 AS i, count(*) OVER (PARTITION BY key) AS n FROM d)",
+        *tree("l", "SELECT key, i, n, leaf AS h FROM placed", levels),
+        "subs AS (SELECT key, h, row_number() OVER (ORDER BY key) - 1 AS place FROM l_root)",
+        *tree("t", "SELECT 'all' AS key, place AS i, (SELECT count(*) FROM subs) AS n, h FROM subs", top_levels),
+        f"way AS ({climb('SELECT *, shown AS f, chr(32) AS proof FROM placed', 'l', levels, 'key', 'i')})",
+        "whole AS (SELECT way.*, subs.h AS subroot, subs.place, 'all' AS top FROM way JOIN subs USING (key))",
+        f"done AS ({climb('SELECT * FROM whole', 't', top_levels, 'top', 'place')})",
+    ]
+    return (
+        "WITH " + ", ".join(parts) + " SELECT doc_id, leaf, subroot, root.h AS root, sha256(proof[2:]) AS proof_sha256, f AS folded_root, f = root.h AS verified "
+        "FROM done CROSS JOIN t_root root"
+    )
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_lengths": op2_lengths,
@@ -118,8 +207,10 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_templates": op10_templates,
+    "op13_merkle": op13_merkle,
 }
 
 SQL = {
     "op7_exact_dedup": OP7_SQL,
+    "op13_merkle": _merkle_sql(),
 }
