@@ -8,6 +8,7 @@ bounds how much text one step holds: a batch is cut by bytes, between documents
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -138,3 +139,54 @@ def lookup(left: DataFrame, right: DataFrame, key: str, copies: str, total: int)
     hot, rest = right.filter(F.col(copies) >= bar), right.filter(F.col(copies) < bar)
     keys = F.broadcast(hot.select(key))
     return left.join(F.broadcast(hot), key).unionByName(left.join(keys, key, "left_anti").join(rest, key))
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges after one another."""
+    stops = np.cumsum(lengths)
+    return np.arange(int(stops[-1]) if len(stops) else 0) + np.repeat(starts - stops + lengths, lengths)
+
+
+class Memory:
+    """Runs of ids by piece of text, in flat arrays. When it is full, the half that was met in the fewest batches goes."""
+
+    def __init__(self, limit: int):
+        self.limit, self.place = limit, {}
+        self.start, self.length, self.met = (np.zeros(1024, np.int64) for _ in range(3))
+        self.flat, self.filled = np.zeros(4096, np.int32), 0
+
+    def find(self, pieces: list[bytes]) -> np.ndarray:
+        """Number of each piece, -1 for new ones. Pieces are distinct."""
+        if len(self.place) > self.limit:
+            self._forget()
+        found = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
+        self.met[found[found >= 0]] += 1
+        return found
+
+    def add(self, pieces: list[bytes], flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Numbers of new pieces; their ids lie after one another in ``flat``."""
+        n, more = len(self.place), len(pieces)
+        while n + more > len(self.start):
+            self.start, self.length, self.met = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.length, self.met))
+        while self.filled + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.place.update(zip(pieces, range(n, n + more)))
+        self.start[n : n + more] = self.filled + np.cumsum(lengths) - lengths
+        self.length[n : n + more], self.met[n : n + more] = lengths, 1
+        self.flat[self.filled : self.filled + len(flat)] = flat
+        self.filled += len(flat)
+        return np.arange(n, n + more)
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces after one another, and how many each has."""
+        lengths = self.length[numbers]
+        return self.flat[ranges(self.start[numbers], lengths)], lengths
+
+    def _forget(self) -> None:
+        n, names = len(self.place), list(self.place)
+        kept = np.sort(np.argpartition(-self.met[:n], self.limit // 2)[: self.limit // 2])
+        flat, lengths = self.ids(kept)
+        met = self.met[kept]
+        self.__init__(self.limit)
+        self.add([names[k] for k in kept.tolist()], flat, lengths)
+        self.met[: len(met)] = met // 2

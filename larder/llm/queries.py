@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exactdup, hmm, langid, lengths, merkle, mixing, quality, simhash, templates, toxicity
+from larder.llm import bpe, bytebpe, exactdup, hmm, langid, lengths, merkle, mixing, quality, simhash, templates, toxicity, trie
 from larder.llm.common import crc_mod, table
 
 #: Ranks that lengths are counted with, and the pattern that splits a text before its merges (fixed values of the file).
-RANKS = os.environ.get("LARDER_RANK_FILE", "/opt/tokenizers/byte_bpe_50k.tiktoken")
-RANK_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+RANK_PATTERN = public_tokenizers.PATTERN
 
 #: Vocabulary of the encoder; another file of the same kind may take its place.
-VOCABULARY = os.environ.get("LARDER_BPE_FILE", "/opt/tokenizers/word_bpe_49k.json")
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +106,49 @@ def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as ranks and back, as digests."""
+    found = bytebpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, each begun with up to three turns of the first of its twenty."""
+    placed = trie.turns(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    return trie.prefix_trie(trie.with_shared_beginnings(placed, conv - conv % 20, crc_mod(conv, 4)))
+
+
+def _trie_sql() -> str:
+    word = r"[^\x20\x09-\x0D]+"
+    return f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+d AS (SELECT *, sha256(octet_length(encode(role))::VARCHAR || ':' || role || text) AS tid FROM c),
+t AS (SELECT conv_id, tid, len(regexp_extract_all(text, '{word}')) AS words,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, tid) AS p FROM d),
+ids AS (SELECT conv_id, conv_id - conv_id % 20 AS donor, {crc_sql('conv_id::VARCHAR')} % 4 AS h FROM (SELECT DISTINCT conv_id FROM c)),
+rebuilt AS (SELECT ids.conv_id, 0 AS part, p, tid, words FROM ids JOIN t ON t.conv_id = donor AND p <= h
+  UNION ALL SELECT ids.conv_id, 1, p, tid, words FROM ids JOIN t ON t.conv_id = ids.conv_id AND p > h),
+paths AS (SELECT conv_id, row_number() OVER w AS depth, string_agg('/' || tid, '') OVER w AS path, words FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, p)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM ids),
+nodes AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words, CASE WHEN depth > 0 THEN left(path, length(path) - 65) END AS up FROM paths GROUP BY path, depth),
+ends AS (SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, path FROM paths QUALIFY depth = max(depth) OVER (PARTITION BY conv_id)) GROUP BY path),
+kids AS (SELECT up, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY up),
+family AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids ON kids.up = nodes.path),
+above AS (SELECT f.path, f.n_children, (f.n_convs - 1) * f.words AS worth, UNNEST(generate_series(0, f.depth)) AS k FROM family f),
+sums AS (SELECT left(path, (65 * k)::INT) AS path, sum((n_children = 0)::INT) AS n_leaves, sum(worth) AS saved FROM above GROUP BY 1)
+SELECT f.conv_id, f.depth, parent.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+  sha256(coalesce(ends.ids, '')) AS ends_sha256
+FROM family f JOIN sums USING (path) LEFT JOIN ends USING (path) LEFT JOIN nodes parent ON parent.path = f.up
+"""
+
+
 #: A-Z, and what they become.
 CAPITALS, SMALL_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -207,10 +249,13 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_templates": op10_templates,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_trie": op12_trie,
     "op13_merkle": op13_merkle,
 }
 
 SQL = {
     "op7_exact_dedup": OP7_SQL,
+    "op12_trie": _trie_sql(),
     "op13_merkle": _merkle_sql(),
 }
