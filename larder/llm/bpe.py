@@ -5,8 +5,9 @@ rank of its merge and its place; the root is the leftmost pair of lowest rank. A
 leaves at most, each with a walk to the root, until the root holds no merge.
 
 Pieces of up to ``WIDE`` symbols are encoded many at a time, their trees side by side in numpy
-arrays; longer ones have a tree of their own. Spark spreads the documents; a task keeps the
-tokens of the words it has met (bounded by ``MEMORY_WORDS``), so a word costs its tree once.
+arrays; longer ones have a tree of their own. Spark spreads the documents; a worker keeps the
+ids of the words it meets, in flat arrays and from task to task (bounded by ``MEMORY_WORDS``, the commonest
+stay), so a word costs its tree once. Decoded text is taken from the ids by one gather.
 
 The vocabulary file is read on the driver and broadcast: it has a fixed size.
 """
@@ -25,10 +26,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import coded_words, slices, utf8
+from larder.llm.common import Memory, coded_words, ranges, slices, utf8
 
-#: Symbols up to which pieces share arrays, and words a task remembers before it starts anew.
-WIDE, MEMORY_WORDS = 64, 150_000
+#: Symbols up to which pieces share arrays; words that a worker remembers, and how long these may be.
+WIDE, MEMORY_WORDS, MEMORY_LENGTH = 64, 400_000, 64
 
 #: No merge: above every rank.
 NONE = np.int64(1) << 60
@@ -57,6 +58,8 @@ class Bpe:
         self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         split = spec["pre_tokenizer"]["pretokenizers"][0]
         self.pieces = regex.compile(split["pattern"]["Regex"])
+        # Then a word of letters alone is one piece.
+        self.letter_runs = r"[\p{L}]+" in split["pattern"]["Regex"]
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         end = model["end_of_word_suffix"] or ""
         symbols = byte_symbols()
@@ -68,7 +71,12 @@ class Bpe:
         order = np.argsort(keys, kind="stable")
         self.size, self.keys, self.ranks = size, keys[order], order.astype(np.int64)
         self.merged = np.array([self.vocab[a + b] for a, b in pairs], np.int64)
-        self.words: dict[bytes, tuple[bytes, bytes]] = {}
+        self.memory = Memory(MEMORY_WORDS)
+        # The text of each id with a space after it, as it is decoded.
+        texts = [(self.names[i] + " ").encode() if i in self.names else b"" for i in range(max(self.names) + 1)]
+        self.text_lengths = np.array([len(t) for t in texts], np.int64)
+        self.text_starts = np.cumsum(self.text_lengths) - self.text_lengths
+        self.text_bytes = np.frombuffer(b"".join(texts), np.uint8)
 
     @cached_property
     def rank_of(self) -> dict[int, int]:
@@ -200,19 +208,48 @@ class Bpe:
                 out.extend(p.encode() for p in self.pieces.findall(part))
         return out
 
-    def learn(self, words: list[bytes]) -> None:
-        """Put the ids (little-endian, 4 bytes each) and the decoded text of new words into memory."""
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > MEMORY_WORDS:
-            self.words.clear()
-            new = words
-        split = [self.split(w.decode()) for w in new]
-        pieces = list({p for p in chain.from_iterable(split) if isinstance(p, bytes)})
-        ids = dict(zip(pieces, self.encode_pieces(pieces)))
-        names = self.names
-        for word, parts in zip(new, split):
-            flat = [i for p in parts for i in (ids[p] if isinstance(p, bytes) else (p,))]
-            self.words[word] = (np.array(flat, "<u4").tobytes(), "".join(names[i] + " " for i in flat).encode())
+    def split_words(self, words: list[bytes]) -> list[list[str | int]]:
+        """:meth:`split` of words, normalised together: a line break composes with nothing. Words with ``<`` may hold special tokens."""
+        plain = [w for w in words if b"<" not in w]
+        text = b"\n".join(plain).decode()
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        find = self.pieces.findall
+        if self.letter_runs:
+            found = iter([[w] if w.isalpha() else find(w) for w in text.lower().split("\n")])
+        else:
+            found = map(find, text.lower().split("\n"))
+        return [next(found) if b"<" not in w else [p if isinstance(p, int) else p.decode() for p in self.split(w.decode())] for w in words]
+
+    def word_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words after one another, and how many each has."""
+        split = self.split_words(words)
+        count = np.fromiter(map(len, split), np.int64, len(split))
+        place = {p: k for k, p in enumerate(dict.fromkeys(chain.from_iterable(split)))}
+        texts = [p for p in place if isinstance(p, str)]
+        encoded_texts = iter(self.encode_pieces([p.encode() for p in texts]))
+        ids = [next(encoded_texts) if isinstance(p, str) else [p] for p in place]
+        each = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(each.sum()))
+        code = np.fromiter(map(place.__getitem__, chain.from_iterable(split)), np.int64, int(count.sum()))
+        lengths = np.bincount(np.repeat(np.arange(len(split)), count), each[code], minlength=len(split)).astype(np.int64)
+        return flat[ranges((np.cumsum(each) - each)[code], each[code])], lengths
+
+    def encode_words(self, code: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a sequence of words, given as numbers in the distinct ``words``; and how many each member of the sequence has."""
+        number = self.memory.find(words)
+        new = np.flatnonzero(number < 0)
+        fresh = [words[k] for k in new.tolist()]
+        flat, lengths = self.word_ids(fresh)
+        # Long words are encoded, not remembered.
+        keep = np.fromiter(map(len, fresh), np.int64, len(fresh)) <= MEMORY_LENGTH
+        number[new[keep]] = self.memory.add([w for w, k in zip(fresh, keep.tolist()) if k], flat[np.repeat(keep, lengths)], lengths[keep])
+        first, count = self.memory.start[number], self.memory.length[number]
+        spare = flat[np.repeat(~keep, lengths)]
+        first[new[~keep]] = self.memory.filled + np.cumsum(lengths[~keep]) - lengths[~keep]
+        count[new[~keep]] = lengths[~keep]
+        table = np.concatenate([self.memory.flat[: self.memory.filled], spare]) if len(spare) else self.memory.flat
+        return table[ranges(first[code], count[code])], count[code]
 
     def encode(self, text: str) -> list[int]:
         """Ids of one text."""
@@ -245,24 +282,29 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         model = _loaded[key]
         for batch in slices(batches, "text"):
             code, words, doc = coded_words(*utf8(batch.column("text")))
-            words = words.to_pylist()
-            model.learn(words)
-            known = [model.words[w] for w in words]
-            stops = np.searchsorted(doc, np.arange(batch.num_rows), side="right").tolist()
-            ids, texts = [], []
-            for a, b in zip([0, *stops], stops):
-                mine = [known[k] for k in code[a:b].tolist()]
-                ids.append(b"".join(x[0] for x in mine))
-                texts.append(b"".join(x[1] for x in mine)[:-1].decode())
-            column = pa.array(ids, pa.binary()) if packed else _lists(ids)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": column, "decoded": pa.array(texts, pa.string())})
-        model.words.clear()  # the worker may serve other work next
+            ids, each = model.encode_words(code, words.to_pylist())
+            counts = np.bincount(doc, each, minlength=batch.num_rows).astype(np.int64)
+            stops = np.concatenate([[0], np.cumsum(counts)])
+            lengths = model.text_lengths[ids]
+            data = model.text_bytes[ranges(model.text_starts[ids], lengths)]
+            text_stops = np.concatenate([[0], np.cumsum(lengths)])[stops]
+            # The space after a text's last token goes.
+            kept = np.ones(len(data), bool)
+            kept[text_stops[1:][counts > 0] - 1] = False
+            text_stops = text_stops - np.concatenate([[0], np.cumsum(counts > 0)])
+            decoded = pa.LargeStringArray.from_buffers(batch.num_rows, pa.py_buffer(text_stops), pa.py_buffer(data[kept])).cast(pa.string())
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": _packed(ids, stops) if packed else _lists(ids, stops), "decoded": decoded})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"doc_id long, ids {'binary' if packed else 'array<int>'}, decoded string")
 
 
-def _lists(ids: list[bytes]) -> pa.Array:
-    """Packed ids as an Arrow array of lists."""
-    stops = np.cumsum([0, *(len(x) // 4 for x in ids)])
-    return pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32)))
+def _packed(ids: np.ndarray, stops: np.ndarray) -> pa.Array:
+    """Ids of each text as little-endian unsigned 32-bit integers in one value."""
+    data = pa.py_buffer(ids.astype("<u4"))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(stops) - 1, [None, pa.py_buffer(4 * stops), data]).cast(pa.binary())
+
+
+def _lists(ids: np.ndarray, stops: np.ndarray) -> pa.Array:
+    """Ids of each text as a list."""
+    return pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(ids.astype(np.int32)))

@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from larder.llm import bpe, lengths, mixing, templates
+from larder.llm.common import Memory
 from larder.llm.queries import QUERIES, RANK_PATTERN, RANKS, SQL, VOCABULARY
 
 SF = "/root/testdata/sf0.001"
@@ -85,13 +86,18 @@ def test_encoded_documents(spark, reference):
     assert bpe.encoded(rows.limit(0), VOCABULARY).count() == 0
 
 
-def test_memory_starts_anew(model, reference, monkeypatch):
-    monkeypatch.setattr(bpe, "MEMORY_WORDS", 3)
-    words = [b"hello", b"world", b"again"]
-    model.learn(words)
-    model.learn([b"other", b"hello"])
-    assert set(model.words) == {b"other", b"hello"}
-    assert np.frombuffer(model.words[b"hello"][0], "<u4").tolist() == reference.encode("hello", add_special_tokens=False).ids
+def test_memory_keeps_what_is_common(reference):
+    model = bpe.Bpe(open(VOCABULARY, encoding="utf-8").read())
+    model.memory = Memory(4)
+    words = [b"hello", b"world", b"again", b"there", b"12ab,", b"x" * 90]
+    for batch in (words[:2], words[:2], words[2:], [b"hello", b"other"], words):
+        ids, each = model.encode_words(np.arange(len(batch)), batch)
+        stops = np.cumsum(each)
+        for word, a, b in zip(batch, [0, *stops], stops):
+            assert ids[a:b].tolist() == reference.encode(word.decode(), add_special_tokens=False).ids
+    # Long words are not kept; of the others the commonest half stays when the limit is passed.
+    assert b"x" * 90 not in model.memory.place and {b"hello", b"world"} <= set(model.memory.place)
+    assert len(model.memory.place) <= 4 + len(words)
 
 
 # mixing
