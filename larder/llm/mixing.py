@@ -32,6 +32,9 @@ MAX_PATTERNS = 10_000
 #: Documents that the bucket with the cut should hold, and how many buckets a pattern may have.
 CUT_DOCS, MAX_BUCKETS = 4_000, 1 << 16
 
+#: Documents chosen at the cuts up to which their table (three numbers each) is broadcast; beyond, it is joined by shuffle.
+CHOSEN_ROWS = 500_000
+
 
 class Flow:
     """A network with unit costs on its arcs; ``push`` sends as much as it can at the least cost."""
@@ -199,6 +202,8 @@ class Mix:
         edge = edge.groupBy("_pattern", "_id", "_size", "_at", "room").agg(F.count(F.lit(1)).alias("rows"))
         chosen = edge.groupBy("_pattern").applyInPandas(_greedy, "_pattern int, _id long, _size long")
         self.chosen = stage(chosen, "mix-chosen")
+        if self.chosen.count() <= CHOSEN_ROWS:
+            self.chosen = F.broadcast(self.chosen)  # else whole documents would be shuffled for a few numbers each
 
     def _dealt(self, rows: DataFrame) -> DataFrame:
         """The rows with their pattern's plan and their place in hash order."""

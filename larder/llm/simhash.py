@@ -22,8 +22,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from larder.llm.common import LOWER, lookup, slices, spaced_words, utf8, word_spans
+from larder.llm.common import LOWER, column_of, lookup, slices, spaced_words, utf8, word_spans
 from larder.llm.components import components
 from larder.session import stage
 
@@ -162,10 +163,37 @@ def near_duplicates(
     return lookup(thin, ids, "fp", "copies", thin.count()).select("doc_id", "fp", "component_id")
 
 
+def _with_prints(docs: DataFrame, text_col: str, words: int) -> DataFrame:
+    """``_row, fp``: whole rows and their fingerprints."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            data, offsets = utf8(column_of(batch, text))
+            fp = fingerprints_of(LOWER[data], offsets, words).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(fp)], ["_row", "fp"])
+
+    text = f"_row.{docs.columns.index(text_col)}"
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    return rows.mapInArrow(run, T.StructType([rows.schema["_row"], T.StructField("fp", T.LongType())]))
+
+
 def distinct_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, distance: int = 2
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, distance: int = 2, segments: int = 8
 ) -> DataFrame:
-    """The documents without near duplicates, all columns kept: of each component the row with the smallest id stays."""
-    found = near_duplicates(docs, id_col, text_col, words, distance)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    """The documents without near duplicates, all columns kept: of each component one row stays, that with the smallest id.
+
+    Null ids come last. Rows are told apart by their place in the stored input, so repeated ids do no harm: of rows alike in
+    every respect one stays. Texts come back as they are, null ones as null. Whole rows are written once, with their fingerprints.
+    """
+    rows = _with_prints(docs, text_col, words).withColumn("_n", F.monotonically_increasing_id())
+    rows = stage(rows, "simhash-rows")
+    doc_id = F.col("_row")[id_col]
+    thin = rows.select("fp", "_n", F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.col("_n").alias("n")).alias("who"))
+    prints = stage(thin.groupBy("fp").agg(F.min("who").alias("who"), F.count(F.lit(1)).alias("copies")), "simhash-distinct")
+    labels = components(stage(links(prints, distance, segments), "simhash-links"))
+    rooted = prints.join(labels, prints["fp"] == labels["node"], "left").withColumn("root", F.coalesce("label", "fp"))
+    rooted = stage(rooted.select("fp", "copies", "who", "root"), "simhash-roots")
+    first = rooted.groupBy("root").agg(F.min("who")["n"].alias("stays"))
+    stays = stage(rooted.join(first, "root").select("fp", "copies", "stays"), "simhash-stays")
+    gone = lookup(thin.select("fp", "_n"), stays, "fp", "copies", thin.count()).filter("_n != stays").select("_n")
+    return rows.join(gone, "_n", "left_anti").select("_row.*")

@@ -11,7 +11,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from larder.llm import exactdup, neardup, simhash
+from larder.llm import exactdup, simhash
 from larder.llm.components import components
 
 ODD = "doc_id long, text string, lang string, source string, keep_id long, fp string, _row string, copies int"
@@ -167,7 +167,8 @@ def test_near_duplicates(spark):
     assert all(r["component_id"] == want[r["doc_id"]] for r in found)
     kept = simhash.distinct_documents(odd(spark, rows), words=3)
     assert kept.columns == odd(spark, rows).columns
-    assert {r["doc_id"] for r in kept.collect()} - {None} == {i for i, c in want.items() if i == c}
+    stay = [3, 1, 2] + ([] if near else [9])
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(stay)
     assert simhash.near_duplicates(odd(spark, rows).limit(0)).count() == 0
 
 
@@ -177,48 +178,19 @@ def test_components_of_a_path(spark):
     assert labels == {i: 0 for i in range(41)} | {100: 100, 101: 100}
 
 
-def brute_shingles(text: str | None, words: int) -> frozenset:
-    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-    found = re.findall(r"[^\x20\x09-\x0D]+", text)
-    return frozenset(tuple(found[i : i + words]) for i in range(len(found) - words + 1)) or frozenset([tuple(found)])
-
-
-def test_stage_removes_edited_copies(spark):
+def test_stage_keeps_one_row_of_each_group(spark):
+    """Repeated ids with other texts, ids that are missing, rows alike in all, empty texts."""
     import corpus_pipeline
 
-    words = [f"w{i}" for i in range(300)]
-    edited = [*words]
-    for k in range(20, 300, 60):
-        edited[k] = "new"
-    other = [w if i % 20 else "cut" for i, w in enumerate(words)]
-    rows = [(5, " ".join(words)), (7, " ".join(edited)), (8, " ".join(other)), (9, "short text"), (9, " ".join(words) + " end"), (None, "Short  text"), (3, ""), (4, None)]
-    sets = [brute_shingles(t, 5) for _, t in rows]
-    alike = [len(sets[0] & s) / len(sets[0] | s) for s in sets]
-    assert 0.8 <= alike[1] < 0.9 and alike[2] < 0.8
+    text = " ".join(f"w{i}" for i in range(400))
+    edited = text.replace("w7 ", "w7x ")
+    near = (brute_print(text, 3) ^ brute_print(edited, 3)).bit_count() <= 2
+    rows = [(5, text), (7, edited), (7, "other text with id seven"), (9, "short text here"), (9, "Short  text HERE"), (None, "short text here"), (3, ""), (4, None)]
+    rows += [(8, "all of it again")] * 3 + [(None, "no id at all"), (None, "no id at all")]
     kept = corpus_pipeline.without_near_copies(spark, odd(spark, rows), "")
     assert kept.columns == odd(spark, rows).columns
-    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted([(5, rows[0][1]), (8, rows[2][1]), (9, "short text"), (3, "")])
+    want = [(5, text), (7, "other text with id seven"), (3, ""), (8, "all of it again"), (None, "no id at all")] + ([] if near else [(7, edited)])
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    nine = [r for r in got if r[0] == 9]
+    assert len(nine) == 1 and sorted((r for r in got if r[0] != 9), key=str) == sorted(want, key=str)
     assert corpus_pipeline.without_near_copies(spark, odd(spark, rows).limit(0), "").count() == 0
-
-
-def test_similarity_links_are_those_of_brute_force(spark):
-    r = random.Random(6)
-    texts = []
-    for base in range(12):
-        words = [f"b{base}x{i}" for i in range(r.randint(30, 200))]
-        for _ in range(10):
-            texts.append(" ".join(w if r.random() > r.choice([0.01, 0.03, 0.05]) else f"e{r.random()}" for w in words))
-    sets = [brute_shingles(t, 5) for t in texts]
-    parent = list(range(len(texts)))
-
-    def top(p):
-        while parent[p] != p:
-            p = parent[p]
-        return p
-
-    for i in range(len(texts)):
-        for j in range(i):
-            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
-                parent[max(top(i), top(j))] = min(top(i), top(j))
-    kept = neardup.distinct_documents(odd(spark, list(enumerate(texts))))
-    assert {x["doc_id"] for x in kept.collect()} == {i for i in range(len(texts)) if top(i) == i}
