@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exactdup, mixing, neardup, toxicity
+from larder.llm import bpe, exactdup, mixing, simhash, toxicity
 from larder.llm.common import modest_batches, table
 from larder.llm.queries import VOCABULARY
 from larder.session import staged_files_removed, work_path
@@ -29,9 +29,9 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of texts that share 80 % of their five-word shingles, the document with the smallest id."""
+    """Of each component of texts whose SimHash of 3-word shingles differs in two bits or fewer, the document with the smallest id."""
     modest_batches(spark)
-    return neardup.distinct_documents(docs, words=5, percent=80)
+    return simhash.distinct_documents(docs, words=3, distance=2)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", without_toxic),
     ("exact dedup", without_copies),
-    ("near dedup", without_near_copies),
+    ("SimHash near-dedup", without_near_copies),
     ("source mix", mixed),
     ("bpe", tokens),
 ]
