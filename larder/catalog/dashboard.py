@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from larder.catalog.entry import Entry
-from larder.catalog.sqltext import davg, family, rnd, rsum, with_tables
-from larder.catalog.tables import Tables
+from larder.catalog.sqltext import OF_TOTALS, davg, family, rnd, rsum, with_tables
+from larder.catalog.tables import Warehouse, settled
 from larder.operators import dashboard as q
 from larder.operators import gold
+from larder.operators.states import FAMILY_NAMES
 from larder.sources.tables import row_counts
 
 _RATE = rnd("CAST(SUM(unsold_qty) AS DOUBLE) * 100.0 / NULLIF(SUM(total_stock), 0)", 2)
-_LOSS = rsum("potential_waste_value", 2)
+_LOSS = rsum("potential_waste_value", OF_TOTALS)
 _MEAN_RATE = rnd(davg("compliance_rate_pct"), 2)
 _BREACHES = "CAST(SUM(equipment_breach_count) AS BIGINT)"
 _UNSOLD = "CAST(SUM(unsold_qty) AS BIGINT)"
@@ -20,7 +21,7 @@ _RANGE = f"date_id BETWEEN DATE '{_START}' AND DATE '{_END}'"
 
 def _forecast(spark, sf):
     """The statistical baseline in the shape of a forecast table."""
-    t = Tables(spark, sf)
+    t = Warehouse(spark, sf)
     demand = gold.daily_demand(t.sales)
     forecast = demand.selectExpr(
         "date_id AS ds",
@@ -32,7 +33,7 @@ def _forecast(spark, sf):
 
 
 def _ranges(spark, sf):
-    t = Tables(spark, sf)
+    t = Warehouse(spark, sf)
     demand = gold.daily_demand(t.sales)
     return {
         "food_waste": (t.waste, "date_id"),
@@ -42,7 +43,7 @@ def _ranges(spark, sf):
 
 
 def _counts(spark, sf):
-    t = Tables(spark, sf)
+    t = Warehouse(spark, sf)
     names = ["fact_sales", "fact_inventory", "fact_cold_chain", "dim_product", "dim_store"]
     frames = [t.sales, t.inventory, t.readings, t.products, t.stores]
     return row_counts(dict(zip(names, frames)))
@@ -60,7 +61,7 @@ _PROFILE = " UNION ALL ".join(
 ENTRIES = [
     Entry(
         "q1_kpi_waste",
-        lambda s, d: q.kpi_waste(Tables(s, d).waste, _START, _END),
+        lambda s, d: settled(q.kpi_waste(Warehouse(s, d).waste_states, _START, _END), {"total_loss_value": OF_TOTALS}),
         with_tables(
             f"SELECT {_RATE} AS food_waste_rate_pct, {_LOSS} AS total_loss_value FROM food_waste WHERE {_RANGE}",
             "food_waste",
@@ -68,7 +69,7 @@ ENTRIES = [
     ),
     Entry(
         "q2_kpi_cold_chain",
-        lambda s, d: q.kpi_cold_chain(Tables(s, d).compliance, "2024-01-01", "2024-12-31"),
+        lambda s, d: q.kpi_cold_chain(Warehouse(s, d).compliance_states, "2024-01-01", "2024-12-31"),
         with_tables(
             f"SELECT {_MEAN_RATE} AS cold_chain_compliance_rate_pct, {_BREACHES} AS total_breaches FROM compliance "
             "WHERE date_id BETWEEN DATE '2024-01-01' AND DATE '2024-12-31'",
@@ -77,7 +78,7 @@ ENTRIES = [
     ),
     Entry(
         "q3_kpi_revenue",
-        lambda s, d: q.kpi_revenue(Tables(s, d).kpi, _START, _END),
+        lambda s, d: q.kpi_revenue(Warehouse(s, d).kpi, _START, _END),
         with_tables(
             f"SELECT {rsum('total_revenue', 2)} AS total_revenue FROM kpi "
             f"WHERE kpi_month BETWEEN DATE '{_START}' AND DATE '{_END}'",
@@ -86,7 +87,7 @@ ENTRIES = [
     ),
     Entry(
         "q4_waste_trend_month",
-        lambda s, d: q.waste_trend(Tables(s, d).waste, "month", _START, _END),
+        lambda s, d: settled(q.waste_trend(Warehouse(s, d).waste_states, "month", _START, _END), {"total_loss_value": OF_TOTALS}),
         with_tables(
             f"SELECT CAST(DATE_TRUNC('month', date_id) AS DATE) AS month, {_RATE} AS food_waste_rate_pct, "
             f"{_LOSS} AS total_loss_value FROM food_waste WHERE {_RANGE} GROUP BY 1",
@@ -95,7 +96,7 @@ ENTRIES = [
     ),
     Entry(
         "q5_waste_trend_day",
-        lambda s, d: q.waste_trend(Tables(s, d).waste, "day", _START, _END),
+        lambda s, d: settled(q.waste_trend(Warehouse(s, d).waste_states, "day", _START, _END), {"total_loss_value": OF_TOTALS}),
         with_tables(
             f"SELECT date_id, {_RATE} AS food_waste_rate_pct, {_LOSS} AS total_loss_value "
             f"FROM food_waste WHERE {_RANGE} GROUP BY 1",
@@ -104,19 +105,21 @@ ENTRIES = [
     ),
     Entry(
         "q6_waste_by_category",
-        lambda s, d: q.waste_by_category(Tables(s, d).waste, Tables(s, d).products, _START, _END),
+        lambda s, d: settled(q.waste_by_category(Warehouse(s, d).waste_states, start=_START, end=_END), {"total_loss_value": OF_TOTALS}),
         with_tables(
-            f"""SELECT {family('f.product_id', q.FAMILY_NAMES, "COALESCE(p.category_name, 'Other')")} AS category,
-              {_LOSS} AS total_loss_value, {_RATE} AS waste_rate_pct, {_UNSOLD} AS total_unsold_qty
-            FROM food_waste f LEFT JOIN dim_product p ON f.product_id = p.product_id
-            WHERE f.{_RANGE} GROUP BY 1""",
+            f"""SELECT category, {rsum('lost', OF_TOTALS)} AS total_loss_value, {_RATE} AS waste_rate_pct, {_UNSOLD} AS total_unsold_qty
+            FROM (SELECT product_id, fsum(potential_waste_value) AS lost, SUM(unsold_qty) AS unsold_qty, SUM(total_stock) AS total_stock
+                  FROM food_waste WHERE {_RANGE} GROUP BY 1)
+            LEFT JOIN (SELECT product_id, category_name AS named FROM dim_product) USING (product_id),
+              LATERAL (SELECT {family('product_id', FAMILY_NAMES, "COALESCE(named, 'Other')")} AS category)
+            GROUP BY category""",
             "food_waste",
             "dim_product",
         ),
     ),
     Entry(
         "q7_breach_timeline",
-        lambda s, d: q.breach_timeline(Tables(s, d).compliance),
+        lambda s, d: q.breach_timeline(Warehouse(s, d).compliance_states),
         with_tables(
             f"SELECT date_id, {_BREACHES} AS total_breaches, {_MEAN_RATE} AS avg_compliance_rate_pct, "
             "COUNT(DISTINCT device_id) AS devices_monitored FROM compliance GROUP BY 1",
@@ -125,14 +128,13 @@ ENTRIES = [
     ),
     Entry(
         "q8_top_locations",
-        lambda s, d: q.top_locations(Tables(s, d).waste, Tables(s, d).stores, 5, _START, _END),
+        lambda s, d: settled(q.top_locations(Warehouse(s, d).waste_states, Warehouse(s, d).stores, 5, _START, _END), {"total_loss_value": OF_TOTALS}),
         with_tables(
-            f"""SELECT f.store_id, COALESCE(s.store_name, 'Store ' || f.store_id) AS store_name,
-              COALESCE(s.city, s.state, 'Unknown') AS location, {_LOSS} AS total_loss_value,
-              {_RATE} AS waste_rate_pct, {_UNSOLD} AS total_unsold_qty
-            FROM food_waste f LEFT JOIN dim_store s ON f.store_id = s.store_id WHERE f.{_RANGE}
-            GROUP BY f.store_id, s.store_name, s.city, s.state
-            ORDER BY total_loss_value DESC, f.store_id LIMIT 5""",
+            f"""SELECT store_id, COALESCE(store_name, 'Store ' || store_id) AS store_name, COALESCE(city, state, 'Unknown') AS location,
+              total_loss_value, waste_rate_pct, total_unsold_qty
+            FROM (SELECT store_id, {_LOSS} AS total_loss_value, {_RATE} AS waste_rate_pct, {_UNSOLD} AS total_unsold_qty
+                  FROM food_waste WHERE {_RANGE} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5)
+            LEFT JOIN dim_store USING (store_id)""",
             "food_waste",
             "dim_store",
         ),
@@ -150,7 +152,7 @@ ENTRIES = [
     ),
     Entry(
         "q10_compliance_by_month",
-        lambda s, d: q.compliance_by_month(Tables(s, d).compliance, "2024-01-01"),
+        lambda s, d: q.compliance_by_month(Warehouse(s, d).compliance_states, "2024-01-01"),
         with_tables(
             f"SELECT CAST(DATE_TRUNC('month', date_id) AS DATE) AS month, {_MEAN_RATE} AS avg_compliance, "
             f"{_BREACHES} AS total_breaches FROM compliance WHERE date_id >= DATE '2024-01-01' GROUP BY 1",

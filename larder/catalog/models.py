@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-
+import numpy as np
 from pyspark.sql import functions as F
 
 from larder.catalog.entry import Entry
@@ -52,6 +52,38 @@ def _flagged_share(spark, sf):
     )
 
 
+#: A forest of two trees over a sample of 16 rows: nodes as (feature, threshold, left, right, size, depth).
+GIVEN_FOREST = (
+    ((0, 40.0, 1, 2, 16, 0), (1, 10.0, 3, 4, 12, 1), (-1, 0.0, -1, -1, 4, 1), (-1, 0.0, -1, -1, 9, 2), (-1, 0.0, -1, -1, 3, 2)),
+    ((1, 5.0, 1, 2, 16, 0), (-1, 0.0, -1, -1, 14, 1), (0, 70.0, 3, 4, 2, 1), (-1, 0.0, -1, -1, 1, 2), (-1, 0.0, -1, -1, 1, 2)),
+)
+
+
+def _given_scores(spark, sf):
+    """Scores of all readings under trees that are given."""
+    names = ("feature", "threshold", "left", "right", "size", "depth")
+    forest = [dict(zip(names, map(np.array, zip(*tree)))) for tree in GIVEN_FOREST]
+    readings = Tables(spark, sf).readings.select("telemetry_timestamp", "device_id", "temperature_c", "humidity_percentage")
+    scored = anomaly.with_isolation_score(readings, ["temperature_c", "humidity_percentage"], forest)
+    return scored.withColumn("isolation_score", F.round("isolation_score", 9))
+
+
+def _given_scores_sql() -> str:
+    """The same from the definition: depth of the leaf and the usual depth of what it holds, over all trees."""
+    usual = lambda n: f"(2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1.0) / {n})" if n > 2 else "1.0" if n == 2 else "0.0"
+    columns = ("temperature_c", "humidity_percentage")
+
+    def depth(tree, k: int) -> str:
+        feature, threshold, left, right, size, at = tree[k]
+        if feature < 0:
+            return f"({at} + {usual(size)})"
+        return f"CASE WHEN COALESCE({columns[feature]}, 0) <= {threshold} THEN {depth(tree, left)} ELSE {depth(tree, right)} END"
+
+    paths = " + ".join(f"({depth(tree, 0)})" for tree in GIVEN_FOREST)
+    score = f"round(pow(2.0::DOUBLE, -(({paths}) / {len(GIVEN_FOREST)}) / {usual(GIVEN_FOREST[0][0][4])}), 9)"
+    return with_tables(f"SELECT telemetry_timestamp, device_id, temperature_c, humidity_percentage, {score} AS isolation_score FROM fact_cold_chain", "fact_cold_chain")
+
+
 _SERIES_SQL = (
     "series AS (SELECT CAST(d AS DATE) AS ds, COALESCE(y, 0.0) AS y FROM (SELECT UNNEST(generate_series(MIN(order_date_id), "
     "MAX(order_date_id), INTERVAL 1 DAY)) AS d FROM fact_sales) LEFT JOIN (SELECT order_date_id, CAST(SUM(quantity) AS DOUBLE) "
@@ -72,6 +104,7 @@ def _on_series(body: str) -> str:
 
 ENTRIES = [
     Entry("m2_isolation_forest", _forest),
+    Entry("m2_scores_of_given_trees", _given_scores, _given_scores_sql()),
     Entry(
         "m2_anomaly_check_readings", _checked_readings, with_tables("SELECT * FROM features", "features")
     ),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from larder.catalog.entry import Entry
 from larder.catalog.sqltext import rnd, with_tables
-from larder.catalog.tables import Tables
+from larder.catalog.tables import Tables, Warehouse
 from larder.functions.numbers import rounded
 from larder.operators import expectations as e
 from larder.operators.suite import Check, run_suite
@@ -242,6 +242,7 @@ def _every(**options):
 
 
 _RARE = "event_type = 'error' AND value > 20"
+_RARER = "event_type = 'error' AND value > 60"
 
 
 def _every_sql(part: str, interval: int | None = None, where: str = "true") -> str:
@@ -292,7 +293,7 @@ _CASING_FROM = (
 
 
 def _suite_tables(spark, sf):
-    t = Tables(spark, sf)
+    t = Warehouse(spark, sf)
     grocery = t.bronze("instacart_grocery")
     from larder.operators.silver import stg_instacart_grocery
 
@@ -371,6 +372,62 @@ SELECT position, n AS failures, CASE position
   WHEN 1 THEN CASE WHEN n <> 0 THEN 'warn' ELSE 'pass' END
   ELSE CASE WHEN n <> 0 THEN 'fail' ELSE 'pass' END END AS status FROM f"""
 
+#: What a table of lines must look like, and what must hold of its rows: one scan answers the second kind.
+LINES = [
+    Check("lines", "expect_column_to_exist", {"column": "l_quantity", "column_index": 4}),
+    Check("lines", "expect_table_column_count_to_be_between", {"min_value": 1, "max_value": 10}),
+    Check("lines", "expect_table_column_count_to_equal", {"value": 11}),
+    Check("lines", "expect_table_columns_to_contain_set", {"column_list": ["l_tax", "l_comment"]}),
+    Check("lines", "expect_table_columns_to_not_contain_set", {"column_list": ["l_tax", "l_comment"]}),
+    Check("lines", "expect_table_columns_to_match_set", {"column_list": [*LINE_COLUMNS[1:], "l_comment"]}),
+    Check("lines", "expect_table_columns_to_match_ordered_list", {"column_list": _SHUFFLED}),
+    Check("lines", "expect_column_values_to_be_of_type", {"column": "l_orderkey", "column_type": "VARCHAR"}),
+    Check("lines", "expect_column_values_to_be_in_type_list", {"column": "l_quantity", "column_type_list": ["INTEGER", "DOUBLE"]}),
+    Check("lines", "expect_compound_columns_to_be_unique", {"column_list": ["l_orderkey", "l_partkey"]}),
+    Check("lines", "expect_column_values_to_be_unique", {"column": "l_orderkey"}),
+    Check("lines", "expect_column_distinct_count_to_equal", {"column": "l_linestatus", "value": 2}),
+    Check("lines", "expect_column_distinct_values_to_equal_set", {"column": "l_returnflag", "value_set": ["A", "B"]}),
+    Check("lines", "expect_column_distinct_values_to_contain_set", {"column": "l_returnflag", "value_set": ["A", "Z"], "row_condition": "l_tax > 0.02"}),
+    Check("lines", "expect_column_proportion_of_unique_values_to_be_between", {"column": "l_orderkey", "min_value": 0.9}),
+    Check("lines", "expect_column_values_to_be_between", {"column": "l_quantity", "min_value": 2, "max_value": 49}),
+]
+
+
+def _line_suite(spark, sf):
+    return run_suite({"lines": Tables(spark, sf).raw("lineitem")}, LINES).select("position", "failures", "status")
+
+
+def _line_sql() -> str:
+    """The failures of every check in its own words; the columns come from the table's description."""
+    quoted = lambda names: ", ".join(f"'{n.upper()}'" for n in names)
+    listed = lambda names: f"(SELECT UNNEST([{quoted(names)}]) AS name)"
+    places = ", ".join(f"({k}, '{n.upper()}')" for k, n in enumerate(_SHUFFLED, 1))
+    set_of = [*LINE_COLUMNS[1:], "l_comment"]
+    counts = [
+        "SELECT IF((SELECT place FROM cols WHERE name = 'L_QUANTITY') = 4, 0, 1)",
+        "SELECT IF(COUNT(*) BETWEEN 1 AND 10, 0, 1) FROM cols",
+        "SELECT IF(COUNT(*) = 11, 0, 1) FROM cols",
+        f"SELECT COUNT(*) FROM {listed(['l_tax', 'l_comment'])} WHERE name NOT IN (SELECT name FROM cols)",
+        f"SELECT COUNT(*) FROM cols WHERE name IN ({quoted(['l_tax', 'l_comment'])})",
+        f"SELECT COUNT(*) FROM (SELECT name FROM cols) a FULL JOIN {listed(set_of)} b USING (name) WHERE a.name IS NULL OR b.name IS NULL",
+        f"SELECT COUNT(*) FROM cols a FULL JOIN (VALUES {places}) b(place, name) ON a.place = b.place AND a.name = b.name WHERE a.name IS NULL OR b.name IS NULL",
+        "SELECT COUNT(*) FROM cols WHERE name = 'L_ORDERKEY' AND kind <> 'VARCHAR'",
+        "SELECT COUNT(*) FROM cols WHERE name = 'L_QUANTITY' AND kind NOT IN ('INTEGER', 'DOUBLE')",
+        "SELECT COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_partkey HAVING COUNT(*) > 1)",
+        "SELECT COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING COUNT(*) > 1)",
+        "SELECT IF(COUNT(DISTINCT l_linestatus) = 2, 0, 1) FROM lineitem",
+        "SELECT COUNT(*) FROM (SELECT DISTINCT l_returnflag AS f FROM lineitem) a FULL JOIN (SELECT UNNEST(['A', 'B']) AS f) b USING (f) WHERE a.f IS NULL OR b.f IS NULL",
+        "SELECT COUNT(*) FROM (SELECT UNNEST(['A', 'Z']) AS f) WHERE f NOT IN (SELECT l_returnflag FROM lineitem WHERE l_tax > 0.02)",
+        "SELECT IF(COUNT(DISTINCT l_orderkey)::DOUBLE / COUNT(l_orderkey) >= 0.9, 0, 1) FROM lineitem",
+        "SELECT COUNT(*) FROM lineitem WHERE NOT (l_quantity BETWEEN 2 AND 49)",
+    ]
+    rows = " UNION ALL ".join(f"SELECT {k} AS position, ({count}) AS failures" for k, count in enumerate(counts))
+    return (
+        "WITH cols AS (SELECT upper(column_name) AS name, column_type AS kind, row_number() OVER () AS place FROM (DESCRIBE lineitem)) "
+        f"SELECT position, failures, IF(failures = 0, 'pass', 'fail') AS status FROM ({rows})"
+    )
+
+
 _EN = "lang = 'en'"
 
 ENTRIES = [
@@ -703,6 +760,7 @@ ENTRIES = [
     Entry("e66_data_for_every_hour", _every(date_part="hour", row_condition=_RARE), _every_sql("hour", where=_RARE)),
     Entry("e66_data_for_every_minute_all", _every(date_part="minute"), _every_sql("minute")),
     Entry("e66_data_for_every_8_hours", _every(date_part="hour", interval=8, row_condition=_RARE), _every_sql("hour", 8, _RARE)),
+    Entry("e66_data_for_every_8_hours_rare", _every(date_part="hour", interval=8, row_condition=_RARER), _every_sql("hour", 8, _RARER)),
     Entry("e66_data_for_every_5_minutes_all", _every(date_part="minute", interval=5), _every_sql("minute", 5)),
     Entry(
         "e67_not_null",
@@ -719,5 +777,6 @@ ENTRIES = [
         ),
     ),
     Entry("e68_project_suite", _suite, _suite_sql()),
+    Entry("e68_schema_and_data_suite", _line_suite, _line_sql()),
     Entry("e68_suite_thresholds", _thresholds, _THRESHOLDS_SQL),
 ]

@@ -9,22 +9,29 @@ from larder.catalog.sqltext import with_tables
 from larder.catalog.tables import Tables
 from larder.functions.dates import shift_date
 from larder.operators import silver
+from larder.session import work_path
 from larder.sources import lenses
+from larder.sources.tables import Lake
 
 _RETAIL = (
     "order_item_id, order_id, order_date, customer_id, store_id, product_id, category_name, qty, unit_price, "
     "discount_applied, total_order_payment, shipment_status, store_city, supplier_country"
 )
 _RETAIL_LIST = _RETAIL.split(", ")
+#: The device that an equality scan looks for.
+DEVICE = "dev-1"
 
 
-def _retail_staged(spark, sf):
-    return Tables(spark, sf).retail.select(*_RETAIL_LIST)
+def _stored(spark, sf, name: str, columns) -> Lake:
+    """A lake that holds one bronze table as a loader leaves it."""
+    lake = Lake(spark, work_path(spark, "lake"))
+    lake.write(Tables(spark, sf).bronze(name).select(*(F.col(f"`{c}`") for c in columns), "_loaded_at", "_source_file"), "bronze", name)
+    return lake
 
 
-def _staged(bronze: str, columns: dict[str, str]):
-    """All source columns of a bronze table, without the load metadata."""
-    return lambda spark, sf: Tables(spark, sf).bronze(bronze).select(*(F.col(f"`{c}`") for c in columns))
+def _staged(bronze: str, columns):
+    """A stored bronze table passed through; the time of loading differs from run to run."""
+    return lambda spark, sf: _stored(spark, sf, bronze, columns).stg_passthrough(bronze).drop("_loaded_at")
 
 
 def _grocery(spark, sf):
@@ -47,7 +54,13 @@ def _quoted(spark, sf):
     return supply.select(*(F.col(f"`{n}`") for n in names))
 
 
-def _equality(spark, sf):
+def equality_scan(spark, sf):
+    """Readings of one device, by a predicate that the stored table's Parquet reader takes."""
+    readings = _stored(spark, sf, "iot_telemetry", lenses.IOT_COLUMNS).read("bronze", "iot_telemetry")
+    return silver.where_equal(readings, "device_mac", DEVICE).select("timestamp", "device_mac", "temp_celsius")
+
+
+def _equality_sales(spark, sf):
     sales = Tables(spark, sf).sales
     return silver.where_equal(sales, "store_id", "CA_1").select("order_item_id", "store_id", "quantity")
 
@@ -68,19 +81,18 @@ def _inventory_shifted(spark, sf):
 
 
 ENTRIES = [
-    Entry("p1_stg_retail_data", _retail_staged, with_tables(f"SELECT {_RETAIL} FROM retail", "retail")),
-    Entry(
-        "p1_stg_iot_telemetry",
-        _staged("iot_telemetry", lenses.IOT_COLUMNS),
-        with_tables("SELECT * FROM iot", "iot"),
-    ),
-    Entry(
-        "p1_stg_m5_forcasting", _staged("m5_forcasting", lenses.M5_COLUMNS), with_tables("SELECT * FROM m5", "m5")
-    ),
-    Entry(
-        "p1_stg_supply_chain",
-        _staged("SupplyChain", lenses.SUPPLY_COLUMNS),
-        with_tables("SELECT * FROM supply", "supply"),
+    *(
+        Entry(
+            f"p1_stg_{name}",
+            _staged(bronze, columns),
+            with_tables(f"SELECT {shown}, '{file}.parquet' AS _source_file FROM {source}", source),
+        )
+        for name, bronze, columns, shown, file, source in (
+            ("retail_data", "retail_data", _RETAIL_LIST, _RETAIL, "lineitem", "retail"),
+            ("iot_telemetry", "iot_telemetry", lenses.IOT_COLUMNS, "*", "events", "iot"),
+            ("m5_forcasting", "m5_forcasting", lenses.M5_COLUMNS, "*", "lineitem", "m5"),
+            ("supply_chain", "SupplyChain", lenses.SUPPLY_COLUMNS, "*", "lineitem", "supply"),
+        )
     ),
     Entry(
         "p2_stg_instacart_grocery",
@@ -115,9 +127,14 @@ ENTRIES = [
             "supply",
         ),
     ),
+    Entry(
+        "p6_equality_scan_stored",
+        equality_scan,
+        with_tables(f"SELECT timestamp, device_mac, temp_celsius FROM iot WHERE device_mac = '{DEVICE}'", "iot"),
+    ),
     Entry(
         "p6_equality_scan",
-        _equality,
+        _equality_sales,
         with_tables("SELECT order_item_id, store_id, quantity FROM fact_sales WHERE store_id = 'CA_1'", "fact_sales"),
     ),
     Entry(

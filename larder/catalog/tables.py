@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.operators import anomaly, gold, silver
+from larder.functions.numbers import rounded
+from larder.operators import anomaly, gold, silver, states
 from larder.operators.calendar import data_bounds
+from larder.session import staged_files_removed, work_path
 from larder.sources import lenses
+from larder.sources.tables import Lake
+
+
+def settled(df: DataFrame, places: dict[str, int]) -> DataFrame:
+    """Columns that hold sums or means of doubles, rounded to the digits to which results are compared."""
+    return df.withColumns({c: rounded(F.col(c), n) for c, n in places.items()})
+
+
+_lakes: dict[tuple[str, str], Lake] = {}
 
 
 class Tables:
@@ -77,3 +89,47 @@ class Tables:
     @cached_property
     def kpi(self) -> DataFrame:
         return gold.executive_kpi(self.sales, self.waste, self.labelled)
+
+    @cached_property
+    def waste_states(self) -> DataFrame:
+        return states.waste_states(self.waste, self.products)
+
+    @cached_property
+    def compliance_states(self) -> DataFrame:
+        return states.compliance_states(self.compliance)
+
+
+class Warehouse(Tables):
+    """The same tables, each stored once per session and read from there, as marts and dashboards find them.
+
+    A table is built when it is first asked for, from stored ones. The store is a lake in the shared work folder.
+    """
+
+    def _kept(self, layer: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _lakes:
+            _lakes[key] = Lake(self.spark, work_path(self.spark, "warehouse"))
+        lake = _lakes[key]
+        if not lake.exists(layer, name):
+            with staged_files_removed(self.spark):
+                lake.write(build(), layer, name)
+        return lake.read(layer, name)
+
+    def bronze(self, name: str) -> DataFrame:
+        return self._kept("bronze", name, lambda: super(Warehouse, self).bronze(name))
+
+
+def _stored(layer: str, name: str) -> cached_property:
+    """The table of :class:`Tables` by that name, from the store."""
+    build = getattr(Tables, name).func
+    made = cached_property(lambda self: self._kept(layer, name, lambda: build(self)))
+    made.__set_name__(Warehouse, name)
+    return made
+
+
+for _layer, _names in {
+    "silver": ("sales", "inventory", "purchase_orders", "readings", "products", "stores"),
+    "gold": ("waste", "labelled", "compliance", "kpi", "waste_states", "compliance_states"),
+}.items():
+    for _name in _names:
+        setattr(Warehouse, _name, _stored(_layer, _name))

@@ -6,52 +6,52 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Grid steps of the first three bins of a sum, as powers of two. An addend of at least 2 ** 100 is not cut.
+GREAT, HIGH, MIDDLE, UNCUT = 50, 0, -26, 100
+
+
+def _on_grid(value: Column, power: int) -> Column:
+    """The multiple of ``2 ** power`` next to the value; exact, since both factors are powers of two."""
+    return F.rint(value * F.lit(2.0**-power)) * F.lit(2.0**power)
+
+
 def sum_parts(value: Column) -> Column:
-    """SUM of doubles, as they are written, in three decimal parts that do not depend on row order, retries or partitioning.
+    """SUM of doubles in four bins whose sums do not depend on row order, retries or partitioning.
 
-    Whole numbers, the first 18 digits behind the point, and the 18 after those are summed apart, so small
-    addends are not lost beside great ones. NULL if no value is there; one that is infinite, not a number,
-    or has over 38 digits before the point raises. :func:`merged_parts` sums such sums.
+    An addend is cut on fixed grids: a multiple of 2 ** 50, one of 1, one of 2 ** -26, and what remains. Each bin adds up
+    multiples of its own step, which a double holds exactly as long as its sum stays below 2 ** 53 steps: sums
+    up to 9e15 (and, apart, of greater numbers up to 1e31) are exact in any order, and beyond that as good as SUM; so
+    is what remains of numbers below one. Small addends are not lost beside great ones. NULL if no value is there; NaN and infinity give what SUM gives.
+    :func:`merged_parts` sums such sums.
     """
     value = value.cast("double")
-    finite = ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
-    value = F.when(value.isNull() | finite, value).otherwise(F.raise_error(F.lit("a sum over numbers that are not finite")).cast("double"))
-    small = F.abs(value) < F.lit(1e19)
-    written = value.cast("decimal(38,18)")
-    first = F.when(small, (written % F.lit(1)).cast("decimal(38,18)")).when(value.isNotNull(), F.lit(0).cast("decimal(38,18)"))
-    whole = F.when(small, (written - first).cast("decimal(38,0)")).otherwise(value.cast("decimal(38,0)"))
-    rest = F.when(small, ((value - written.cast("double")) * F.lit(1e18)).cast("decimal(38,18)")).when(
-        value.isNotNull(), F.lit(0).cast("decimal(38,18)")
-    )
-    return F.struct(F.sum(whole).alias("whole"), F.sum(first).alias("first"), F.sum(rest).alias("rest"))
+    size = F.abs(value)
+    whole = size >= F.lit(2.0**UNCUT)  # NaN and infinity too: NaN is the greatest number here
+    great = F.when(whole, value).otherwise(F.when(size >= F.lit(2.0 ** (GREAT - 1)), _on_grid(value, GREAT)).otherwise(value * F.lit(0.0)))
+    left = F.when(whole, F.lit(0.0)).otherwise(value - great)
+    high = _on_grid(left, HIGH)
+    low = left - high
+    middle = _on_grid(low, MIDDLE)
+    return F.struct(F.sum(great).alias("great"), F.sum(high).alias("high"), F.sum(middle).alias("middle"), F.sum(low - middle).alias("rest"))
 
 
 def merged_parts(parts: Column) -> Column:
     """SUM over the results of :func:`sum_parts`."""
-    return F.struct(*(F.sum(parts[name]).alias(name) for name in ("whole", "first", "rest")))
-
-
-def _together(parts: Column) -> tuple[Column, Column]:
-    """The first two parts as one decimal, and whether they fit one."""
-    whole = parts["whole"]
-    return whole.cast("decimal(38,18)") + parts["first"], F.abs(whole) < F.lit("10000000000000000000").cast("decimal(38,0)")
+    return F.struct(*(F.sum(parts[name]).alias(name) for name in ("great", "high", "middle", "rest")))
 
 
 def parts_value(parts: Column) -> Column:
     """The sum as a double."""
-    together, fits = _together(parts)
-    apart = parts["whole"].cast("double") + parts["first"].cast("double")
-    return F.when(fits, together.cast("double")).otherwise(apart) + parts["rest"].cast("double") / F.lit(1e18)
+    return parts["great"] + (parts["high"] + (parts["middle"] + parts["rest"]))
 
 
 def parts_rounded(parts: Column, places: int) -> Column:
-    """The sum rounded half away from zero while it is still a decimal; doubles of that size may have no cents left."""
-    together, fits = _together(parts)
-    return F.when(fits, F.round(together, places).cast("double") + F.lit(0.0)).otherwise(parts_value(parts))
+    """The sum rounded half away from zero."""
+    return rounded(parts_value(parts), places)
 
 
 def exact_sum(value: Column) -> Column:
-    """SUM that does not depend on row order, as a double."""
+    """SUM that does not depend on row order, as a double; see :func:`sum_parts`."""
     return parts_value(sum_parts(value))
 
 

@@ -12,11 +12,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.operators.ordered import percentile_cont
-from larder.operators.sweep import swept
+from larder.operators.sweep import CHUNK_BYTES, input_bytes, swept
 from larder.session import ship_package, stage
 
 FEATURES = ("temperature_c", "duration_minutes", "delta_temp_per_minute")
@@ -104,25 +106,47 @@ def _grow(sample: np.ndarray, tree: int, seed: int, depth_limit: int) -> pd.Data
     return pd.DataFrame(nodes, columns=[c.split()[0] for c in TREE_SCHEMA.split(", ")])
 
 
+def _least(rows: DataFrame, size: int, order: Sequence[str]) -> DataFrame:
+    """The ``size`` rows that come first in ``order``, in one scan: a bottom-k sketch per task, merged in two steps.
+
+    A task holds ``size`` rows and a batch. The first merge goes to as many tasks as the square root of the partitions, so
+    none sees more than that many sketches.
+    """
+    columns, kinds = rows.columns, rows.schema
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, waiting, count = None, [], 0
+        for batch in batches:
+            waiting.append(batch)
+            count += batch.num_rows
+            if count >= 2 * size:
+                held = smallest([*waiting] if held is None else [*held.to_batches(), *waiting])
+                waiting, count = [], 0
+        if waiting:
+            held = smallest([*waiting] if held is None else [*held.to_batches(), *waiting])
+        if held is not None:
+            yield from held.select(columns).to_batches()
+
+    def smallest(batches: list[pa.RecordBatch]) -> pa.Table:
+        table = pa.Table.from_batches(batches)
+        return table.take(pc.sort_indices(table, [(c, "ascending") for c in order])[:size])
+
+    sketches = rows.mapInArrow(keep, kinds)
+    partitions = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), input_bytes(rows) // CHUNK_BYTES)
+    middle = math.isqrt(partitions) + 1
+    return sketches.repartition(middle).mapInArrow(keep, kinds).coalesce(1).mapInArrow(keep, kinds)
+
+
 def _samples(df: DataFrame, features: Sequence[str], row_id: Sequence[str], trees: int, size: int, seed: int) -> DataFrame:
     """``size`` rows for each tree, chosen by hash so that partitioning plays no part.
 
-    A pool of ``trees * size`` rows with the smallest hashes is a uniform sample of the
-    table. Only rows below a hash bound that about four pools fall under are ordered, so the last
-    task sees as many however large the table is. In hash order every tree takes a stretch of the
-    pool: stretches of their own in a full pool, overlapping ones in a smaller table.
+    A pool of ``trees * size`` rows with the smallest hashes is a uniform sample of the table, found in one scan. In hash
+    order every tree takes a stretch of the pool: stretches of their own in a full pool, overlapping ones in a smaller table.
     """
     ident = F.xxhash64(F.lit(seed), *(F.col(f"`{c}`") for c in row_id))
     order = ["_id", *features]
     rows = df.select(*(F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features), ident.alias("_id"))
-    share = 4.0 * trees * size / max(df.count(), 1)
-    few = rows
-    while share < 1:
-        few = rows.filter(F.col("_id") < int((share - 0.5) * 2**64))
-        if few.count() >= trees * size:
-            break
-        share, few = share * 4, rows
-    pool = few.orderBy(*order).limit(trees * size)
+    pool = _least(rows, trees * size, order)
     # The pool is small by construction, at most trees * size rows.
     whole = Window.orderBy(*order)
     placed = pool.withColumns(
@@ -156,6 +180,27 @@ def _mean_paths(values: np.ndarray, forest: list[dict]) -> np.ndarray:
     return total / len(forest)
 
 
+def with_isolation_score(df: DataFrame, features: Sequence[str], forest: list[dict]) -> DataFrame:
+    """``isolation_score`` of every row under given trees: 2 to the power of minus its mean depth over the usual depth.
+
+    A tree is a dict of equally long arrays, one entry per node and the root first: ``feature`` (-1 in leaves), ``threshold``
+    (values up to it go left), ``left``, ``right``, ``size`` (sample rows that came there) and ``depth``. Missing features are 0.
+    """
+    ship_package(df.sparkSession)
+    norm = float(average_path(float(forest[0]["size"][0]))) or 1.0
+    shared = df.sparkSession.sparkContext.broadcast(forest)
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        trees = shared.value
+        for columns in batches:
+            values = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+            paths = _mean_paths(np.nan_to_num(values, nan=0.0), trees)
+            yield pd.Series(np.power(2.0, -paths / norm))
+
+    return df.withColumn("isolation_score", score(*(F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features)))
+
+
 def isolation_forest(
     df: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -192,20 +237,8 @@ def isolation_forest(
         return df.withColumns(
             {"isolation_score": F.lit(None).cast("double"), "anomaly_score": F.lit(None).cast("int")}
         )
-    norm = float(average_path(float(forest[0]["size"][0]))) or 1.0
-    shared = df.sparkSession.sparkContext.broadcast(forest)
-
-    @F.pandas_udf("double")
-    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        trees = shared.value
-        for columns in batches:
-            values = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            paths = _mean_paths(np.nan_to_num(values, nan=0.0), trees)
-            yield pd.Series(np.power(2.0, -paths / norm))
-
-    inputs = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
     # Scored once, read twice: for the threshold and for the labels.
-    scored = stage(df.withColumn("isolation_score", score(*inputs)), "scores")
+    scored = stage(with_isolation_score(df, features, forest), "scores")
     cut = percentile_cont(scored, "isolation_score", 1.0 - contamination, out="cut").scalar()
     return scored.withColumn("anomaly_score", F.when(F.col("isolation_score") > cut, -1).otherwise(1))
 

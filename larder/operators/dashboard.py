@@ -1,4 +1,7 @@
-"""Dashboard queries over the gold marts. Date ranges include both ends."""
+"""Dashboard queries over the gold marts, or over their stored states. Date ranges include both ends.
+
+Every query takes the mart itself or what :mod:`larder.operators.states` keeps of it, and gives the same rows.
+"""
 
 from __future__ import annotations
 
@@ -7,12 +10,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.numbers import exact_avg, merged_parts, parts_rounded, rounded, rounded_sum, sum_parts
-from larder.operators.gold import by_family, month_of
-
-# --- fixed values that results must agree on --------------------------------------
-
-FAMILY_NAMES = {"FOODS": "Foods", "HOUSEHOLD": "Household", "HOBBIES": "Hobbies"}
+from larder.functions.numbers import merged_parts, parts_rounded, parts_value, rounded, rounded_sum, sum_parts
+from larder.operators.gold import month_of
+from larder.operators.states import category_of
 
 
 def between(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
@@ -28,25 +28,34 @@ def _waste_rate() -> Column:
     return rounded(F.sum("unsold_qty") * F.lit(100.0) / F.nullif(F.sum("total_stock"), F.lit(0)), 2)
 
 
-def _loss() -> Column:
-    return rounded_sum(F.col("potential_waste_value"), 2)
+def _loss(waste: DataFrame) -> Column:
+    parts = merged_parts(F.col("value")) if "value" in waste.columns else sum_parts(F.col("potential_waste_value"))
+    return parts_rounded(parts, 2)
+
+
+def _mean_rate(compliance: DataFrame) -> Column:
+    stored = "rates" in compliance.columns
+    total = merged_parts(F.col("rate")) if stored else sum_parts(F.col("compliance_rate_pct"))
+    number = F.sum("rates") if stored else F.count("compliance_rate_pct")
+    return rounded(parts_value(total) / F.nullif(number, F.lit(0)), 2)
 
 
-def _mean_rate() -> Column:
-    return rounded(exact_avg(F.col("compliance_rate_pct")), 2)
+def _devices(compliance: DataFrame) -> Column:
+    """Devices of a day."""
+    return F.max("devices") if "devices" in compliance.columns else F.countDistinct("device_id")
 
 
 def kpi_waste(waste: DataFrame, start=None, end=None) -> DataFrame:
     """Overall waste rate and loss."""
     return between(waste, "date_id", start, end).agg(
-        _waste_rate().alias("food_waste_rate_pct"), _loss().alias("total_loss_value")
+        _waste_rate().alias("food_waste_rate_pct"), _loss(waste).alias("total_loss_value")
     )
 
 
 def kpi_cold_chain(compliance: DataFrame, start=None, end=None) -> DataFrame:
     """Mean compliance and number of breaches."""
     return between(compliance, "date_id", start, end).agg(
-        _mean_rate().alias("cold_chain_compliance_rate_pct"),
+        _mean_rate(compliance).alias("cold_chain_compliance_rate_pct"),
         F.sum("equipment_breach_count").alias("total_breaches"),
     )
 
@@ -66,34 +75,31 @@ def waste_trend(waste: DataFrame, grain: str = "month", start=None, end=None) ->
     return (
         between(waste, "date_id", start, end)
         .groupBy(period)
-        .agg(_waste_rate().alias("food_waste_rate_pct"), _loss().alias("total_loss_value"))
+        .agg(_waste_rate().alias("food_waste_rate_pct"), _loss(waste).alias("total_loss_value"))
         .orderBy(name)
     )
 
 
-def waste_by_category(waste: DataFrame, products: DataFrame, start=None, end=None) -> DataFrame:
-    """Loss per product family or category, greatest first.
+def waste_by_category(waste: DataFrame, products: DataFrame | None = None, start=None, end=None) -> DataFrame:
+    """Loss per product family or category, greatest first; the mart itself needs the product table, its states don't.
 
     Waste is summed per product before the product table joins, so a hot product is one row.
     """
-    per_product = (
-        between(waste, "date_id", start, end)
-        .groupBy("product_id")
-        .agg(
+    rows = between(waste, "date_id", start, end)
+    if "category" not in waste.columns:
+        per_product = rows.groupBy("product_id").agg(
             sum_parts(F.col("potential_waste_value")).alias("value"),
-            F.sum("unsold_qty").alias("unsold"),
-            F.sum("total_stock").alias("stock"),
+            F.sum("unsold_qty").alias("unsold_qty"),
+            F.sum("total_stock").alias("total_stock"),
         )
-    )
-    category = by_family(F.col("product_id"), FAMILY_NAMES, F.coalesce("category_name", F.lit("Other")))
-    rate = F.sum("unsold") * F.lit(100.0) / F.nullif(F.sum("stock"), F.lit(0))
+        named = per_product.join(products.select("product_id", "category_name"), "product_id", "left")
+        rows = named.withColumn("category", category_of(F.col("product_id"), F.col("category_name")))
     return (
-        per_product.join(products.select("product_id", "category_name"), "product_id", "left")
-        .groupBy(category.alias("category"))
+        rows.groupBy("category")
         .agg(
             parts_rounded(merged_parts(F.col("value")), 2).alias("total_loss_value"),
-            rounded(rate, 2).alias("waste_rate_pct"),
-            F.sum("unsold").alias("total_unsold_qty"),
+            _waste_rate().alias("waste_rate_pct"),
+            F.sum("unsold_qty").alias("total_unsold_qty"),
         )
         .orderBy(F.desc("total_loss_value"), "category")
     )
@@ -105,8 +111,8 @@ def breach_timeline(compliance: DataFrame) -> DataFrame:
         compliance.groupBy("date_id")
         .agg(
             F.sum("equipment_breach_count").alias("total_breaches"),
-            _mean_rate().alias("avg_compliance_rate_pct"),
-            F.countDistinct("device_id").alias("devices_monitored"),
+            _mean_rate(compliance).alias("avg_compliance_rate_pct"),
+            _devices(compliance).alias("devices_monitored"),
         )
         .orderBy("date_id")
     )
@@ -118,7 +124,7 @@ def top_locations(waste: DataFrame, stores: DataFrame, n: int = 5, start=None, e
         between(waste, "date_id", start, end)
         .groupBy("store_id")
         .agg(
-            _loss().alias("total_loss_value"),
+            _loss(waste).alias("total_loss_value"),
             _waste_rate().alias("waste_rate_pct"),
             F.sum("unsold_qty").alias("total_unsold_qty"),
         )
@@ -154,7 +160,7 @@ def compliance_by_month(compliance: DataFrame, since=None) -> DataFrame:
     return (
         between(compliance, "date_id", since)
         .groupBy(month_of(F.col("date_id")).alias("month"))
-        .agg(_mean_rate().alias("avg_compliance"), F.sum("equipment_breach_count").alias("total_breaches"))
+        .agg(_mean_rate(compliance).alias("avg_compliance"), F.sum("equipment_breach_count").alias("total_breaches"))
         .orderBy("month")
     )
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.expectations.core import as_column, ignore_row_if, where
 from larder.operators.sweep import swept
+from larder.session import stage
 
 __all__ = [
     "expect_column_values_to_be_unique",
@@ -25,6 +26,32 @@ def _column_names(columns: Sequence[str], quote_columns: bool) -> list[str]:
     return [f"`{c}`" for c in columns] if quote_columns else list(columns)
 
 
+#: Hashes met twice that are broadcast; with more of them, keys are counted as they are.
+FEW_HASHES = 500_000
+
+
+def _repeated(rows: DataFrame, keys: list[Column]) -> DataFrame:
+    """Keys that occur more than once, with ``n_records``.
+
+    Hashes of the keys are counted first: a table whose key is unique shuffles eight bytes a row and its keys not at all.
+    Only rows whose hash was met twice are then counted by their whole keys, so that different keys of one hash stay
+    apart. Runs a job when called.
+    """
+    hashed = rows.select(_hash(keys).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    twice = stage(hashed.select("_hash"), "repeated-hashes")
+    number = twice.count()
+    if 0 < number <= FEW_HASHES:
+        rows = rows.join(F.broadcast(twice), _hash(keys) == F.col("_hash"), "left_semi")
+    elif not number:
+        rows = rows.limit(0)
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1)
+
+
+def _hash(keys: list[Column]) -> Column:
+    """Equal keys have equal hashes: NULL is a value, 0.0 and -0.0 are one."""
+    return F.xxhash64(*keys)
+
+
 def expect_compound_columns_to_be_unique(
     df: DataFrame,
     column_list: Sequence[str],
@@ -37,8 +64,7 @@ def expect_compound_columns_to_be_unique(
         raise ValueError(f"`column_list` must be a list of columns, got {column_list!r}")
     names = _column_names(column_list, quote_columns)
     rows = where(df, row_condition).filter(ignore_row_if(ignore_row_if_mode, names))
-    keys = [as_column(n).alias(c) for n, c in zip(names, column_list)]
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1)
+    return _repeated(rows, [as_column(n).alias(c) for n, c in zip(names, column_list)])
 
 
 def expect_column_values_to_be_unique(df: DataFrame, column: str, row_condition=None) -> DataFrame:
@@ -74,6 +100,5 @@ def not_null(df: DataFrame, column: str, row_condition=None) -> DataFrame:
 
 def unique(df: DataFrame, column: str, row_condition=None) -> DataFrame:
     """Present values occurring more than once, as ``unique_field`` and ``n_records``."""
-    value = as_column(column).alias("unique_field")
     rows = where(df, row_condition).filter(as_column(column).isNotNull())
-    return rows.groupBy(value).agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1)
+    return _repeated(rows, [as_column(column).alias("unique_field")])

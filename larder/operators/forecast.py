@@ -106,6 +106,24 @@ class Additive:
         spread = np.sqrt(noise**2 + len(knots) * 2.0 * change**2 * ahead**3 / 3.0)
         return np.column_stack([mean, mean - Z80 * spread, mean + Z80 * spread]) * scale
 
+    def solve(self, gram: np.ndarray, right: np.ndarray, square: float, n: int, slopes: slice) -> tuple[np.ndarray, float]:
+        """Weights and noise from the normal equations alone: ``gram`` = X'X, ``right`` = X'y, ``square`` = y'y over ``n`` days.
+
+        Residuals follow from the same sums, so the reweighting needs no second look at the days.
+        """
+        penalty = np.full(len(right), 1.0 / self.seasonality_prior_scale**2)
+        penalty[:2] = 1.0 / 5.0**2
+        weights, noise = np.zeros(len(right)), 0.1
+        for _ in range(8):
+            # Reweighting turns the Laplace prior of slope changes into a quadratic one.
+            penalty[slopes] = 1.0 / (self.changepoint_prior_scale * (np.abs(weights[slopes]) + 1e-3))
+            weights = np.linalg.solve(gram / noise**2 + np.diag(penalty), right / noise**2)
+            # Column 0 is the constant, so the sum of residuals is the first entry of X'(y - Xw).
+            mean = (right[0] - gram[0] @ weights) / n
+            left = square - 2 * right @ weights + weights @ gram @ weights
+            noise = max(float(np.sqrt(max(left / n - mean**2, 0.0))), 1e-6)
+        return weights, noise
+
     def _knots(self, days: np.ndarray, start: float, span: float) -> np.ndarray:
         n = min(self.changepoints, int(len(days) * self.changepoint_range) - 1)
         return np.linspace(0, self.changepoint_range, n + 1)[1:] if n > 0 else np.empty(0)
@@ -193,43 +211,77 @@ def walk_forward_cv(
 
     Cutoffs step back by ``period`` from ``horizon`` days before the end, as long as
     ``initial`` days (default: half the history, at least 30) lie before them. A series
-    too short for one cutoff gives no rows. Each day is sent to the cutoffs that use it.
+    too short for one cutoff gives no rows. A task walks along a series once and fits every
+    cutoff from running sums, see :class:`Prefixes`.
     """
     ship_package(series.sparkSession)
     grouped, keys = _series(series, by)
-    whole = Window.partitionBy(*keys)
-    first, last = F.min("ds").over(whole), F.max("ds").over(whole)
-    length = F.datediff("_last", "_first")
-    lead = F.lit(initial) if initial is not None else F.greatest(F.lit(CV_MIN_INITIAL_DAYS), F.floor(length / 2))
-    steps = F.floor((length - horizon - lead) / period).cast("int")
-    cutoffs = F.when(
-        steps >= 0,
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(steps, F.lit(0))),
-            lambda i: F.date_sub(F.col("_last"), (i * period + horizon).cast("int")),
-        ),
-    )
-    folds = (
-        grouped.withColumns({"_first": first, "_last": last})
-        .withColumn("cutoff", F.explode(cutoffs))
-        .filter(F.col("ds") <= F.date_add("cutoff", horizon))
-        .select(*keys, "cutoff", "ds", "y")
-    )
+    columns = [*by, "cutoff", "ds", "y", "yhat"]
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("ds")
         days, y = _day_numbers(rows["ds"]), rows["y"].to_numpy(dtype=float)
-        cutoff = float(_day_numbers(rows["cutoff"].iloc[:1])[0])
-        known = days <= cutoff
-        predicted = model.fit_predict(days[known], y[known], days[~known])
-        out = pd.DataFrame({"ds": _dates(days[~known]), "y": y[~known], "yhat": predicted[:, 0]})
-        out["cutoff"] = _dates(np.array([cutoff]))[0]
+        length = int(days[-1] - days[0])
+        lead = max(CV_MIN_INITIAL_DAYS, length // 2) if initial is None else initial
+        steps = (length - horizon - lead) // period
+        if steps < 0:
+            return pd.DataFrame(columns=columns)
+        cutoffs = days[-1] - horizon - period * np.arange(steps, -1, -1)
+        parts = []
+        for cutoff, predicted, ahead in Prefixes(model, days, y).forecasts(cutoffs, horizon):
+            part = pd.DataFrame({"ds": _dates(days[ahead]), "y": y[ahead], "yhat": predicted})
+            part["cutoff"] = _dates(np.array([cutoff]))[0]
+            parts.append(part)
+        out = pd.concat(parts)
         for name, part in zip(by, key):
             out[name] = part
-        return out[[*by, "cutoff", "ds", "y", "yhat"]]
+        return out[columns]
 
     schema = _key_schema(series, by) + "cutoff date, ds date, y double, yhat double"
-    return folds.groupBy(*keys, "cutoff").applyInPandas(fit, schema)
+    return grouped.groupBy(*keys).applyInPandas(fit, schema)
+
+
+class Prefixes:
+    """Fits of one series up to many cutoffs from running normal equations.
+
+    Knots lie on one grid of days for all cutoffs; a cutoff uses those in the first ``changepoint_range`` of its history. So the
+    columns are the same for every cutoff but for their scale: X'X and X'y are summed up day by day, and a fit
+    takes them as they stand at its cutoff. No history is read twice.
+    """
+
+    def __init__(self, model: Additive, days: np.ndarray, y: np.ndarray):
+        self.model, self.days, self.y = model, days, y
+        start, span = days[0], max(float(days[-1] - days[0]), 1.0)
+        self.knots = start + np.linspace(0, model.changepoint_range, model.changepoints + 1)[1:] * span
+        t = days - start
+        trend = np.column_stack([np.ones_like(t), t, *(np.maximum(days - k, 0.0) for k in self.knots)])
+        season = model._design(days, 0.0, 1.0, np.empty(0))[:, 2:]
+        self.columns = np.column_stack([trend, season])
+
+    def forecasts(self, cutoffs: np.ndarray, horizon: int):
+        """``cutoff, forecast, places of the days ahead`` for ascending cutoffs."""
+        x, y, n_knots = self.columns, self.y, len(self.knots)
+        gram, right, square, done = np.zeros((x.shape[1],) * 2), np.zeros(x.shape[1]), 0.0, 0
+        for cutoff in cutoffs:
+            upto = int(np.searchsorted(self.days, cutoff, side="right"))
+            new = slice(done, upto)
+            gram, right, square, done = gram + x[new].T @ x[new], right + x[new].T @ y[new], square + float(y[new] @ y[new]), upto
+            ahead = np.flatnonzero((self.days > cutoff) & (self.days <= cutoff + horizon))
+            yield cutoff, self._at(upto, gram, right, square, ahead), ahead
+
+    def _at(self, upto: int, gram: np.ndarray, right: np.ndarray, square: float, ahead: np.ndarray) -> np.ndarray:
+        days, n_knots = self.days[:upto], len(self.knots)
+        span = max(float(days[-1] - days[0]), 1.0)
+        used = np.flatnonzero(self.knots <= days[0] + self.model.changepoint_range * span)
+        chosen = np.concatenate([[0, 1], 2 + used, np.arange(2 + n_knots, self.columns.shape[1])])
+        # Trend columns are counted in days; the priors hold for a history of length one and values up to one.
+        units = np.ones(len(chosen))
+        units[1 : 2 + len(used)] = 1.0 / span
+        scale = max(float(np.abs(self.y[:upto]).max()), 1e-9)
+        slopes = slice(2, 2 + len(used))
+        part = gram[np.ix_(chosen, chosen)] * np.outer(units, units)
+        weights, _ = self.model.solve(part, right[chosen] * units / scale, square / scale**2, upto, slopes)
+        return self.columns[np.ix_(ahead, chosen)] @ (weights * units) * scale
 
 
 def rolling_mape(cv: DataFrame, by: Sequence[str] = (), window: float = 0.1) -> DataFrame:

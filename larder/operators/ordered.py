@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.operators.selection import percentiles
 from larder.operators.sweep import swept
 
 COPIES = "_copies"
@@ -116,14 +117,17 @@ def running_sum(
 def percentile_cont(
     df: DataFrame, column: str, q: float, by: Sequence[str] = (), out: str = "percentile"
 ) -> DataFrame:
-    """Exact interpolated percentile of the non-NULL values, one row per group.
+    """Exact interpolated percentile of the non-NULL values, one row per group; NULL for groups without a value.
 
-    Equal values are counted first; the two neighbours of the wanted position are then
-    found by running counts, so no task ever holds a group's values. Groups without a
-    value give NULL.
+    Found by radix selection (:mod:`larder.operators.selection`); where there are too many groups for that, equal
+    values are counted and the neighbours of the wanted position found by running counts. No task ever holds a group's
+    values. Runs jobs when called.
     """
-    if not 0 <= q <= 1:
-        raise ValueError("q must lie between 0 and 1")
+    found = percentiles(df, column, {out: q}, by)
+    return _percentile_by_counts(df, column, q, by, out) if found is None else found
+
+
+def _percentile_by_counts(df: DataFrame, column: str, q: float, by: Sequence[str], out: str) -> DataFrame:
     value = F.col(f"`{column}`")
     counts = (
         df.filter(value.isNotNull())

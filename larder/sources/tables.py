@@ -61,34 +61,69 @@ class Lake:
         return self._hadoop_fs(self.path(layer, name), "exists")
 
     def read(self, layer: str, name: str) -> DataFrame:
+        self.recover(layer, name)
         if self.root is None:
             return self.spark.table(f"{layer}.{name}")
         return self.spark.read.parquet(self.path(layer, name))
 
+    def recover(self, layer: str, name: str) -> None:
+        """Put back the table that a rebuild had set aside when it was cut off before the new one took its place."""
+        if self.exists(layer, name):
+            return
+        if self.root is None:
+            if self.exists(layer, f"{name}__old"):
+                self.spark.sql(f"ALTER TABLE {layer}.{name}__old RENAME TO {layer}.{name}")
+            return
+        fs, folder = self._hadoop(self.path(layer, ""))
+        aside = [s.getPath() for s in (fs.listStatus(folder) if fs.exists(folder) else []) if s.getPath().getName().startswith(f"_{name}-old-")]
+        if aside:
+            fs.rename(max(aside, key=lambda p: fs.getFileStatus(p).getModificationTime()), self._hadoop(self.path(layer, name))[1])
+
     def write(self, df: DataFrame, layer: str, name: str, cluster_by: str | None = None) -> DataFrame:
         """Rebuild a table from scratch; the old one stays until the new one is complete.
 
-        With ``cluster_by`` the files hold ranges of that column, sorted, so that a filter on it skips files and
-        row groups by their statistics. Row order as such is not a table property.
+        Then the old one is set aside, the new one takes its place, and the old one goes; if the new one cannot, the old
+        one is put back, by :meth:`recover` if the job was cut off in between. With ``cluster_by`` the files hold ranges of that
+        column, sorted, so that a filter on it skips files and row groups by their statistics. Row order as such is not
+        a table property.
         """
         if cluster_by:
             df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
         if self.root is None:
-            # The catalog has no swap: write beside, then rename.
-            new, old = f"{layer}.{name}__new", f"{layer}.{name}"
+            new, old, aside = (f"{layer}.{name}{end}" for end in ("__new", "", "__old"))
             self.spark.sql(f"DROP TABLE IF EXISTS {new}")
             df.write.saveAsTable(new)
-            self.spark.sql(f"DROP TABLE IF EXISTS {old}")
-            self.spark.sql(f"ALTER TABLE {new} RENAME TO {old}")
+            self.recover(layer, name)
+            self.spark.sql(f"DROP TABLE IF EXISTS {aside}")
+            had = self.exists(layer, name)
+            if had:
+                self.spark.sql(f"ALTER TABLE {old} RENAME TO {aside}")
+            try:
+                self.spark.sql(f"ALTER TABLE {new} RENAME TO {old}")
+            except Exception:
+                self.recover(layer, name)
+                raise
+            self.spark.sql(f"DROP TABLE IF EXISTS {aside}")
         else:
-            new = self.path(layer, f"_{name}-{uuid.uuid4().hex}")
+            mark = uuid.uuid4().hex
+            new, aside = self.path(layer, f"_{name}-{mark}"), self.path(layer, f"_{name}-old-{mark}")
             df.write.parquet(new)
-            fs, path = self._hadoop(self.path(layer, name))
-            fs.delete(path, True)
-            if not fs.rename(self._hadoop(new)[1], path):
+            self.recover(layer, name)
+            had = self.exists(layer, name)
+            if had and not self._rename(self.path(layer, name), aside):
+                raise OSError(f"{layer}.{name} could not be set aside; the new table is {new}")
+            if not self._rename(new, self.path(layer, name)):
+                self.recover(layer, name)
                 raise OSError(f"{new} is complete but could not take the place of {layer}.{name}")
+            if had:
+                fs, old = self._hadoop(aside)
+                fs.delete(old, True)
         return self.read(layer, name)
 
+    def _rename(self, source: str, target: str) -> bool:
+        fs, path = self._hadoop(source)
+        return fs.rename(path, self._hadoop(target)[1])
+
     def append(self, df: DataFrame, layer: str, name: str) -> DataFrame:
         """Add rows to a table, creating it when missing."""
         if self.root is None:

@@ -375,3 +375,32 @@ def test_suites_evaluate_set_checks_in_the_tables_scan(spark):
     found = run_suite({"t": df}, checks)
     assert [r.failures for r in found.orderBy("position").collect()] == alone == [2, 3, 4, 2]
     assert run_suite({"t": df}, checks[:2])._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_suites_answer_questions_about_distinct_values_in_the_tables_scan(spark):
+    """Against the checks themselves: missing values, -0.0, row conditions, instants a microsecond apart, an empty table."""
+    import datetime as dt
+
+    at = dt.datetime(2024, 1, 1)
+    rows = [("a", 1, 0.0, at), ("a", 1, -0.0, at), ("b", 2, 1.0, at + dt.timedelta(microseconds=1)), (None, None, None, None), ("c", None, 2.0, None), ("c", 3, float("nan"), at)]
+    df = spark.createDataFrame(rows, "value string, _check int, n double, t timestamp_ntz")
+    names = ["expect_column_distinct_values_to_be_in_set", "expect_column_distinct_values_to_contain_set", "expect_column_distinct_values_to_equal_set"]
+    checks = [Check("t", name, {"column": "value", "value_set": ["a", "z", "b"]}) for name in names]
+    checks += [Check("t", name, {"column": "_check", "value_set": [1, 9], "row_condition": "value <> 'b'"}) for name in names]
+    for column in ("value", "_check", "n", "t"):
+        checks += [
+            Check("t", "unique", {"column": column}),
+            Check("t", "expect_column_values_to_be_unique", {"column": column, "row_condition": "value = 'a'"}),
+            Check("t", "expect_column_distinct_count_to_equal", {"column": column, "value": 3}),
+            Check("t", "expect_column_distinct_count_to_be_greater_than", {"column": column, "value": 3}),
+            Check("t", "expect_column_unique_value_count_to_be_between", {"column": column, "min_value": 2, "max_value": 3, "strictly": True}),
+            Check("t", "expect_column_proportion_of_unique_values_to_be_between", {"column": column, "min_value": 0.7}),
+        ]
+    checks += [Check("t", "expect_compound_columns_to_be_unique", {"column_list": ["value", "n"], "ignore_row_if_mode": m}) for m in ("all_values_are_missing", "any_value_is_missing")]
+    checks += [Check("t", "not_null", {"column": "value"}), Check("t", "expect_table_row_count_to_equal", {"value": 6}), Check("t", "expect_column_sum_to_be_between", {"column": "_check", "max_value": 6})]
+    for table in (df, df.limit(0)):
+        alone = [getattr(e, c.expectation)(table, **c.args).count() for c in checks]
+        found = run_suite({"t": table}, checks)
+        assert [r.failures for r in found.orderBy("position").collect()] == alone
+    plan = run_suite({"t": df}, checks)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1

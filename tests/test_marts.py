@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from larder.functions.numbers import log_natural, rounded, to_int
 from larder.operators import dashboard as q
 from larder.operators import expectations as e
-from larder.operators import gold, silver
+from larder.operators import gold, silver, states
 
 D = dt.date
 
@@ -156,3 +156,62 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = t.readings.select("date_id")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in plan
     assert "GreaterThanOrEqual(value,-100.0)" in plan
+
+
+@pytest.fixture(scope="module")
+def mart(spark):
+    """Waste of three stores over twenty days, one day without a date, one product without a name."""
+    import random
+
+    r = random.Random(4)
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=k) for k in range(20)] + [None]
+    rows = [(d, s, p, r.random() * 10 ** r.randint(0, 9), r.randint(0, 9), r.randint(0, 20)) for d in days for s in "abc" for p in ("FOODS_1", "FOODS_2", "x", "y")]
+    waste = spark.createDataFrame(rows, "date_id date, store_id string, product_id string, potential_waste_value double, unsold_qty long, total_stock long")
+    products = spark.createDataFrame([("x", "Toys"), ("FOODS_1", "Else")], "product_id string, category_name string")
+    stores = spark.createDataFrame([("a", "A", "Town", None), ("b", None, None, "State")], "store_id string, store_name string, city string, state string")
+    return waste.withColumn("category_name", F.lit("unused")), products, stores
+
+
+def test_states_give_the_rows_of_the_mart(mart):
+    waste, products, stores = mart
+    kept = states.waste_states(waste, products)
+    assert kept.count() < waste.count()
+    span = ("2024-01-03", "2024-01-17")
+    for query in (
+        lambda w, p: q.kpi_waste(w, *span),
+        lambda w, p: q.waste_trend(w, "month"),
+        lambda w, p: q.waste_trend(w, "day", *span),
+        lambda w, p: q.waste_by_category(w, p, *span),
+        lambda w, p: q.top_locations(w, stores, 5, *span),
+    ):
+        assert query(kept, None).collect() == query(waste, products).collect()
+
+
+def test_compliance_states(spark):
+    rows = [(dt.date(2024, 1, 1 + k % 5), f"d{k % 3}", 100.0 / (k + 1) if k % 7 else None, k) for k in range(15)]
+    compliance = spark.createDataFrame(rows, "date_id date, device_id string, compliance_rate_pct double, equipment_breach_count long")
+    kept = states.compliance_states(compliance)
+    for query in (q.kpi_cold_chain, q.breach_timeline, q.compliance_by_month):
+        assert query(kept).collect() == query(compliance).collect()
+
+
+def test_changed_days_give_what_a_full_rebuild_gives(spark, mart):
+    waste, products, _ = mart
+    old = states.waste_states(waste, products)
+    # Two days change, one goes, one comes, and so do rows without a day.
+    changed = waste.withColumn("unsold_qty", F.when(F.day("date_id").isin(2, 9) | F.col("date_id").isNull(), F.col("unsold_qty") + 1).otherwise(F.col("unsold_qty")))
+    changed = changed.filter(~F.coalesce(F.day("date_id") == 5, F.lit(False)))
+    changed = changed.unionByName(waste.filter("day(date_id) = 1").withColumn("date_id", F.lit("2024-03-01").cast("date")))
+    days = spark.createDataFrame([(dt.date(2024, 1, 2),), (dt.date(2024, 1, 9),), (dt.date(2024, 1, 5),), (dt.date(2024, 3, 1),), (None,)], "date_id date")
+    partial = states.changed_days(old, changed, days, lambda m: states.waste_states(m, products))
+    want = states.waste_states(changed, products)
+    assert sorted(map(str, partial.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_fixed_values():
+    """Values that results must agree on, as literals."""
+    assert gold.CURRENCY_FACTOR == 15000 and gold.FLAT_STOCK == 1000 and gold.NORMAL_Z80 == 1.28 and gold.DEFAULT_PRICE == 10.0
+    assert gold.FAMILY_PRICES == {"FOODS": 15.0, "HOUSEHOLD": 25.0, "HOBBIES": 40.0}
+    assert gold.FAMILY_CATEGORIES == {"FOODS": "Food & Beverage", "HOUSEHOLD": "Household & Cleaning", "HOBBIES": "Hobbies & Toys"}
+    assert states.FAMILY_NAMES == {"FOODS": "Foods", "HOUSEHOLD": "Household", "HOBBIES": "Hobbies"}
+    assert (gold.HIGH_WASTE_PCT, gold.MODERATE_WASTE_PCT) == (20, 5)

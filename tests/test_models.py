@@ -141,3 +141,36 @@ def test_walk_forward(sales):
     assert cv.count() == 30 * len(cutoffs)
     assert forecast.mean_mape(cv).first().mape_pct < 6
     assert forecast.walk_forward_cv(series.filter("ds < DATE'2021-02-01'")).count() == 0
+
+
+def test_smallest_rows_in_one_scan(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.integers(-50, 50)), float(rng.normal())) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "_id long, v double").repartition(7)
+    for size in (1, 40, 5000):
+        got = sorted(map(tuple, anomaly._least(df, size, ["_id", "v"]).collect()))
+        assert got == sorted(rows)[:size]
+    plan = anomaly._samples(df, ["v"], ["_id", "v"], 3, 20, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1
+
+
+def test_running_normal_equations_equal_a_refit():
+    rng = np.random.default_rng(6)
+    days = np.arange(19000.0, 19700.0)
+    y = 50 + 0.2 * (days - days[0]) + 8 * np.sin(2 * np.pi * days / 7) + rng.normal(0, 3, len(days))
+    model = forecast.Additive(0.10)
+    prefixes = forecast.Prefixes(model, days, y)
+    for cutoff, predicted, ahead in prefixes.forecasts(days[-1] - 30 - 30 * np.arange(8, -1, -1.0), 30):
+        known = days <= cutoff
+        x, own = prefixes.columns[known], y[known]
+        refit = prefixes._at(int(known.sum()), x.T @ x, x.T @ own, float(own @ own), ahead)
+        assert np.allclose(predicted, refit, rtol=1e-8, atol=1e-8)
+        assert list(days[ahead]) == list(cutoff + np.arange(1, 31))
+
+
+def test_walk_forward_of_a_line_with_weeks_is_exact():
+    days = np.arange(19000.0, 19500.0)
+    y = 200 + 0.5 * (days - days[0]) + 20 * np.sin(2 * np.pi * days / 7) + 5 * np.cos(4 * np.pi * days / 7)
+    model = forecast.Additive(0.10, yearly=False)
+    for _, predicted, ahead in forecast.Prefixes(model, days, y).forecasts(days[-1] - 30 - 30 * np.arange(5, -1, -1.0), 30):
+        assert np.allclose(predicted, y[ahead], rtol=1e-4)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from larder.operators import expectations as e
 from larder.operators import ordered as o
-from larder.operators import sweep
+from larder.operators import selection, sweep
+from larder.operators.expectations import records
 from larder.operators.sweep import swept
 from larder.session import stage
 
@@ -227,3 +229,64 @@ def test_no_crowds_needs_no_second_pass(spark):
     rows = o.repeat_rows(df, crowds=False)
     assert sorted((r.g, r._copy) for r in rows.collect()) == [("a", 1), ("a", 2), ("a", 3), ("b", 1)]
     assert "Union" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+# percentiles by radix selection
+
+
+def test_keys_sort_as_doubles_do():
+    values = [float("-inf"), -1e300, -2.5, -5e-324, 0.0, 5e-324, 1.0, 1.0000000000000002, 1e300, float("inf"), float("nan")]
+    keys = selection.keys_of(np.array(values))
+    assert list(keys) == sorted(keys) and len(set(keys.tolist())) == len(values)
+    assert selection.keys_of(np.array([-0.0]))[0] == selection.keys_of(np.array([0.0]))[0]
+    assert [selection.value_of(int(k)) for k in keys[:-1]] == values[:-1]
+
+
+@pytest.mark.parametrize("few", [0, 1 << 16])
+def test_all_quantiles_and_groups_at_once(spark, monkeypatch, few):
+    """Ranks are decided by digits alone, or early when few values are left; negative, huge, equal and missing values."""
+    monkeypatch.setattr(selection, "FEW", few)
+    rng = random.Random(8)
+    data = [(rng.choice(["a", None, "b"]), rng.choice([rng.gauss(0, 1), rng.gauss(0, 1e9), 7.25, -0.0, None])) for _ in range(700)]
+    data += [("none", None)] * 3 + [("one", 5.5)]
+    df = spark.createDataFrame(data, "g string, v double")
+    wanted = {"low": 0.0, "tenth": 0.1, "half": 0.5, "most": 0.93, "high": 1.0}
+    got = {r.g: r for r in selection.percentiles(df, "v", wanted, ["g"]).collect()}
+    want = {r.g: r for r in df.groupBy("g").agg(*(F.percentile("v", q).alias(n) for n, q in wanted.items())).collect()}
+    assert got.keys() == want.keys()
+    for g in want:
+        for name in wanted:
+            assert got[g][name] == (None if want[g][name] is None else pytest.approx(want[g][name], rel=1e-12))
+    whole = selection.percentiles(df, "v", wanted).first()
+    assert whole.half == pytest.approx(df.agg(F.percentile("v", 0.5)).first()[0])
+
+
+def test_many_groups_are_counted_instead(spark, monkeypatch):
+    monkeypatch.setattr(selection, "MAX_GROUPS", 2)
+    df = spark.createDataFrame([(k % 5, float(k)) for k in range(50)], "g int, v double")
+    assert selection.percentiles(df, "v", {"p": 0.5}, ["g"]) is None
+    got = {r.g: r.p for r in o.percentile_cont(df, "v", 0.5, ["g"], out="p").collect()}
+    assert got == {k: 22.5 + k - 0.0 for k in range(5)} or got == {k: (k + (45 + k)) / 2 for k in range(5)}
+
+
+def test_repeated_keys_survive_colliding_hashes(spark, monkeypatch):
+    rows = [(k, "x") for k in range(40)] + [(3, "x"), (3, "x"), (7, "x"), (None, None), (None, "y"), (None, "y")]
+    df = spark.createDataFrame(rows, "a int, b string")
+
+    def found():
+        pairs = e.expect_compound_columns_to_be_unique(df, ["a", "b"]).collect()
+        singles = e.unique(df, "a").collect()
+        return sorted(map(str, pairs)), sorted(map(str, singles))
+
+    plain = found()
+    assert len(plain[0]) == 3 and len(plain[1]) == 2
+    monkeypatch.setattr(records, "_hash", lambda keys: F.lit(1).cast("long"))
+    assert found() == plain
+    monkeypatch.setattr(records, "FEW_HASHES", 0)
+    assert found() == plain
+
+
+def test_unique_keys_are_not_shuffled(spark):
+    df = spark.createDataFrame([(k, "x" * 50) for k in range(100)], "a int, b string")
+    plan = e.expect_compound_columns_to_be_unique(df, ["b", "a"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan
