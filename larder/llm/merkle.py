@@ -132,7 +132,7 @@ class Manifest:
 
     ``leaves`` has a digest ``leaf`` and any other columns. ``group`` is a column (NULL is a group, the first one),
     ``order`` names columns (NULL last); ties go by the digest. ``roots`` has one row per group: ``key``, ``n``, ``root``.
-    Runs jobs when made. Columns of any other name are carried.
+    Runs jobs when made. Other columns are carried, but for those with the name of a result. Repeated rows are leaves of their own.
     """
 
     def __init__(self, leaves: DataFrame, group: Column, order: list[str]):
@@ -243,7 +243,8 @@ class Manifest:
         lefts, rights = F.col("lefts"), F.col("rights")
         if above is not None:
             lefts, rights = F.concat(lefts, "more_lefts"), F.concat(rights, "more_rights")
-        carried = [F.col("members.row")[c].alias(c) for c in self.carried]
+        results = {*ending, "position", "lefts", "rights"}
+        carried = [F.col("members.row")[c].alias(c) for c in self.carried if c not in results]
         return each.select(*carried, F.col("members.at").alias("position"), *ending, lefts.alias("lefts"), rights.alias("rights"))
 
 
