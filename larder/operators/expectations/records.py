@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from larder.operators.expectations.core import as_column, ignore_row_if, where
 from larder.operators.sweep import swept
-from larder.session import stage
 
 __all__ = [
     "expect_column_values_to_be_unique",
@@ -27,7 +26,7 @@ def _column_names(columns: Sequence[str], quote_columns: bool) -> list[str]:
 
 
 #: Hashes met twice that are broadcast; with more of them, keys are counted as they are.
-FEW_HASHES = 500_000
+FEW_HASHES = 100_000
 
 
 def _repeated(rows: DataFrame, keys: list[Column]) -> DataFrame:
@@ -38,12 +37,12 @@ def _repeated(rows: DataFrame, keys: list[Column]) -> DataFrame:
     apart. Runs a job when called.
     """
     hashed = rows.select(_hash(keys).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    twice = stage(hashed.select("_hash"), "repeated-hashes")
-    number = twice.count()
-    if 0 < number <= FEW_HASHES:
-        rows = rows.join(F.broadcast(twice), _hash(keys) == F.col("_hash"), "left_semi")
-    elif not number:
+    twice = hashed.select("_hash").limit(FEW_HASHES + 1).collect()
+    if not twice:
         rows = rows.limit(0)
+    elif len(twice) <= FEW_HASHES:
+        met = rows.sparkSession.createDataFrame(twice, "_hash long")
+        rows = rows.join(F.broadcast(met), _hash(keys) == F.col("_hash"), "left_semi")
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1)
 
 

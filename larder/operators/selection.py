@@ -38,12 +38,14 @@ def value_of(key: int) -> float:
 
 @dataclass
 class _Rank:
-    """An order statistic of a group: its group, where it belongs in the result, the digits found so far, and what is left of its rank."""
+    """An order statistic: its group, where it belongs in the result, its rank among the values with the digits found so far, these
+    digits, how many such values there are, and in the end its value."""
 
     group: int
     slot: tuple[str, str]
     left: int
-    prefix: int = 0
+    prefix: int
+    among: int
     value: float | None = None
 
 
@@ -57,31 +59,53 @@ def percentiles(df: DataFrame, column: str, quantiles: dict[str, float], by: Seq
     if not all(0 <= q <= 1 for q in quantiles.values()):
         raise ValueError("q must lie between 0 and 1")
     value, names = F.col(f"`{column}`"), [f"_g{k}" for k in range(len(by))]
-    rows = df.select(*(F.col(f"`{c}`").alias(g) for c, g in zip(by, names)), value.cast("double").alias("_value"))
-    counted = rows.groupBy(*names).agg(F.count("_value").alias("_n")) if by else rows.agg(F.count("_value").alias("_n"))
-    groups = counted.limit(MAX_GROUPS + 1).collect()
-    if len(groups) > MAX_GROUPS:
-        return None
 
     @F.pandas_udf("long")
     def key(values: pd.Series) -> pd.Series:
         return pd.Series(keys_of(values.to_numpy(dtype=float)))
 
-    keyed = rows.filter(F.col("_value").isNotNull()).select(*names, key("_value").alias("_key"))
+    rows = df.select(*(F.col(f"`{c}`").alias(g) for c, g in zip(by, names)), value.cast("double").alias("_value"))
+    rows = rows.select(*names, F.when(F.col("_value").isNotNull(), key("_value")).alias("_key"))
+    # The first digits of all groups, and where the wanted ranks lie among them; a group without values has a line of its own.
+    first = rows.groupBy(*names, F.shiftright("_key", 64 - DIGIT).alias("_digits")).agg(F.count("_key").alias("_n"))
+    within = Window.partitionBy(*names)
+    upto = first.withColumn("_all", F.sum("_n").over(within)).withColumn("_upto", F.sum("_n").over(within.orderBy(F.asc_nulls_first("_digits"))))
+    covers = F.col("_all") == 0
+    for q in quantiles.values():
+        at = F.lit(float(q)) * (F.col("_all") - 1)
+        for rank in (F.floor(at), F.ceil(at)):
+            covers = covers | ((F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank))
+    hits = upto.filter(covers).limit(MAX_GROUPS * 2 * len(quantiles) + 1).collect()
+    groups: list = []
+    place: dict = {}
+    for h in hits:
+        name = tuple("nan" if isinstance(v, float) and v != v else v for v in h[: len(names)])
+        if name not in place:
+            place[name] = len(groups)
+            groups.append((*h[: len(names)], h["_all"]))
+    if not by and not groups:
+        groups.append((0,))  # no row at all
+    if len(groups) > MAX_GROUPS:
+        return None
+
+    ranks = []
+    for h in hits:
+        k = place[tuple("nan" if isinstance(v, float) and v != v else v for v in h[: len(names)])]
+        for name, q in quantiles.items():
+            at = q * (h["_all"] - 1)
+            for end, rank in (("low", int(np.floor(at))), ("high", int(np.ceil(at)))):
+                if h["_all"] and h["_upto"] - h["_n"] <= rank < h["_upto"]:
+                    ranks.append(_Rank(k, (name, end), rank - (h["_upto"] - h["_n"]), h["_digits"], among=h["_n"]))
+
+    keyed = rows.filter(F.col("_key").isNotNull())
     if by:
-        numbered = spark.createDataFrame([(*g[:-1], k) for k, g in enumerate(groups)], T.StructType([*counted.schema.fields[:-1], T.StructField("_group", T.IntegerType())]))
+        fields = [*first.schema.fields[: len(names)], T.StructField("_group", T.IntegerType())]
+        numbered = spark.createDataFrame([(*g[:-1], k) for k, g in enumerate(groups)], T.StructType(fields))
         right = numbered.withColumnsRenamed({g: f"{g}_" for g in names})
         # One row per group, at most MAX_GROUPS.
         keyed = keyed.join(F.broadcast(right), [F.col(g).eqNullSafe(F.col(f"{g}_")) for g in names]).select("_group", "_key")
     else:
         keyed = keyed.select(F.lit(0).alias("_group"), "_key")
-
-    ranks = []
-    for k, g in enumerate(groups):
-        for name, q in quantiles.items():
-            if g["_n"]:
-                at = q * (g["_n"] - 1)
-                ranks += [_Rank(k, (name, "low"), int(np.floor(at))), _Rank(k, (name, "high"), int(np.ceil(at)))]
     _decide(keyed, ranks)
 
     found = {(r.group, *r.slot): r.value for r in ranks}
@@ -90,47 +114,43 @@ def percentiles(df: DataFrame, column: str, quantiles: dict[str, float], by: Seq
         line = list(g[:-1])
         for name, q in quantiles.items():
             low, high = found.get((k, name, "low")), found.get((k, name, "high"))
-            at = q * (g["_n"] - 1)
-            line.append(None if low is None else low if low == high else low + (high - low) * (at - np.floor(at)))
-        result.append(tuple(None if v is None else float(v) if isinstance(v, np.floating) else v for v in line))
-    fields = [T.StructField(c, f.dataType) for c, f in zip(by, counted.schema.fields)]
+            at = q * (g[-1] - 1)
+            line.append(None if low is None else low if low == high else float(low + (high - low) * (at - np.floor(at))))
+        result.append(tuple(line))
+    fields = [T.StructField(c, f.dataType) for c, f in zip(by, first.schema.fields)]
     return spark.createDataFrame(result, T.StructType([*fields, *(T.StructField(n, T.DoubleType()) for n in quantiles)]))
 
 
 def _decide(keyed: DataFrame, ranks: list[_Rank]) -> None:
-    """Find the values of all ranks; ``keyed`` has ``_group`` and ``_key``."""
+    """Find the values of all ranks, whose first digits are known; ``keyed`` has ``_group`` and ``_key``."""
     spark = keyed.sparkSession
-    candidates = keyed
-    for level in range(64 // DIGIT):
+    for level in range(1, 64 // DIGIT + 1):
         if not ranks:
             return
-        shift = 64 - DIGIT * (level + 1)
-        if level:
-            places = {(r.group, r.prefix) for r in ranks}
-            table = spark.createDataFrame(sorted(places), "_g int, _prefix long")
-            # At most two ranks per group and quantile.
-            candidates = keyed.join(F.broadcast(table), (F.col("_group") == F.col("_g")) & (F.shiftright("_key", shift + DIGIT) == F.col("_prefix"))).select("_group", "_key")
-        # The digits so far and the next one, as a signed number: its order is that of the keys.
-        counts = candidates.groupBy("_group", F.shiftright("_key", shift).alias("_digits")).agg(F.count(F.lit(1)).alias("_n"))
-        within = Window.partitionBy("_group", F.shiftright("_digits", DIGIT) if level else F.lit(0)).orderBy("_digits")
-        upto = counts.withColumn("_upto", F.sum("_n").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-        wanted = spark.createDataFrame(sorted({(r.group, r.prefix, r.left) for r in ranks}), "_g int, _p long, _left long")
-        same = F.shiftright("_digits", DIGIT) == F.col("_p") if level else F.lit(True)
-        here = (F.col("_group") == F.col("_g")) & same & (F.col("_upto") > F.col("_left")) & (F.col("_upto") - F.col("_n") <= F.col("_left"))
-        hits = upto.join(F.broadcast(wanted), here).select("_g", "_p", "_left", "_digits", "_n", (F.col("_upto") - F.col("_n")).alias("_before")).collect()
-        place = {(h["_g"], h["_p"], h["_left"]): h for h in hits}
-        remaining = {}
-        for r in ranks:
-            h = place[r.group, r.prefix, r.left]
-            r.prefix, r.left = h["_digits"], r.left - h["_before"]
-            remaining[r.group, r.prefix] = h["_n"]
-        if not shift:
+        known = 64 - DIGIT * level
+        if not known:
             for r in ranks:
                 r.value = value_of(r.prefix)
             return
-        if sum(remaining.values()) <= FEW:
-            _look(keyed, ranks, shift)
+        if sum({(r.group, r.prefix): r.among for r in ranks}.values()) <= FEW:
+            _look(keyed, ranks, known)
             return
+        table = spark.createDataFrame(sorted({(r.group, r.prefix) for r in ranks}), "_g int, _prefix long")
+        # At most two ranks per group and quantile.
+        on = (F.col("_group") == F.col("_g")) & (F.shiftright("_key", known) == F.col("_prefix"))
+        candidates = keyed.join(F.broadcast(table), on).select("_group", "_key")
+        # The digits so far and the next one, as a signed number: its order is that of the keys.
+        counts = candidates.groupBy("_group", F.shiftright("_key", known - DIGIT).alias("_digits")).agg(F.count(F.lit(1)).alias("_n"))
+        within = Window.partitionBy("_group", F.shiftright("_digits", DIGIT)).orderBy("_digits")
+        upto = counts.withColumn("_upto", F.sum("_n").over(within))
+        wanted = spark.createDataFrame(sorted({(r.group, r.prefix, r.left) for r in ranks}), "_g int, _p long, _left long")
+        same = (F.col("_group") == F.col("_g")) & (F.shiftright("_digits", DIGIT) == F.col("_p"))
+        here = same & (F.col("_upto") > F.col("_left")) & (F.col("_upto") - F.col("_n") <= F.col("_left"))
+        hits = upto.join(F.broadcast(wanted), here).select("_g", "_p", "_left", "_digits", "_n", (F.col("_upto") - F.col("_n")).alias("_before"))
+        place = {(h["_g"], h["_p"], h["_left"]): h for h in hits.collect()}
+        for r in ranks:
+            h = place[r.group, r.prefix, r.left]
+            r.prefix, r.left, r.among = h["_digits"], r.left - h["_before"], h["_n"]
 
 
 def _look(keyed: DataFrame, ranks: list[_Rank], shift: int) -> None:
