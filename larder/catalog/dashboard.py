@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from larder.catalog.entry import Entry
-from larder.catalog.sqltext import OF_TOTALS, davg, family, rnd, rsum, with_tables
+from larder.catalog.sqltext import OF_PERIODS, OF_TOTALS, davg, family, rnd, rsum, with_tables
 from larder.catalog.tables import Warehouse, settled
 from larder.operators import dashboard as q
 from larder.operators import gold
@@ -11,7 +11,8 @@ from larder.operators.states import FAMILY_NAMES
 from larder.sources.tables import row_counts
 
 _RATE = rnd("CAST(SUM(unsold_qty) AS DOUBLE) * 100.0 / NULLIF(SUM(total_stock), 0)", 2)
-_LOSS = rsum("potential_waste_value", OF_TOTALS)
+#: Rounded as the operator does, then to what is compared.
+_LOSS, _PERIOD_LOSS = (rnd(rsum("potential_waste_value", 2), places) for places in (OF_TOTALS, OF_PERIODS))
 _MEAN_RATE = rnd(davg("compliance_rate_pct"), 2)
 _BREACHES = "CAST(SUM(equipment_breach_count) AS BIGINT)"
 _UNSOLD = "CAST(SUM(unsold_qty) AS BIGINT)"
@@ -87,18 +88,18 @@ ENTRIES = [
     ),
     Entry(
         "q4_waste_trend_month",
-        lambda s, d: settled(q.waste_trend(Warehouse(s, d).waste_states, "month", _START, _END), {"total_loss_value": OF_TOTALS}),
+        lambda s, d: settled(q.waste_trend(Warehouse(s, d).waste_states, "month", _START, _END), {"total_loss_value": OF_PERIODS}),
         with_tables(
             f"SELECT CAST(DATE_TRUNC('month', date_id) AS DATE) AS month, {_RATE} AS food_waste_rate_pct, "
-            f"{_LOSS} AS total_loss_value FROM food_waste WHERE {_RANGE} GROUP BY 1",
+            f"{_PERIOD_LOSS} AS total_loss_value FROM food_waste WHERE {_RANGE} GROUP BY 1",
             "food_waste",
         ),
     ),
     Entry(
         "q5_waste_trend_day",
-        lambda s, d: settled(q.waste_trend(Warehouse(s, d).waste_states, "day", _START, _END), {"total_loss_value": OF_TOTALS}),
+        lambda s, d: settled(q.waste_trend(Warehouse(s, d).waste_states, "day", _START, _END), {"total_loss_value": OF_PERIODS}),
         with_tables(
-            f"SELECT date_id, {_RATE} AS food_waste_rate_pct, {_LOSS} AS total_loss_value "
+            f"SELECT date_id, {_RATE} AS food_waste_rate_pct, {_PERIOD_LOSS} AS total_loss_value "
             f"FROM food_waste WHERE {_RANGE} GROUP BY 1",
             "food_waste",
         ),
@@ -107,7 +108,7 @@ ENTRIES = [
         "q6_waste_by_category",
         lambda s, d: settled(q.waste_by_category(Warehouse(s, d).waste_states, start=_START, end=_END), {"total_loss_value": OF_TOTALS}),
         with_tables(
-            f"""SELECT category, {rsum('lost', OF_TOTALS)} AS total_loss_value, {_RATE} AS waste_rate_pct, {_UNSOLD} AS total_unsold_qty
+            f"""SELECT category, {rnd(rsum('lost', 2), OF_TOTALS)} AS total_loss_value, {_RATE} AS waste_rate_pct, {_UNSOLD} AS total_unsold_qty
             FROM (SELECT product_id, fsum(potential_waste_value) AS lost, SUM(unsold_qty) AS unsold_qty, SUM(total_stock) AS total_stock
                   FROM food_waste WHERE {_RANGE} GROUP BY 1)
             LEFT JOIN (SELECT product_id, category_name AS named FROM dim_product) USING (product_id),
