@@ -82,9 +82,14 @@ class Additive:
     changepoints: int = 25
     changepoint_range: float = 0.8
     seasonality_prior_scale: float = 10.0
+    draws: int = 1000
+    seed: int = 0
 
     def fit_predict(self, days: np.ndarray, y: np.ndarray, future: np.ndarray) -> np.ndarray:
-        """Forecast, lower and upper bound (80 %) for ``future`` day numbers, from history."""
+        """Forecast, lower and upper bound (80 %) for ``future`` day numbers, from history.
+
+        Up to the last day of history the bounds are those of the noise. After it the trend is uncertain too: see :meth:`_ahead`.
+        """
         start, span = days.min(), max(float(days.max() - days.min()), 1.0)
         scale = max(float(np.abs(y).max()), 1e-9)
         knots = self._knots(days, start, span)
@@ -101,10 +106,52 @@ class Additive:
             weights = np.linalg.solve(gram, x.T @ target / noise**2)
             noise = max(float(np.std(target - x @ weights)), 1e-6)
         mean = self._design(future, start, span, knots) @ weights
-        ahead = np.maximum((future - days.max()) / span, 0.0)
-        change = float(np.mean(np.abs(weights[slopes]))) if len(knots) else 0.0
-        spread = np.sqrt(noise**2 + len(knots) * 2.0 * change**2 * ahead**3 / 3.0)
-        return np.column_stack([mean, mean - Z80 * spread, mean + Z80 * spread]) * scale
+        # Eigenvalues are never below the smallest penalty; rounding may say otherwise where there is no noise.
+        values, vectors = np.linalg.eigh(gram)
+        root = vectors / np.sqrt(np.maximum(values, penalty.min()))
+        # Residuals are smaller than the noise by the share of the days that the fit used up.
+        used = min(float(np.sum((x @ root) ** 2)) / noise**2, len(days) - 1.0)
+        noise *= np.sqrt(len(days) / (len(days) - used))
+        low, high = np.full(len(future), -Z80 * noise), np.full(len(future), Z80 * noise)
+        later = future > days.max()
+        if later.any():
+            # The fit shrinks slope changes; their size as the fit leaves it open is the root of both squares.
+            changes = np.sqrt(weights[slopes] ** 2 + np.sum(root[slopes] ** 2, axis=1))
+            open_ = self._design(future[later], start, span, knots) @ root
+            low[later], high[later] = self._ahead((future[later] - days.max()) / span, changes, noise, open_)
+        return np.column_stack([mean, mean + low, mean + high]) * scale
+
+    def _ahead(self, ahead: np.ndarray, changes: np.ndarray, noise: float, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tenth and ninetieth percentile of what may be added to the forecast at times ``ahead`` of the history's end (history: length one).
+
+        Every draw is a possible future: from the last knot on slope changes come as often as the knots did and are as large as
+        the fitted ones are on average (Poisson and Laplace), weights vary as the fit leaves them open (``open_``: days by independent
+        parts), and each day has its noise. The seed fixes the draws.
+        """
+        rng = np.random.default_rng(self.seed)
+        order = np.argsort(ahead, kind="stable")
+        at = ahead[order]
+        trend = np.zeros((self.draws, len(at)))
+        if len(changes):
+            since = 1.0 - self.changepoint_range
+            number = rng.poisson(len(changes) / self.changepoint_range * (at[-1] + since), self.draws)
+            draw = np.repeat(np.arange(self.draws), number)
+            time = rng.uniform(-since, at[-1], len(draw))
+            size = rng.laplace(0.0, max(float(np.mean(np.abs(changes))), 1e-12), len(draw))
+            # Of a change after the last knot, the fit's last straight piece takes up what a line of least squares does.
+            part = np.minimum(time / since + 1.0, 1.0) if since else np.ones_like(time)
+            missed = part**2 * (3.0 - 2.0 * part)
+            level = since * ((1.0 - part) - (1.0 - part) ** 2 / 2.0 - (1.0 - missed) / 2.0)
+            # A change counts from the first day after it: sums of slopes and of slopes times their time give the trend of all days.
+            first = np.searchsorted(at, time)
+            slope, offset = np.zeros_like(trend), np.zeros_like(trend)
+            np.add.at(slope, (draw, first), size * missed)
+            np.add.at(offset, (draw, first), size * (np.maximum(time, 0.0) - level))
+            trend = np.cumsum(slope, axis=1) * at - np.cumsum(offset, axis=1)
+        trend += rng.standard_normal((self.draws, open_.shape[1])) @ open_[order].T
+        ends = np.empty((2, len(at)))
+        ends[:, order] = np.quantile(trend + rng.normal(0.0, noise, trend.shape), [0.1, 0.9], axis=0)
+        return ends[0], ends[1]
 
     def solve(self, gram: np.ndarray, right: np.ndarray, square: float, n: int, slopes: slice) -> tuple[np.ndarray, float]:
         """Weights and noise from the normal equations alone: ``gram`` = X'X, ``right`` = X'y, ``square`` = y'y over ``n`` days.

@@ -174,3 +174,42 @@ def test_walk_forward_of_a_line_with_weeks_is_exact():
     model = forecast.Additive(0.10, yearly=False)
     for _, predicted, ahead in forecast.Prefixes(model, days, y).forecasts(days[-1] - 30 - 30 * np.arange(5, -1, -1.0), 30):
         assert np.allclose(predicted, y[ahead], rtol=1e-4)
+
+
+def wandering(rng, size: float, n: int = 700, ahead: int = 30) -> tuple[np.ndarray, np.ndarray]:
+    """A series whose slope changes at random times by random amounts, with a week and noise."""
+    days, t = np.arange(n + ahead) + 18000.0, np.arange(n + ahead) / n
+    count = rng.poisson(25 * t[-1])
+    times, sizes = rng.uniform(0, t[-1], count), rng.laplace(0, size, count)
+    trend = 1 + 0.5 * t + np.maximum(t[:, None] - times, 0.0) @ sizes
+    return days, 100 * (trend + 0.1 * np.sin(2 * np.pi * days / 7) + rng.normal(0, 0.05, n + ahead))
+
+
+@pytest.mark.parametrize("size", [0.1, 0.2])
+def test_bounds_hold_four_fifths_of_the_days_ahead(size):
+    rng, model, inside = np.random.default_rng(11), forecast.Additive(0.10, yearly=False), []
+    for _ in range(250):
+        days, y = wandering(rng, size)
+        _, low, high = model.fit_predict(days[:700], y[:700], days[700:]).T
+        inside.append(np.mean((low <= y[700:]) & (y[700:] <= high)))
+    assert 0.75 < np.mean(inside) < 0.85
+
+
+def test_bounds_are_seeded_and_widen():
+    days, y = wandering(np.random.default_rng(3), 0.3)
+    model = forecast.Additive(0.10)
+    one, again = (model.fit_predict(days[:700], y[:700], days) for _ in range(2))
+    assert np.array_equal(one, again)
+    other = forecast.Additive(0.10, seed=1).fit_predict(days[:700], y[:700], days)
+    assert np.array_equal(one[:, 0], other[:, 0]) and not np.array_equal(one[700:, 1], other[700:, 1])
+    width = one[:, 2] - one[:, 1]
+    assert np.allclose(width[:700], width[0]) and width[-5:].mean() > width[700:705].mean() > width[0]
+    # The order in which days are asked for is of no account.
+    assert np.allclose(model.fit_predict(days[:700], y[:700], days[::-1])[::-1], one)
+
+
+@pytest.mark.parametrize("y", [[5.0], [0.0, 0.0], [1.0, 2.0, 3.0], [7.0] * 400, list(range(400))])
+def test_bounds_of_short_and_noiseless_series(y):
+    days = np.arange(len(y)) + 18000.0
+    out = forecast.Additive(0.10).fit_predict(days, np.array(y), np.arange(len(y) + 7) + 18000.0)
+    assert np.isfinite(out).all() and (out[:, 1] <= out[:, 2]).all()
