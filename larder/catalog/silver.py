@@ -20,12 +20,15 @@ _RETAIL = (
 _RETAIL_LIST = _RETAIL.split(", ")
 #: The device that an equality scan looks for.
 DEVICE = "dev-1"
+#: The order line that an equality scan looks for.
+ITEM = "13"
 
 
-def _stored(spark, sf, name: str, columns) -> Lake:
+def _stored(spark, sf, name: str, columns, bloom=()) -> Lake:
     """A lake that holds one bronze table as a loader leaves it."""
     lake = Lake(spark, work_path(spark, "lake"))
-    lake.write(Tables(spark, sf).bronze(name).select(*(F.col(f"`{c}`") for c in columns), "_loaded_at", "_source_file"), "bronze", name)
+    rows = Tables(spark, sf).bronze(name).select(*(F.col(f"`{c}`") for c in columns), "_loaded_at", "_source_file")
+    lake.write(rows, "bronze", name, bloom=bloom)
     return lake
 
 
@@ -60,6 +63,12 @@ def equality_scan(spark, sf):
     return silver.where_equal(readings, "device_mac", DEVICE).select("timestamp", "device_mac", "temp_celsius")
 
 
+def bloom_scan(spark, sf):
+    """The basket line of one id, in a stored table where ids lie in no order and only Bloom filters can skip row groups."""
+    lines = _stored(spark, sf, "retail_data", _RETAIL_LIST, bloom=["order_item_id"]).read("bronze", "retail_data")
+    return silver.where_equal(lines, "order_item_id", ITEM).select("order_item_id", "order_id", "product_id", "qty")
+
+
 def _equality_sales(spark, sf):
     sales = Tables(spark, sf).sales
     return silver.where_equal(sales, "store_id", "CA_1").select("order_item_id", "store_id", "quantity")
@@ -132,6 +141,11 @@ ENTRIES = [
         equality_scan,
         with_tables(f"SELECT timestamp, device_mac, temp_celsius FROM iot WHERE device_mac = '{DEVICE}'", "iot"),
     ),
+    Entry(
+        "p6_equality_scan_bloom",
+        bloom_scan,
+        with_tables(f"SELECT order_item_id, order_id, product_id, qty FROM retail WHERE order_item_id = '{ITEM}'", "retail"),
+    ),
     Entry(
         "p6_equality_scan",
         _equality_sales,

@@ -21,12 +21,14 @@ class RefreshError(RuntimeError):
 
 @dataclass(frozen=True)
 class Model:
-    """A table, the tables it reads (``layer.name``), how it is built, and the column its files are laid out by."""
+    """A table, the tables it reads (``layer.name``), how it is built, the column its files are laid out by, and
+    columns looked up by value that get Bloom filters."""
 
     layer: str
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
     cluster_by: str | None = None
+    bloom: tuple[str, ...] = ()
 
 
 def _waste(sales, products, inventory, stores):
@@ -41,7 +43,7 @@ def models(lake: Lake) -> dict[str, Model]:
         "silver.dim_product": Model(s, ("bronze.retail_data",), silver.dim_product),
         "silver.dim_store": Model(s, ("bronze.retail_data", "bronze.m5_forcasting"), silver.dim_store),
         "silver.dim_supplier": Model(s, ("bronze.retail_data",), silver.dim_supplier),
-        "silver.fact_sales": Model(s, ("bronze.retail_data",), silver.fact_sales, "order_date_id"),
+        "silver.fact_sales": Model(s, ("bronze.retail_data",), silver.fact_sales, "order_date_id", ("order_item_id",)),
         "silver.fact_inventory": Model(s, ("bronze.m5_forcasting",), silver.fact_inventory, "date_id"),
         "silver.fact_purchase_order": Model(s, ("bronze.SupplyChain",), silver.fact_purchase_order, "order_date_id"),
         "silver.fact_cold_chain": Model(s, ("bronze.iot_telemetry",), silver.fact_cold_chain, "date_id"),
@@ -79,7 +81,7 @@ def refresh(lake: Lake, layers: Iterable[str] = ("silver", "gold"), select: Iter
     def build(name: str) -> str:
         model = known[name]
         layer, table = name.split(".", 1)
-        lake.write(model.build(*(lake.read(*i.split(".", 1)) for i in model.inputs)), layer, table, model.cluster_by)
+        lake.write(model.build(*(lake.read(*i.split(".", 1)) for i in model.inputs)), layer, table, model.cluster_by, model.bloom)
         return name
 
     chosen = {n: {i for i in known[n].inputs if i in wanted} for n in order if n in wanted}

@@ -7,6 +7,7 @@ A :class:`Lake` is either a folder (``<root>/<layer>/<table>`` in Parquet) or, w
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,22 @@ PREDICTIONS = T.StructType(
 )
 
 
+#: Bytes that a Bloom filter of one column in one row group may take, and the share of groups it may let pass wrongly.
+BLOOM_BYTES, BLOOM_FALSE = 1 << 20, 0.01
+
+
+def bloom_options(columns: Sequence[str]) -> dict[str, str]:
+    """Writer options that give every row group a Bloom filter for each of ``columns``.
+
+    The filter's size follows the distinct values that a row group turns out to have, so nothing needs to be counted before.
+    Groups whose values fit a dictionary have none: the reader looks into the dictionary then.
+    """
+    if not columns:
+        return {}
+    per_column = {f"parquet.bloom.filter.{k}#{c}": v for c in columns for k, v in (("enabled", "true"), ("fpp", str(BLOOM_FALSE)))}
+    return {"parquet.bloom.filter.adaptive.enabled": "true", "parquet.bloom.filter.max.bytes": str(BLOOM_BYTES), **per_column}
+
+
 @dataclass
 class Lake:
     """Where tables live."""
@@ -79,20 +96,21 @@ class Lake:
         if aside:
             fs.rename(max(aside, key=lambda p: fs.getFileStatus(p).getModificationTime()), self._hadoop(self.path(layer, name))[1])
 
-    def write(self, df: DataFrame, layer: str, name: str, cluster_by: str | None = None) -> DataFrame:
+    def write(self, df: DataFrame, layer: str, name: str, cluster_by: str | None = None, bloom: Sequence[str] = ()) -> DataFrame:
         """Rebuild a table from scratch; the old one stays until the new one is complete.
 
         Then the old one is set aside, the new one takes its place, and the old one goes; if the new one cannot, the old
         one is put back, by :meth:`recover` if the job was cut off in between. With ``cluster_by`` the files hold ranges of that
         column, sorted, so that a filter on it skips files and row groups by their statistics. Row order as such is not
-        a table property.
+        a table property. For columns of ``bloom`` every row group has a Bloom filter, so that an equality scan on a column
+        with many values in no order skips the groups without the value, see :func:`bloom_options`.
         """
         if cluster_by:
             df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
         if self.root is None:
             new, old, aside = (f"{layer}.{name}{end}" for end in ("__new", "", "__old"))
             self.spark.sql(f"DROP TABLE IF EXISTS {new}")
-            df.write.saveAsTable(new)
+            df.write.options(**bloom_options(bloom)).saveAsTable(new)
             self.recover(layer, name)
             self.spark.sql(f"DROP TABLE IF EXISTS {aside}")
             had = self.exists(layer, name)
@@ -107,7 +125,7 @@ class Lake:
         else:
             mark = uuid.uuid4().hex
             new, aside = self.path(layer, f"_{name}-{mark}"), self.path(layer, f"_{name}-old-{mark}")
-            df.write.parquet(new)
+            df.write.options(**bloom_options(bloom)).parquet(new)
             self.recover(layer, name)
             had = self.exists(layer, name)
             if had and not self._rename(self.path(layer, name), aside):
@@ -124,12 +142,13 @@ class Lake:
         fs, path = self._hadoop(source)
         return fs.rename(path, self._hadoop(target)[1])
 
-    def append(self, df: DataFrame, layer: str, name: str) -> DataFrame:
-        """Add rows to a table, creating it when missing."""
+    def append(self, df: DataFrame, layer: str, name: str, bloom: Sequence[str] = ()) -> DataFrame:
+        """Add rows to a table, creating it when missing; ``bloom`` as in :meth:`write`."""
+        writer = df.write.mode("append").options(**bloom_options(bloom))
         if self.root is None:
-            df.write.mode("append").saveAsTable(f"{layer}.{name}")
+            writer.saveAsTable(f"{layer}.{name}")
         else:
-            df.write.mode("append").parquet(self.path(layer, name))
+            writer.parquet(self.path(layer, name))
         return self.read(layer, name)
 
     def append_predictions(self, df: DataFrame, name: str = "ml_demand_predictions") -> int:

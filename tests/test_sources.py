@@ -254,3 +254,32 @@ def test_equality_reaches_the_reader(spark):
     plan = equality_scan(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(device_mac), EqualTo(device_mac,dev-1)]" in plan
     assert "humidity_pct" not in plan
+
+
+def rows_read(df) -> int:
+    """Rows that the scan of ``df`` handed on when it ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    while not plan.children().isEmpty():
+        plan = plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_bloom_filters_skip_row_groups(spark, lake, catalog):
+    """Keys in no order: minimum and maximum of a file say nothing, its Bloom filter does."""
+    where = Lake(spark) if catalog else lake
+    where.ensure_layers()
+    rows = spark.range(160_000, numPartitions=8).select(F.md5(F.col("id").cast("string")).alias("k"), "id")
+    there, absent = (spark.range(1).select(F.md5(F.lit(x))).first()[0] for x in ("77", "-1"))
+    plain = where.write(rows, "silver", "hashed")
+    assert rows_read(plain.filter(F.col("k") == there)) == 160_000
+    stored = where.write(rows, "silver", "hashed", bloom=["k"])
+    found = stored.filter(F.col("k") == there)
+    assert [r.id for r in found.collect()] == [77] and 0 < rows_read(found) <= 40_000
+    assert rows_read(stored.filter(F.col("k") == absent)) <= 20_000
+    # Appended files have their own filters.
+    more = where.append(rows.withColumn("k", F.concat("k", F.lit("x"))), "silver", "hashed", bloom=["k"])
+    assert more.count() == 320_000 and rows_read(more.filter(F.col("k") == there + "x")) <= 60_000
+    if catalog:
+        spark.sql("DROP TABLE silver.hashed")
