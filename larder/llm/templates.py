@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -71,12 +71,17 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Element:
-    """An element: tag, the words of class, id and role, children (elements and decoded text)."""
+    """An element: tag, the words of class, id and role, children (elements and decoded text).
 
-    __slots__ = ("tag", "words", "hidden", "children", "hash", "size", "main")
+    ``own``: the markup declares it to be the main text; ``inside``: it lies in such an element; ``main``, ``holds_main``, ``holds_h1``: something
+    main is it or lies below, a declared main text lies below, a first-level heading does. ``gone``: deleted, or below something deleted.
+    """
+
+    __slots__ = ("tag", "words", "hidden", "children", "parent", "own", "inside", "main", "holds_main", "holds_h1", "hash", "size", "solid", "gone")
 
-    def __init__(self, tag: str, attributes: str = ""):
-        self.tag, self.hidden, self.children, self.hash, self.size, self.main = tag, False, [], 0, 0, False
+    def __init__(self, tag: str, attributes: str = "", parent: Element | None = None, declared: bool = True):
+        self.tag, self.hidden, self.children, self.parent, self.hash, self.size, self.solid = tag, False, [], parent, 0, 0, 0
+        self.main = self.holds_main = self.holds_h1 = self.gone = False
         words: list[str] = []
         for name, a, b, c in _NAMED.findall(attributes) if attributes else ():
             name, value = name.lower(), a or b or c
@@ -85,26 +90,55 @@ class Element:
             elif name in ("class", "id", "role"):
                 words += _WORDS.findall(value.lower())
         self.words = words
+        named = declared and (tag in ("article", "main") or "main" in words)
+        self.main = named and tag not in RAW
+        self.own = named and not COMMENT_WORDS.intersection(words)
+        self.inside = parent is not None and (parent.own or parent.inside)
+
+
+class Open:
+    """The open elements of a parse, with the places of each tag and of all blocks, so that no search walks down the stack."""
+
+    def __init__(self, root: Element):
+        self.stack, self.places, self.blocks = [root], {}, []
+
+    def push(self, element: Element) -> None:
+        self.places.setdefault(element.tag, []).append(len(self.stack))
+        if element.tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(element)
 
+    def last(self, tags: Iterable[str]) -> int:
+        """Place of the innermost open element with one of ``tags``, 0 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
 
-def parse(text: str) -> Element:
-    """The page as a tree. Unclosed, stray and cut-off tags are tolerated as browsers do, roughly."""
-    root = Element("html")
-    stack, at = [root], 0
+    def cut(self, place: int) -> None:
+        """Close the element at ``place`` and all within."""
+        while len(self.stack) > place:
+            tag = self.stack.pop().tag
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
 
-    def close(tags: set[str], barriers: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in tags:
-                del stack[k:]
-                return
-            if stack[k].tag in barriers:
-                return
+    def close(self, tags: Iterable[str], barrier: int) -> None:
+        """Close the innermost of ``tags`` unless the element at ``barrier`` lies within it."""
+        place = self.last(tags)
+        if place and place >= barrier:
+            self.cut(place)
 
+
+def parse(text: str, declared: bool = True) -> list[Element]:
+    """The elements of the page in page order, the root first. Unclosed, stray and cut-off tags are tolerated as browsers do, roughly.
+
+    With ``declared=False`` no element counts as main text. Time and memory are linear in tags and text, however deep elements lie.
+    """
+    root = Element("html", declared=declared)
+    elements, opened, at = [root], Open(root), 0
     while True:
         found = _TOKEN.search(text, at)
         if found is None or found.start() > at:
             piece = text[at : found.start() if found else len(text)]
-            stack[-1].children.append(html.unescape(piece))
+            opened.stack[-1].children.append(html.unescape(piece))
         if found is None:
             break
         at = found.end()
@@ -113,135 +147,108 @@ def parse(text: str) -> Element:
             continue
         tag = name.lower()
         if found[1]:
-            if tag == "p" and not any(e.tag == "p" for e in stack):
-                continue
-            if any(e.tag == tag for e in stack[1:]):
+            if opened.places.get(tag):
                 # An inline end tag does not end blocks.
-                close({tag}, set() if tag in BLOCK or tag in ("td", "th", "table") else BLOCK)
+                whole = tag in BLOCK or tag in ("td", "th", "table")
+                opened.close((tag,), 0 if whole or not opened.blocks else opened.blocks[-1])
             continue
         if tag in ("html", "body"):
             if tag == "body":
-                del stack[1:]
+                opened.cut(1)
             continue
-        if tag in BLOCK:
-            close({"p"}, {"td", "th", "table", "button", "object"})
+        if tag in BLOCK and opened.places.get("p"):
+            opened.close(("p",), opened.last(("td", "th", "table", "button", "object")))
         if tag in ENDS:
-            close(*ENDS[tag])
-        element = Element(tag, found[3])
-        stack[-1].children.append(element)
+            ended, within = ENDS[tag]
+            opened.close(ended, opened.last(within))
+        element = Element(tag, found[3], opened.stack[-1], declared)
+        opened.stack[-1].children.append(element)
+        elements.append(element)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(text, at)
             at = end.end() if end else len(text)
         elif tag not in VOID and not found[3].endswith("/"):
-            stack.append(element)
-    return root
-
+            opened.push(element)
+    return elements
 
-def text_of(element: Element) -> Iterator[str]:
-    """Decoded text below an element; breaks and cell ends are white space."""
-    for child in element.children:
-        if isinstance(child, str):
-            yield child
-        elif child.tag not in RAW:
-            yield from text_of(child)
-            if child.tag in BLOCK or child.tag in ("br", "td", "th"):
-                yield " "
 
-
-def measured(element: Element) -> None:
+def measured(elements: list[Element]) -> None:
     """Fill in the hash of every subtree and the characters of its text, children first."""
-    parts, size = [element.tag, *element.words, "\0"], 0
-    for child in element.children:
-        if isinstance(child, str):
-            squeezed = " ".join(child.split())
-            size += len(squeezed)
-            parts.append(squeezed)
-        elif child.tag not in RAW:
-            measured(child)
-            size += child.size
-            element.main |= child.main
-            parts.append(str(child.hash))
-    element.size = size
-    element.main |= element.tag in ("article", "main") or "main" in element.words
-    element.hash = xxhash.xxh64_intdigest("\1".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
-
-
-def is_main(element: Element) -> bool:
-    """Whether the markup declares the element to be the main text."""
-    return (element.tag in ("article", "main") or "main" in element.words) and not COMMENT_WORDS & set(element.words)
-
-
-def has_heading(element: Element) -> bool:
-    """Whether a first-level heading lies below."""
-    return any(not isinstance(c, str) and (c.tag == "h1" or has_heading(c)) for c in element.children)
-
-
-def is_chrome(element: Element, whole: int, inside: bool) -> bool:
-    """Whether the markup says that the element is no content. ``whole``: characters of the page; ``inside``: below a main element."""
+    for element in reversed(elements):
+        parts, size = [element.tag, *element.words, "\0"], 0
+        for child in element.children:
+            if isinstance(child, str):
+                squeezed = " ".join(child.split())
+                size += len(squeezed)
+                parts.append(squeezed)
+                continue
+            element.holds_main |= child.own or child.holds_main
+            element.holds_h1 |= child.tag == "h1" or child.holds_h1
+            if child.tag not in RAW:
+                size += child.size
+                element.main |= child.main
+                parts.append(str(child.hash))
+        element.size = size
+        element.hash = xxhash.xxh64_intdigest("\1".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def is_chrome(element: Element, whole: int) -> bool:
+    """Whether the markup says that the element is no content. ``whole``: characters of the page."""
     if element.tag in RAW or element.hidden or element.tag in CHROME:
         return True
     words = set(element.words)
     if COMMENT_WORDS & words and element.tag not in ("html", "body"):
-        return not (element.main and element.tag not in ("article", "section", "div")) and not any(is_main(e) for e in below(element))
+        return not (element.main and element.tag not in ("article", "section", "div")) and not element.holds_main
     if element.tag == "header":
-        return not (inside and has_heading(element))
+        return not (element.inside and element.holds_h1)
     if not CHROME_WORDS & words or element.tag in ("article", "main"):
         return False
-    return not (element.main or 2 * element.size > whole or ("header" in words and has_heading(element)))
+    return not (element.main or 2 * element.size > whole or ("header" in words and element.holds_h1))
 
 
-def below(element: Element) -> Iterator[Element]:
-    """All elements under one."""
-    for child in element.children:
-        if not isinstance(child, str):
-            yield child
-            yield from below(child)
+def may_be_template(element: Element, whole: int) -> bool:
+    """Whether a subtree may be template: not the bulk of a page, nothing main, no paragraph of a main text."""
+    return not (element.own or element.main or 2 * element.size > whole or (element.inside and element.tag in PARAGRAPHS))
 
 
-def candidates(element: Element, whole: int, inside: bool = False) -> Iterator[int]:
-    """Hashes of the subtrees that may be template: not the bulk of a page, not a main element nor its paragraphs."""
-    for child in element.children:
-        if isinstance(child, str) or child.tag in RAW or not child.size:
-            continue
-        own = is_main(child)
-        if not own and not (inside and child.tag in PARAGRAPHS):
-            if child.tag in BLOCK or child.words:
-                if 2 * child.size <= whole and not child.main:
-                    yield child.hash
-        if not (inside and child.tag in PARAGRAPHS):
-            yield from candidates(child, whole, inside or own)
-
-
-def pruned(element: Element, templates: frozenset[int] | set[int], whole: int, inside: bool = False) -> None:
-    """Delete chrome and template subtrees in place."""
-    kept = []
-    for child in element.children:
-        if isinstance(child, str):
-            kept.append(child)
-            continue
-        own = is_main(child)
-        if is_chrome(child, whole, inside):
-            continue
-        paragraph = inside and child.tag in PARAGRAPHS
-        if child.hash in templates and not own and not paragraph and not child.main and 2 * child.size <= whole:
-            continue
-        pruned(child, templates, whole, inside or own)
-        kept.append(child)
-    element.children = kept
+def candidates(elements: list[Element]) -> Iterator[int]:
+    """Hashes of the subtrees that are counted: blocks and named elements with text that may be template."""
+    whole, left_out = elements[0].size, set()
+    for element in elements[1:]:
+        if element.tag in RAW or id(element.parent) in left_out or (element.inside and element.tag in PARAGRAPHS):
+            left_out.add(id(element))
+        elif element.size and (element.tag in BLOCK or element.words) and may_be_template(element, whole):
+            yield element.hash
+
 
+def pruned(elements: list[Element], templates: frozenset[int] | set[int], declared: bool = True) -> None:
+    """Mark what goes: chrome if ``declared`` (scripts and the like always), template subtrees, and all below them."""
+    whole = elements[0].size
+    for element in elements[1:]:
+        element.gone = (
+            element.parent.gone
+            or (is_chrome(element, whole) if declared else element.tag in RAW)
+            or (element.hash in templates and may_be_template(element, whole))
+        )
 
-def characters(element: Element) -> int:
-    """Characters of the text below, white space squeezed."""
-    return len(" ".join("".join(text_of(element)).split()))
 
+def main_element(elements: list[Element]) -> Element:
+    """The declared main text if there is one: the article that has most of it, else the ``main`` element, else everything.
 
-def main_element(root: Element) -> Element:
-    """The declared main text if there is one: the article that has most of it, else the ``main`` element, else everything."""
-    found = [e for e in below(root) if is_main(e) and e.tag != "article"]
-    scope = max(found, key=characters, default=root)
-    articles = [e for e in below(scope) if e.tag == "article" and is_main(e)]
-    best = max(articles, key=characters, default=None)
-    if best is None or (scope is not root and 2 * characters(best) < characters(scope)):
+    Of several with equally much text (characters that are not white space) the first one counts.
+    """
+    for element in reversed(elements):
+        element.solid = 0 if element.gone else sum(len("".join(c.split())) if isinstance(c, str) else c.solid for c in element.children)
+    mains = [e for e in elements[1:] if e.own and not e.gone]
+    scope = max((e for e in mains if e.tag != "article"), key=lambda e: e.solid, default=elements[0])
+    within: set[int] = {id(scope)}
+    best = None
+    for element in elements[1:]:
+        if id(element.parent) in within:
+            within.add(id(element))
+            if element.own and not element.gone and element.tag == "article" and (best is None or element.solid > best.solid):
+                best = element
+    if best is None or (scope is not elements[0] and 2 * best.solid < scope.solid):
         return scope
     return best
 
@@ -256,30 +263,32 @@ def blocks(element: Element) -> list[str]:
             out.append(text)
         current.clear()
 
-    def walk(node: Element) -> None:
-        for child in node.children:
-            if isinstance(child, str):
-                current.append(child)
-            elif child.tag in BLOCK:
+    walk = [(element, iter(element.children))]
+    while walk:
+        node, children = walk[-1]
+        child = next(children, None)
+        if child is None:
+            walk.pop()
+            if walk and node.tag in BLOCK:
                 flush()
-                walk(child)
+            elif walk and node.tag in ("br", "td", "th"):
+                current.append(" ")
+        elif isinstance(child, str):
+            current.append(child)
+        elif not child.gone:
+            if child.tag in BLOCK:
                 flush()
-            else:
-                walk(child)
-                if child.tag in ("br", "td", "th"):
-                    current.append(" ")
-
-    walk(element)
+            walk.append((child, iter(child.children)))
     flush()
     return out
 
 
-def main_text(page: str, templates: frozenset[int] | set[int] = frozenset()) -> str:
-    """The main text of one page, given the hashes of its site's template."""
-    root = parse(page)
-    measured(root)
-    pruned(root, templates, root.size)
-    return "\n".join(blocks(main_element(root)))
+def main_text(page: str, templates: frozenset[int] | set[int] = frozenset(), declared: bool = True) -> str:
+    """The main text of one page, given the hashes of its site's template. ``declared=False``: by these alone, whatever tags and classes say."""
+    elements = parse(page, declared)
+    measured(elements)
+    pruned(elements, templates, declared)
+    return "\n".join(blocks(main_element(elements) if declared else elements[0]))
 
 
 def host_of(url: Column) -> Column:
