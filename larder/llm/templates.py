@@ -1,8 +1,8 @@
 """Main text of web pages by removal of site templates.
 
 Every page is parsed into a tree, and every subtree that could be part of its site's template gets a
-hash of tags, classes and text. Spark counts per host in how many different pages each
-hash occurs; subtrees that recur across many pages of their host are deleted. What the
+hash of tags, classes and text. Spark counts per host, and per host and first path segment, in how many different pages each
+hash occurs; subtrees that recur across many pages there are deleted. "Many" grows with the square root of the pages. What the
 markup itself declares to be no content (menus, forms, scripts, adverts, comments, ...) is deleted too, and a
 declared main element (``article``, ``main``) narrows the text to it. Inside such an element the
 paragraphs and headings are its author's and stay, even if other pages quote them.
@@ -11,8 +11,8 @@ Pages that are equal as a whole count once, so a site with many copies of a page
 delete the page.
 
 Hosts with at least a ten-thousandth of all pages are at most ten thousand; their templates are
-broadcast (after a check of their number). Pages of the other hosts meet their templates in a
-join on the host, which has no hot key then.
+broadcast (after a check of their number). Pages of the other hosts meet their own templates in a
+join, which has no hot key then.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from larder.llm.common import slices
 from larder.session import stage
 
-#: A subtree is template if this many different pages of its host have it, and this share of them.
-LEAST_PAGES, LEAST_SHARE = 10, 0.2
+#: A subtree is template of a host, or of a section of it, if at least this many different pages there have it, and at least the square root of their number.
+LEAST_PAGES = 4
 
 #: Template rows that may be broadcast.
 MOST_BROADCAST = 1_000_000
@@ -296,61 +296,100 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
 
 
-def template_counts(pages: DataFrame) -> DataFrame:
-    """``host, hash, pages``: in how many different pages of its host each subtree occurs, and of how many (``of``)."""
+def section_of(url: Column) -> Column:
+    """First segment of a URL's path, the empty text if there is none."""
+    return F.coalesce(F.regexp_extract(url, "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/([^/?#]*)", 1), F.lit(""))
+
+
+def page_subtrees(pages: DataFrame, declared: bool = True) -> DataFrame:
+    """``host, section, page, hashes``: the subtrees that may be template, for every different page of a section. Stored.
+
+    ``pages`` has ``host, section, html``; equal pages fold to one, before the shuffle too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
             lists = []
             for page in batch.column("html").to_pylist():
-                root = parse(page or "")
-                measured(root)
-                lists.append(sorted(set(candidates(root, root.size))))
-            yield pa.RecordBatch.from_pydict({"host": batch.column("host"), "page": batch.column("page"), "hashes": pa.array(lists, pa.list_(pa.int64()))})
+                elements = parse(page or "", declared)
+                measured(elements)
+                lists.append(sorted(set(candidates(elements))))
+            kept = {c: batch.column(c) for c in ("host", "section", "page")}
+            yield pa.RecordBatch.from_pydict({**kept, "hashes": pa.array(lists, pa.list_(pa.int64()))})
+
+    found = pages.select("host", "section", F.xxhash64("html").alias("page"), "html")
+    found = found.mapInArrow(run, "host string, section string, page long, hashes array<long>")
+    return stage(found.groupBy("host", "section", "page").agg(F.min("hashes").alias("hashes")), "template-pages")
 
-    found = pages.select("host", F.xxhash64("html").alias("page"), "html").mapInArrow(run, "host string, page long, hashes array<long>")
-    # Equal pages of a host count once; the fold happens before the shuffle, too.
-    single = stage(found.groupBy("host", "page").agg(F.min("hashes").alias("hashes")), "template-pages")
-    of = single.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
-    counts = single.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages"))
-    return counts.filter(F.col("pages") >= LEAST_PAGES).join(of, "host").filter(F.col("pages") >= LEAST_SHARE * F.col("of"))
 
+def template_counts(subtrees: DataFrame) -> DataFrame:
+    """``host, section, hash, pages``: the templates with the number of different pages that have them, ``of`` so many.
 
-def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    Templates of a whole host have a null section. A page that lies in several sections counts in each, and once for the host.
+    """
+
+    def counted(single: DataFrame, keys: list[str]) -> DataFrame:
+        of = single.groupBy(*keys).agg(F.count(F.lit(1)).alias("of")).filter(F.col("of") >= LEAST_PAGES)
+        each = single.select(*keys, F.explode("hashes").alias("hash")).groupBy(*keys, "hash").agg(F.count(F.lit(1)).alias("pages"))
+        return each.filter(F.col("pages") >= LEAST_PAGES).join(of, keys).filter(F.col("pages") >= F.sqrt("of"))
+
+    whole = counted(subtrees.groupBy("host", "page").agg(F.min("hashes").alias("hashes")), ["host"]).withColumn("section", F.lit(None).cast("string"))
+    return counted(subtrees, ["host", "section"]).unionByName(whole)
+
+
+def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", declared: bool = True) -> DataFrame:
     """``page_id, url, text`` of every page; ``text`` is empty where nothing is left.
 
-    A null page is empty. Repeated rows get equal results. A null URL has the host of the empty text.
+    A null page is empty. Repeated rows get equal results. A null URL has the host of the empty text. Pages of any length, depth and
+    disorder are read whole. With ``declared=False`` only recurring subtrees decide, not what tags, classes and roles say.
     """
     spark = pages.sparkSession
+    url = F.col(url_col)
     rows = pages.select(
-        F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html")
+        F.col(id_col).alias("page_id"), url.alias("url"), host_of(url).alias("host"), section_of(url).alias("section"), F.coalesce(F.col(html_col), F.lit("")).alias("html")
     )
-    templates = stage(template_counts(rows), "template-counts")
+    subtrees = page_subtrees(rows, declared)
+    templates = stage(template_counts(subtrees).select("host", "section", "hash"), "template-counts")
     # Hosts that may be hot: few enough to broadcast what is known about them.
     sizes = stage(rows.groupBy("host").agg(F.count(F.lit(1)).alias("rows")), "template-hosts")
     bar = max((sizes.agg(F.sum("rows")).first()[0] or 0) // 10_000, 1)
     while True:
         large = sizes.filter(F.col("rows") >= bar).select("host")
-        known = templates.join(large, "host", "left_semi").select("host", "hash").limit(MOST_BROADCAST + 1).toPandas()
+        known = templates.join(large, "host", "left_semi").limit(MOST_BROADCAST + 1).toPandas()
         if len(known) <= MOST_BROADCAST:
             break
         bar *= 10
-    shared = spark.sparkContext.broadcast({host: frozenset(part["hash"].tolist()) for host, part in known.groupby("host")})
+    scopes: dict[tuple[str, str | None], set[int]] = {}
+    for host, section, hashed in known.itertuples(index=False):
+        scopes.setdefault((host, section if isinstance(section, str) else None), set()).add(hashed)
+    shared = spark.sparkContext.broadcast(scopes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nothing: frozenset[int] = frozenset()
+        nothing: set[int] = set()
         for batch in slices(batches, "html"):
-            columns = (batch.column(c).to_pylist() for c in ("host", "html", "hashes"))
-            texts = [main_text(page, shared.value.get(host, nothing) if own is None else frozenset(own)) for host, page, own in zip(*columns)]
+            columns = (batch.column(c).to_pylist() for c in ("host", "section", "html", "hashes"))
+            texts = []
+            for host, section, page, own in zip(*columns):
+                if own is None:
+                    known = shared.value.get((host, None), nothing) | shared.value.get((host, section), nothing)
+                else:
+                    known = set(own)
+                texts.append(main_text(page, known, declared))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     large = F.broadcast(large)
     hot = rows.join(large, "host", "left_semi").withColumn("hashes", F.lit(None).cast("array<long>"))
-    columns = ["page_id", "url", "host", "html", "hashes"]
+    columns = ["page_id", "url", "host", "section", "html", "hashes"]
     both = hot.select(*columns)
     if not sizes.filter(F.col("rows") < bar).isEmpty():
-        per_host = templates.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
-        rest = rows.join(large, "host", "left_anti").join(per_host, "host", "left").withColumn("hashes", F.coalesce("hashes", F.array().cast("array<long>")))
+        # A page of another host takes its own subtrees that are template: a list no longer than the page.
+        each = subtrees.join(large, "host", "left_anti").select("host", "section", "page", F.explode("hashes").alias("hash"))
+        met = each.join(templates.filter("section IS NOT NULL"), ["host", "section", "hash"], "left_semi").unionByName(
+            each.join(templates.filter("section IS NULL"), ["host", "hash"], "left_semi")
+        )
+        own = met.groupBy("host", "section", "page").agg(F.collect_set("hash").alias("hashes"))
+        rest = rows.join(large, "host", "left_anti").withColumn("page", F.xxhash64("html"))
+        rest = rest.join(own, ["host", "section", "page"], "left").withColumn("hashes", F.coalesce("hashes", F.array().cast("array<long>")))
         both = both.unionByName(rest.select(*columns))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     return both.mapInArrow(run, f"page_id {kinds['page_id']}, url string, text string")

@@ -205,6 +205,10 @@ def test_pages_without_structure(page):
 
 def test_deep_and_broken_pages():
     assert templates.main_text("<div>" * 300 + "x" + "</div>" * 10) == "x"
+    # No recursion, and no search down the stack.
+    assert templates.main_text("<div>" * 100_000 + "x" + "</div>" * 10) == "x"
+    assert templates.main_text("<p>a<b>" + "<div><i>" * 50_000 + "x" + "</i></div>" * 50_000 + "y") == "a\nx\ny"
+    assert templates.main_text("<article>" * 50_000 + "x") == "x"
     assert templates.main_text("</p></div><table><tr><td>x</div></td></table></b>") == "x"
     assert templates.main_text('<p class="a>b" d=c>x</p><p>y') == "x\ny"
 
@@ -230,6 +234,70 @@ def test_recurring_subtrees_go(spark):
     assert templates.extracted(pages.limit(0)).count() == 0
 
 
+def html_of(node) -> str:
+    """A page part: a text, or a list whose members lie in one element each."""
+    return node if isinstance(node, str) else "".join(f"<div>{html_of(n)}</div>" for n in node)
+
+
+def subtrees_of(node):
+    """All members of a page part, the members' members as well."""
+    for n in () if isinstance(node, str) else node:
+        yield n
+        yield from subtrees_of(n)
+
+
+def made_pages():
+    """Sites of plain ``div`` elements. Part of the blocks belong to a host or section, part recur too seldom; some pages are there twice."""
+    r = random.Random(4)
+    rows = []
+    for host, n in (("tiny.example", 3), ("small.example", 12), ("large.example", 150)):
+        for k in range(n):
+            section = f"s{k % 3}"
+            parts: list = [[f"Welcome to {host}", ["About", "Terms"]], f"Section {section} of {host}"]
+            if r.random() < 0.2:
+                parts.append(["Read also", f"Offer {r.randrange(4)} of {host}"])
+            parts.append([f"Story {host} {k} " + "word " * 60, f"More {k}"])
+            if r.random() < 0.5:
+                parts[-1].append(f"Quote {r.randrange(30)}")
+            parts.append(f"Rights of {host}")
+            rows += [(host, section, parts)] * (2 if k % 5 == 0 else 1)
+    return rows
+
+
+@pytest.mark.parametrize("broadcast", [templates.MOST_BROADCAST, 0])
+def test_templates_alone_against_brute_force(spark, monkeypatch, broadcast):
+    """Without a word from tags or classes: what goes is what counting subtrees page by page says."""
+    monkeypatch.setattr(templates, "MOST_BROADCAST", broadcast)
+    rows = made_pages()
+    seen = collections.defaultdict(set)
+    pages_of = collections.defaultdict(set)
+    for host, section, parts in rows:
+        for scope in ((host, None), (host, section)):
+            pages_of[scope].add(html_of(parts))
+            for n in subtrees_of(parts):
+                seen[scope, html_of(n)].add(html_of(parts))
+
+    def text(host, section, node) -> list[str]:
+        if isinstance(node, str):
+            return [" ".join(node.split())]
+        keep = []
+        for n in node:
+            counts = [(len(seen[s, html_of(n)]), len(pages_of[s])) for s in ((host, None), (host, section))]
+            if not any(c >= templates.LEAST_PAGES and c * c >= of for c, of in counts):
+                keep += text(host, section, n)
+        return keep
+
+    frame = spark.createDataFrame(
+        [(k, f"https://{host}/{section}/{k}", html_of(parts)) for k, (host, section, parts) in enumerate(rows)], "page_id long, url string, html string"
+    )
+    want = {k: "\n".join(text(*row)) for k, row in enumerate(rows)}
+    got = {r["page_id"]: r["text"] for r in templates.extracted(frame, declared=False).collect()}
+    assert got == want
+    # The sites come out clean: no word of their frames where there are pages enough to tell.
+    assert not any("Rights" in want[k] or "Welcome" in want[k] or "Section" in want[k] for k, row in enumerate(rows) if row[0] != "tiny.example")
+    assert sum("Quote" in t for t in want.values()) > 40 and all("Story" in t for t in want.values())
+
+
 def test_quoted_paragraphs_stay(spark):
     rows = [(k, f"https://a.example/{k}", f"<body><div>menu of all</div><article><p>Everyone quotes this.</p><p>Own {k}</p><div>Read on</div></article>") for k in range(30)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
