@@ -1,13 +1,13 @@
 """Exact duplicates: owners kept in Patricia tries.
 
-Texts are dealt by length and content hash; within such a partition their full bytes are
-inserted into a compressed radix trie whose terminal nodes hold the owner. Equality is thus
+Texts are dealt by length and content hash; all texts of such a partition go with their full bytes
+into one compressed radix trie whose terminal nodes hold the owner. Equality is thus
 decided on the bytes themselves, the hash only deals.
 
-Copies are folded twice. Before the shuffle each task folds its own texts, so a group with
-a third of all rows leaves a task as one row. After it, rows arrive sorted by length, hash
-and text, so that a subtree is complete as soon as the path moves on; completed subtrees
-are spilled to the output, and memory holds one partition's trie at most.
+Copies are folded twice. Before the shuffle each task folds its own texts, in one trie per length class and leading hash bits, so a
+group with a third of all rows leaves a task as one row. After it, rows arrive sorted by text, so that a subtree is complete
+as soon as the path moves on. When a trie has grown to ``RESIDENT_BYTES``, completed subtrees
+are spilled to the output; what stays is the path of the current text.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from larder.session import stage
 
 #: Bytes of labels a task keeps before it spills subtrees.
 RESIDENT_BYTES = 16 << 20
+#: Leading bits of the hash that tell the tries of a task apart before the shuffle.
+FOLD_BITS = 4
 
 
 class Owner:
@@ -70,7 +72,7 @@ class Patricia:
     """A compressed radix trie from byte strings to owners."""
 
     def __init__(self, largest: bool):
-        self.root, self.largest, self.bytes = Node(b""), largest, 0
+        self.root, self.largest, self.bytes, self.splits = Node(b""), largest, 0, 0
 
     def insert(self, text: bytes, owner: Owner) -> None:
         """Add ``text``, or merge ``owner`` into the one it has."""
@@ -93,6 +95,7 @@ class Patricia:
                 child.label = child.label[same:]
                 upper.children[child.label[0]] = child
                 node.children[upper.label[0]] = child = upper
+                self.splits += 1
             at += len(child.label)
             node = child
 
@@ -117,25 +120,26 @@ class Patricia:
                     del node.children[first]
 
 
-def _fold(id_col: str, text_col: str, carry: list[str], largest: bool):
+def _fold(id_col: str, text_col: str, carry: list[str], largest: bool, resident: int = RESIDENT_BYTES):
     """Per task: rows of equal texts become one. Unsorted input, so what is spilled may come again; the reducer folds it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest: dict[tuple[int, int], Patricia] = {}
         held = 0
-        out: list[tuple] = []
+        out: list[tuple[bytes, Owner]] = []
 
         def rows() -> pa.RecordBatch:
-            columns = [pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))]
-            fields = dict(zip(("_len", "_hash", "_text", "_id", "_top", "_rows"), columns))
+            fields = {
+                "_text": pa.array([text for text, _ in out], pa.binary()),
+                "_id": pa.array([o.id for _, o in out], pa.int64()),
+                "_top": pa.array([o.top for _, o in out], pa.int64()),
+                "_rows": pa.array([o.rows for _, o in out], pa.int64()),
+            }
             for k, name in enumerate(carry):
-                fields[f"_c{k}"] = pa.array([x[6][k] for x in out], kinds[name])
+                fields[f"_c{k}"] = pa.array([o.carried[k] for _, o in out], kinds[name])
             out.clear()
             return pa.RecordBatch.from_pydict(fields)
 
-        def emit(key: tuple[int, int], trie: Patricia) -> None:
-            out.extend((*key, text, o.id, o.top, o.rows, o.carried) for text, o in trie.spill())
-
         kinds: dict[str, pa.DataType] = {}
         for batch in batches:
             kinds = {name: batch.schema.field(name).type for name in carry}
@@ -143,24 +147,28 @@ def _fold(id_col: str, text_col: str, carry: list[str], largest: bool):
             lengths, hashes, ids = (batch.column(x).to_pylist() for x in ("_len", "_hash", id_col))
             texts = batch.column(text_col).cast(pa.binary())
             for k, extra in enumerate(carried):
-                key, text = (lengths[k], hashes[k]), texts[k].as_py() or b""
-                trie = forest.get(key)
-                if trie is None:
-                    trie = forest[key] = Patricia(largest)
+                trie = forest.setdefault((lengths[k].bit_length(), hashes[k] >> (64 - FOLD_BITS)), Patricia(largest))
                 held -= trie.bytes
-                trie.insert(text, Owner(ids[k], 1, 1, extra))
+                trie.insert(texts[k].as_py() or b"", Owner(ids[k], 1, 1, extra))
                 held += trie.bytes
-                if held > RESIDENT_BYTES:
-                    # Tries of one row so far go first: a text that has been seen again is worth keeping.
-                    for old in sorted(forest, key=lambda x: _seen(forest[x])):
-                        if held <= RESIDENT_BYTES // 2:
-                            break
-                        trie = forest.pop(old)
-                        held -= trie.bytes
-                        emit(old, trie)
-                    yield rows()
-        for key, trie in forest.items():
-            emit(key, trie)
+                if held > resident:
+                    # Texts of one row so far go first: one that has been seen again is worth keeping.
+                    for trie in forest.values():
+                        for text, owner in list(trie.spill()):
+                            if owner.rows > 1:
+                                trie.insert(text, owner)
+                            else:
+                                out.append((text, owner))
+                        if len(out) >= 1000:
+                            yield rows()
+                    if sum(trie.bytes for trie in forest.values()) > resident // 2:
+                        for trie in forest.values():
+                            out.extend(trie.spill())
+                    held = sum(trie.bytes for trie in forest.values())
+                    if out:
+                        yield rows()
+        for trie in forest.values():
+            out.extend(trie.spill())
             if len(out) >= 1000:
                 yield rows()
         if out:
@@ -169,59 +177,48 @@ def _fold(id_col: str, text_col: str, carry: list[str], largest: bool):
     return run
 
 
-def _seen(trie: Patricia) -> int:
-    """Rows of the first owner below the root, a cheap measure of how often the partition was hit."""
-    node = trie.root
-    while node.owner is None and node.children:
-        node = next(iter(node.children.values()))
-    return node.owner.rows if node.owner else 0
-
-
-def _own(carry: list[str], largest: bool, with_text: bool):
-    """Per task, over rows sorted by length, hash and text: the final owner of each text."""
+def _own(carry: list[str], largest: bool, with_text: bool, resident: int = RESIDENT_BYTES):
+    """Per task, over rows sorted by text: the final owner of each text, from one trie."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds: dict[str, pa.DataType] = {}
         out: list[tuple[bytes, Owner]] = []
 
-        def rows() -> pa.RecordBatch:
-            fields = {
-                "text_sha256": pa.array([hashlib.sha256(text).hexdigest() for text, _ in out], pa.string()),
-                "keep_id": pa.array([o.id for _, o in out], pa.int64()),
-                "top_rows": pa.array([o.top for _, o in out], pa.int64()),
-                "group_size": pa.array([o.rows for _, o in out], pa.int64()),
-            }
-            if with_text:
-                fields["_text"] = pa.array([text for text, _ in out], pa.binary())
-            for k in range(len(carry)):
-                fields[f"_c{k}"] = pa.array([o.carried[k] for _, o in out], kinds[f"_c{k}"])
+        def rows() -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(out), 1000):
+                part = out[at : at + 1000]
+                fields = {
+                    "text_sha256": pa.array([hashlib.sha256(text).hexdigest() for text, _ in part], pa.string()),
+                    "keep_id": pa.array([o.id for _, o in part], pa.int64()),
+                    "top_rows": pa.array([o.top for _, o in part], pa.int64()),
+                    "group_size": pa.array([o.rows for _, o in part], pa.int64()),
+                }
+                if with_text:
+                    fields["_text"] = pa.array([text for text, _ in part], pa.binary())
+                for k in range(len(carry)):
+                    fields[f"_c{k}"] = pa.array([o.carried[k] for _, o in part], kinds[f"_c{k}"])
+                yield pa.RecordBatch.from_pydict(fields)
             out.clear()
-            return pa.RecordBatch.from_pydict(fields)
 
-        trie, current = Patricia(largest), None
+        trie = Patricia(largest)
         for batch in batches:
             kinds = {f"_c{k}": batch.schema.field(f"_c{k}").type for k in range(len(carry))}
             carried = zip(*(batch.column(k).to_pylist() for k in kinds)) if carry else (() for _ in range(batch.num_rows))
-            columns = (batch.column(x).to_pylist() for x in ("_len", "_hash", "_id", "_top", "_rows"))
+            columns = (batch.column(x).to_pylist() for x in ("_id", "_top", "_rows"))
             texts = batch.column("_text")
-            for k, (length, hashed, key, top, count, extra) in enumerate(zip(*columns, carried)):
-                if (length, hashed) != current:
-                    out.extend(trie.spill())
-                    trie, current = Patricia(largest), (length, hashed)
+            for k, (key, top, count, extra) in enumerate(zip(*columns, carried)):
                 text = texts[k].as_py()
                 trie.insert(text, Owner(key, top, count, extra))
-                if trie.bytes > RESIDENT_BYTES:
+                if trie.bytes > resident:
                     out.extend(trie.spill(text))
-                if len(out) >= 1000:
-                    yield rows()
+                    yield from rows()
         out.extend(trie.spill())
-        if out:
-            yield rows()
+        yield from rows()
 
     return run
 
 
-def _owners(docs: DataFrame, id_col: str, text_col: str, largest: bool, carry: list[str], with_text: bool) -> DataFrame:
+def _owners(docs: DataFrame, id_col: str, text_col: str, largest: bool, carry: list[str], with_text: bool, resident: int = RESIDENT_BYTES) -> DataFrame:
     """:func:`owners`, with the text as ``_text`` and the k-th carried column of the owning row as ``_ck``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     extra = [f"_c{k}" for k in range(len(carry))]
@@ -235,13 +232,14 @@ def _owners(docs: DataFrame, id_col: str, text_col: str, largest: bool, carry: l
     carried = [keyed.schema[name] for name in extra]
     long = lambda *names: [T.StructField(x, T.LongType()) for x in names]
     folded = keyed.mapInArrow(
-        _fold("_key", "_body", extra, largest),
-        T.StructType([*long("_len", "_hash"), T.StructField("_text", T.BinaryType()), *long("_id", "_top", "_rows"), *carried]),
+        _fold("_key", "_body", extra, largest, resident),
+        T.StructType([T.StructField("_text", T.BinaryType()), *long("_id", "_top", "_rows"), *carried]),
     )
-    dealt = folded.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_len", "_hash")
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = folded.repartition(partitions, F.octet_length("_text"), F.xxhash64("_text"))
     kept = [T.StructField("_text", T.BinaryType())] if with_text else []
     schema = T.StructType([T.StructField("text_sha256", T.StringType()), *long("keep_id", "top_rows", "group_size"), *kept, *carried])
-    return dealt.sortWithinPartitions("_len", "_hash", "_text").mapInArrow(_own(extra, largest, with_text), schema)
+    return dealt.sortWithinPartitions("_text").mapInArrow(_own(extra, largest, with_text, resident), schema)
 
 
 def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", largest: bool = False) -> DataFrame:

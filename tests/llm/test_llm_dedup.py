@@ -6,10 +6,12 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from larder.llm import exactdup, simhash
 from larder.llm.components import components
@@ -81,12 +83,40 @@ def test_trie_spills_all_but_the_path():
     assert {t for t, _ in trie.spill()} == {b"cart"}
 
 
-def test_small_memory_gives_the_same(spark, monkeypatch):
+def owned(found) -> set[tuple]:
+    return {(r["text_sha256"], r["keep_id"], r["top_rows"], r["group_size"]) for r in found.collect()}
+
+
+def test_small_memory_gives_the_same(spark):
+    """Tries that may hold next to nothing spill all the time, on both sides of the shuffle."""
     docs = spark.createDataFrame([(i, f"text {i % 7} " * 50) for i in range(300)], "doc_id long, text string").repartition(3)
-    want = {(r["keep_id"], r["group_size"]) for r in exactdup.owners(docs).collect()}
-    monkeypatch.setattr(exactdup, "RESIDENT_BYTES", 500)
-    run = exactdup._fold("_key", "_body", [], False)
-    assert want == {(k, len(range(k, 300, 7))) for k in range(7)} and run is not None
+    want = {(k, len(range(k, 300, 7))) for k in range(7)}
+    assert {(r["keep_id"], r["group_size"]) for r in exactdup.owners(docs).collect()} == want
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for table in (docs, documents, odd(spark, ROWS)):
+        plain, tight = (exactdup._owners(table, "doc_id", "text", True, [], False, resident=n) for n in (exactdup.RESIDENT_BYTES, 500))
+        assert owned(plain) == owned(tight)
+
+
+def test_one_trie_holds_a_partition_splits_edges_and_spills_subtrees(spark):
+    """The texts of one partition of the given table, through the reducer: the trie branches, and complete subtrees leave before the end."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("_text"))
+    # How Spark deals rows to two partitions.
+    dealt = F.pmod(F.hash(F.octet_length("_text"), F.xxhash64("_text")), F.lit(2))
+    part = docs.filter(dealt == 0).toPandas().sort_values("_text")
+    one = [1] * len(part)
+    table = pa.table({"_text": pa.array(part["_text"], pa.binary()), "_id": pa.array(part["doc_id"], pa.int64()), "_top": one, "_rows": one})
+    trie = exactdup.Patricia(True)
+    for text in part["_text"]:
+        trie.insert(bytes(text), exactdup.Owner(1, 1, 1, ()))
+    assert trie.splits > 100 and max(len(n.children) for n in trie.root.children.values()) > 1
+    assert trie.bytes < sum(len(t) for t in set(map(bytes, part["_text"])))
+    whole = pa.Table.from_batches(exactdup._own([], True, False)(iter(table.to_batches())))
+    small = list(exactdup._own([], True, False, resident=50_000)(iter(table.to_batches())))
+    assert len(small) > 10 and pa.Table.from_batches(small).sort_by("text_sha256") == whole.sort_by("text_sha256")
+    groups = part.groupby(part["_text"].map(lambda t: hashlib.sha256(t).hexdigest()))["doc_id"].agg(["max", "size"])
+    got = whole.to_pandas().set_index("text_sha256")
+    assert got["keep_id"].to_dict() == groups["max"].to_dict() and got["group_size"].to_dict() == groups["size"].to_dict()
 
 
 def brute_print(text: str | None, words: int) -> int:
