@@ -127,6 +127,25 @@ def test_refresh(spark, lake):
     assert waste.count() == lake.read("gold", "food_waste_summary").count()
 
 
+def test_refresh_query_keeps_stock_of_leap_days_apart(spark, tmp_path):
+    import os
+
+    from compare import TABLES, compare, duck
+
+    from larder.catalog import entries
+
+    con = duck(SF)
+    for t in TABLES:
+        if t != "lineitem":
+            os.symlink(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
+    day = "CASE l_linenumber WHEN 1 THEN DATE '1996-02-28' WHEN 2 THEN DATE '1996-02-29' ELSE l_shipdate END"
+    con.execute(
+        f"COPY (SELECT * REPLACE (CAST({day} AS {con.execute('SELECT typeof(l_shipdate) FROM lineitem LIMIT 1').fetchall()[0][0]}) AS l_shipdate, "
+        f"l_partkey % 10 AS l_partkey, l_suppkey % 2 AS l_suppkey) FROM lineitem) TO '{tmp_path}/lineitem.parquet'"
+    )
+    assert compare(spark, duck(str(tmp_path)), "s9_refresh", entries()["s9_refresh"], str(tmp_path)) is None
+
+
 def test_refresh_stops_at_the_first_failure(spark, lake):
     lake.write(spark.range(3).select(F.col("id").alias("wrong")), "bronze", "retail_data")
     with pytest.raises(RefreshError, match="silver"):
