@@ -290,3 +290,14 @@ def test_unique_keys_are_not_shuffled(spark):
     df = spark.createDataFrame([(k, "x" * 50) for k in range(100)], "a int, b string")
     plan = e.expect_compound_columns_to_be_unique(df, ["b", "a"])._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" not in plan
+
+
+def test_chunks_follow_decoded_rows(spark, tmp_path, monkeypatch):
+    from larder.operators import sweep
+
+    path = str(tmp_path / "same")
+    spark.range(50_000).select(F.lit("device").alias("g"), F.lit(1.5).alias("v"), F.lit(2.5).alias("w")).coalesce(1).write.parquet(path)
+    same = spark.read.parquet(path)
+    monkeypatch.setattr(sweep, "CHUNK_BYTES", 100_000)
+    # A few kilobytes as stored, 36 bytes a row as decoded.
+    assert sweep.input_bytes(same) < 100_000 and sweep.chunk_count(same, same) == 18
