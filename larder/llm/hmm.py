@@ -13,7 +13,8 @@ hot keys, and meet their counts in a join.
 
 Texts are tokenised once; class sequences and rare words are staged. Each iteration is one pass in which
 tasks sum expected counts and Spark adds them up per class; the driver holds the bounded
-matrices only. The iterations start from a model fitted to a bounded sample (``Settings.warm_docs``).
+matrices only. The iterations start from the unigram distribution over all training tokens; a start from a model fitted to a
+bounded sample is to be had with ``Settings.warm_docs``.
 """
 
 from __future__ import annotations
@@ -45,15 +46,15 @@ LN10 = np.log(10.0)
 @dataclass(frozen=True)
 class Settings:
     """States; words with a class of their own; classes of other words and the bytes that decide; share that makes a
-    word common; iterations over everything; texts, tokens per text and iterations of the warm start; seed."""
+    word common; iterations over everything; texts (0: none), tokens per text and iterations of a warm start; seed."""
 
     states: int = 8
     own: int = 8192
     endings: int = 1024
     ending_bytes: int = 3
     share: float = 2.5e-7
-    rounds: int = 2
-    warm_docs: int = 1500
+    rounds: int = 4
+    warm_docs: int = 0
     warm_tokens: int = 4096
     warm_rounds: int = 8
     seed: int = 5
@@ -89,11 +90,12 @@ class Model:
 
     @staticmethod
     def fresh(states: int, unigram: np.ndarray, seed: int) -> Model:
-        """The unigram distribution, disturbed a little differently in each state; states like to stay."""
+        """The unigram distribution, disturbed a little differently in each state; states stay for about a hundred tokens,
+        so that they soon tell languages and subjects apart."""
         random = np.random.default_rng(seed)
         emit = unigram * np.exp(random.standard_normal((states, len(unigram))))
-        move = np.full((states, states), 0.3 / max(states - 1, 1))
-        np.fill_diagonal(move, 0.7 if states > 1 else 1.0)
+        move = np.full((states, states), 0.01 / max(states - 1, 1))
+        np.fill_diagonal(move, 0.99 if states > 1 else 1.0)
         even = np.full(states, 1.0 / states)
         return Model(even, even, move, emit / emit.sum(axis=1, keepdims=True))
 
@@ -327,8 +329,11 @@ def iterate(texts: DataFrame, model: Model, unigram: np.ndarray) -> Model:
 
 
 def warm_model(texts: DataFrame, unigram: np.ndarray, settings: Settings) -> Model:
-    """A model fitted on the driver to a bounded sample of training texts, drawn by a hash of the id."""
+    """Where the iterations start: the unigram distribution, or with ``warm_docs`` a model fitted on the driver to so many training
+    texts, drawn by a hash of the id."""
     model = Model.fresh(settings.states, unigram, settings.seed)
+    if not settings.warm_docs:
+        return model
     usable = texts.filter(F.col("training") & (F.col("n_tokens") <= settings.warm_tokens)).select(F.xxhash64("doc_id").alias("h"), "ids")
     count = usable.count()
     if not count:

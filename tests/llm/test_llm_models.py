@@ -207,6 +207,13 @@ def test_scores(spark):
     assert hmm.scored(rows, F.lit(False), settings).filter("train_tokens = 0 and base_score = 0 and score < 0").count() == len(got)
 
 
+def test_hidden_markov_start_reads_no_sample():
+    unigram = np.array([0.5, 0.3, 0.2])
+    settings = hmm.Settings()
+    start, fresh = hmm.warm_model(None, unigram, settings), hmm.Model.fresh(settings.states, unigram, settings.seed)
+    assert np.array_equal(start.emit, fresh.emit) and np.array_equal(start.move, fresh.move)
+
+
 def test_endings_agree_between_spark_and_python(spark):
     import zlib
 
