@@ -65,3 +65,45 @@ def test_lines_without_exactly_one_part_and_supplier(spark, tmp_path, replaced):
 def test_products_of_whole_lines(spark):
     made, wanted = Warehouse(spark, SF).products, Tables(spark, SF).products
     assert made.columns == wanted.columns and made.exceptAll(wanted).isEmpty() and wanted.exceptAll(made).isEmpty()
+
+
+@pytest.mark.parametrize(
+    "replaced",
+    [
+        {"orders": "SELECT * FROM orders WHERE o_orderkey % 3 <> 0"},
+        {"orders": "SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 5 = 0"},
+        {"customer": "SELECT * FROM customer WHERE c_custkey % 4 <> 0"},
+        {"customer": "SELECT * REPLACE (CASE WHEN c_custkey % 4 = 0 THEN 99 ELSE c_nationkey END AS c_nationkey) FROM customer"},
+        {"lineitem": "SELECT * REPLACE (CASE WHEN l_linenumber = 2 THEN NULL ELSE l_orderkey END AS l_orderkey) FROM lineitem"},
+    ],
+    ids=["orders missing", "orders twice", "customer missing", "nation missing", "null order"],
+)
+def test_lines_without_exactly_one_order(spark, tmp_path, replaced):
+    sf = altered(tmp_path, **replaced)
+    con = duck(sf)
+    made, wanted = Warehouse(spark, sf), Tables(spark, sf)
+    for name in ("products", "stores"):
+        rows = [getattr(t, name).collect() for t in (made, wanted)]
+        assert sorted(map(str, rows[0])) == sorted(map(str, rows[1]))
+    for name in ("g2a_food_waste_keyed", "g9_demand_baseline", "q4_waste_trend_month", "e68_project_suite"):
+        assert compare(spark, con, name, entries()[name], sf) is None
+
+
+def built_from(spark, sf, monkeypatch, *names) -> dict:
+    """The files that stored tables are built from."""
+    seen = {}
+    write = tables.Lake.write
+
+    def noted(lake, df, layer, name, *args):
+        seen[name] = files(df)
+        return write(lake, df, layer, name, *args)
+
+    monkeypatch.setattr(tables.Lake, "write", noted)
+    for name in names:
+        getattr(Warehouse(spark, sf), name)
+    return seen
+
+
+def test_products_need_no_orders(spark, tmp_path, monkeypatch):
+    sf = altered(tmp_path)
+    assert built_from(spark, sf, monkeypatch, "products")["products"] == {"lineitem.parquet", "part.parquet"}
