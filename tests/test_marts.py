@@ -215,3 +215,38 @@ def test_fixed_values():
     assert gold.FAMILY_CATEGORIES == {"FOODS": "Food & Beverage", "HOUSEHOLD": "Household & Cleaning", "HOBBIES": "Hobbies & Toys"}
     assert states.FAMILY_NAMES == {"FOODS": "Foods", "HOUSEHOLD": "Household", "HOBBIES": "Hobbies"}
     assert (gold.HIGH_WASTE_PCT, gold.MODERATE_WASTE_PCT) == (20, 5)
+
+
+def exchanges(df, *parts: str) -> list[str]:
+    """The shuffles of a plan, with the size-checked broadcast off, whose line holds all ``parts``."""
+    conf = df.sparkSession.conf
+    old = {k: conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        conf.set("spark.sql.adaptive.enabled", "false")
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            conf.set(k, v)
+    return [line for line in plan.splitlines() if " Exchange hashpartitioning" in line and all(p in line for p in parts)]
+
+
+def test_keyed_waste_groups_stock_and_sales_together(spark):
+    day = D(2024, 1, 1)
+    sales = spark.createDataFrame(
+        [(day, "a", "s", 4), (day, "a", "s", 5), (None, "a", "s", 7), (day, None, "s", 7), (day, "a", None, 7), (day, "z", "s", 7), (day, "c", "s", None)],
+        "order_date_id date, product_id string, store_id string, quantity int",
+    )
+    stock = spark.createDataFrame(
+        [(day, "a", "s", 20, 1.5), (None, "a", "s", 20, 1.5), (day, None, "s", 20, None), (day, "a", None, 20, 1.5), (day, "c", "s", None, 2.0)],
+        "date_id date, product_id string, store_id string, stock_quantity int, current_price double",
+    )
+    products = spark.createDataFrame([("a", "A")], "product_id string, category_name string")
+    waste = gold.food_waste(sales, products, stock, method="keyed")
+    rows = {(r.date_id, r.product_id, r.store_id): (r.total_stock, r.total_sold, r.category_name) for r in waste.collect()}
+    # Keys with a missing part never meet, sales without stock have no row.
+    assert rows == {
+        (day, "a", "s"): (20, 9, "A"), (None, "a", "s"): (20, 0, "A"), (day, None, "s"): (20, 0, None),
+        (day, "a", None): (20, 0, "A"), (day, "c", "s"): (None, 0, None),
+    }
+    assert len(exchanges(waste, "date_id", "product_id", "store_id")) == 1
