@@ -250,3 +250,13 @@ def test_keyed_waste_groups_stock_and_sales_together(spark):
         (day, "a", None): (20, 0, "A"), (day, "c", "s"): (None, 0, None),
     }
     assert len(exchanges(waste, "date_id", "product_id", "store_id")) == 1
+
+
+def test_baseline_rows_are_dealt_by_product_once(spark, tables):
+    sales, products, _, _ = tables
+    dates = spark.sql("SELECT DATE '2024-01-01' + x AS date_id, 2024L AS year, 1L AS month, 'Monday' AS day_name FROM (SELECT explode(sequence(0, 60)) AS x)")
+    demand = gold.demand_baseline(sales, dates, products)
+    assert not exchanges(demand, "hashpartitioning(product_id#", ", store_id#") or all("date_id" in x for x in exchanges(demand, ", store_id#"))
+    # One for the daily rows, one for the products.
+    assert len(exchanges(demand, "hashpartitioning(product_id#")) - len(exchanges(demand, "hashpartitioning(product_id#", "store_id#")) == 2
+    assert sorted(r.daily_sales_qty for r in demand.collect()) == [3, 7, 2000]
