@@ -260,3 +260,14 @@ def test_baseline_rows_are_dealt_by_product_once(spark, tables):
     # One for the daily rows, one for the products.
     assert len(exchanges(demand, "hashpartitioning(product_id#")) - len(exchanges(demand, "hashpartitioning(product_id#", "store_id#")) == 2
     assert sorted(r.daily_sales_qty for r in demand.collect()) == [3, 7, 2000]
+
+
+def test_spread_waste_shuffles_the_inventory_once(spark, tables):
+    waste = gold.food_waste(*tables)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = waste.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    keyed = [x for x in plan.splitlines() if "hashpartitioning(date_id#" in x and "product_id#" in x and "store_id#" in x]
+    assert ["ReusedExchange" in x for x in keyed if "Exchange" in x] == [False, True]

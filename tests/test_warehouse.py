@@ -9,7 +9,7 @@ from compare import TABLES, compare, duck
 
 from larder.catalog import entries, tables
 from larder.catalog.tables import Tables, Warehouse
-from larder.operators import gold
+from larder.operators import gold, states
 
 SF = "/root/testdata/sf0.001"
 
@@ -107,3 +107,12 @@ def built_from(spark, sf, monkeypatch, *names) -> dict:
 def test_products_need_no_orders(spark, tmp_path, monkeypatch):
     sf = altered(tmp_path)
     assert built_from(spark, sf, monkeypatch, "products")["products"] == {"lineitem.parquet", "part.parquet"}
+
+
+def test_states_need_no_products(spark, tmp_path, monkeypatch):
+    sf = altered(tmp_path)
+    made = built_from(spark, sf, monkeypatch, "waste_states")["waste_states"]
+    mart = Warehouse(spark, sf).waste
+    assert made == files(mart)
+    kept, wanted = Warehouse(spark, sf).waste_states, states.waste_states(mart, Warehouse(spark, sf).products)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, wanted.select(kept.columns).collect()))
