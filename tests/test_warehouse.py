@@ -116,3 +116,7 @@ def test_states_need_no_products(spark, tmp_path, monkeypatch):
     assert made == files(mart)
     kept, wanted = Warehouse(spark, sf).waste_states, states.waste_states(mart, Warehouse(spark, sf).products)
     assert sorted(map(str, kept.collect())) == sorted(map(str, wanted.select(kept.columns).collect()))
+
+
+def test_checks_of_lines_need_no_orders(spark, tmp_path):
+    assert files(Warehouse(spark, altered(tmp_path)).retail_lines_only) == {"lineitem.parquet"}
