@@ -302,3 +302,38 @@ def test_bloom_filters_skip_row_groups(spark, lake, catalog):
     assert more.count() == 320_000 and rows_read(more.filter(F.col("k") == there + "x")) <= 60_000
     if catalog:
         spark.sql("DROP TABLE silver.hashed")
+
+
+def test_rebuild_stores_sales_once_and_reads_the_other_raw_tables_where_they_are(spark, monkeypatch):
+    from larder.catalog import entries
+
+    stored, write = [], Lake.write
+
+    def noted(lake, df, layer, name, *args, **more):
+        stored.append(f"{layer}.{name}")
+        return write(lake, df, layer, name, *args, **more)
+
+    monkeypatch.setattr(Lake, "write", noted)
+    entries()["s9_refresh_rows"].run(spark, SF)
+    assert [n for n in stored if n.startswith("bronze.")] == ["bronze.retail_data"]
+
+
+def test_attached_table_gives_way_to_a_stored_one(spark, lake):
+    lake.attach(spark.range(3), "bronze", "a")
+    assert lake.read("bronze", "a").count() == 3 and not lake.exists("bronze", "a")
+    with pytest.raises(ValueError, match="attached"):
+        lake.append(spark.range(1), "bronze", "a")
+    assert lake.write(spark.range(5), "bronze", "a").count() == lake.read("bronze", "a").count() == 5
+
+
+def test_rebuilt_facts_hold_ranges_of_days(spark, lake):
+    lake.attach(lenses.retail_data(spark, SF), "bronze", "retail_data")
+    lake.attach(lenses.supply_chain(spark, SF), "bronze", "SupplyChain")
+    lake.attach(lenses.m5_forcasting(spark, SF), "bronze", "m5_forcasting")
+    days = {"fact_sales": "order_date_id", "fact_purchase_order": "order_date_id", "fact_inventory": "date_id"}
+    refresh(lake, select=[f"silver.{n}" for n in days])
+    for name, day in days.items():
+        table = lake.read("silver", name)
+        assert all(f.endswith(".zstd.parquet") for f in table.inputFiles())
+        per_file = table.groupBy(F.input_file_name()).agg(F.min(day).alias("a"), F.max(day).alias("b")).orderBy("a", "b").collect()
+        assert all(x.b <= y.a for x, y in zip(per_file, per_file[1:]))
