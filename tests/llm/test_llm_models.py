@@ -79,6 +79,96 @@ def test_junk_leaves_and_prose_stays(spark):
     assert share[1] > 0.97 and share[0] < 0.8
 
 
+def brute_grams(text: bytes) -> list[tuple[int, ...]]:
+    """Four symbols that end at each byte and at the text's end; 0 is the edge."""
+    symbols = [0, 0, 0, *(b + 1 for b in text), 0]
+    return [tuple(symbols[k - 3 : k + 1]) for k in range(3, len(symbols))] if text else []
+
+
+def brute_perplexity(texts: list[bytes], text: bytes) -> float:
+    """Log perplexity a symbol under the interpolated modified Kneser-Ney model of all texts."""
+    counts = {4: collections.Counter(g for t in texts for g in brute_grams(t))}
+    for k in (3, 2, 1):
+        counts[k] = collections.Counter(g[1:] for g in counts[k + 1])
+    cuts, after = {}, collections.defaultdict(list)
+    for k, found in counts.items():
+        n = [sum(c == m for c in found.values()) for m in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0
+        cuts[k] = [min(max(m - (m + 1) * y * n[m] / n[m - 1], 0.05), m - 0.05) if n[m - 1] and n[m] else 0.5 for m in (1, 2, 3)]
+        for g, c in found.items():
+            after[g[:-1]].append(c)
+
+    def p(g: tuple[int, ...]) -> float:
+        if not g:
+            return 1 / 257
+        found, cut, rest = counts[len(g)][g], cuts[len(g)], after[g[:-1]]
+        taken = sum(cut[min(c, 3) - 1] for c in rest)
+        return (found - cut[min(found, 3) - 1] + taken * p(g[1:])) / sum(rest)
+
+    logs = [math.log(p(g)) for g in brute_grams(text)]
+    return -sum(logs) / len(logs)
+
+
+def test_grams_are_of_whole_texts():
+    texts = ["", "Ab", "", "aB", "a1 #\u00e9", "a2 $\u00e8\x00\n", "x", "", "\u4f60"]
+    raw = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    code, doc = quality.grams(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    code_of = [[sum(s * quality.CLASSES ** (3 - k) for k, s in enumerate(g)) for g in brute_grams(t)] for t in raw]
+    assert code.tolist() == [c for codes in code_of for c in codes]
+    assert doc.tolist() == [k for k, codes in enumerate(code_of) for _ in codes]
+    # Another byte anywhere is another n-gram, and so is an earlier end.
+    seen = [tuple(quality.grams(np.array([65, b, 66], np.uint8), np.array([0, 3]))[0]) for b in range(256)]
+    assert len(set(seen)) == 256
+    table = quality.READINGS["folded_"]
+    assert (table[list(b"Az9 \n.#&")] == list(b"az0  .##")).all() and table[0xE9 - 0x40] != table[0xE8 - 0x40]
+    assert len(set(table.tolist())) == 48
+
+
+def test_perplexity_is_that_of_counting_by_hand(spark, monkeypatch):
+    r = random.Random(11)
+    texts = [None, "", "a", "\x00", "Ab aB", "AB ab"] + ["".join(r.choice("abAB 1#\u00e9\u00e8\n") for _ in range(r.randint(1, 25))) for _ in range(20)]
+    # Keys repeat and are null, and so are languages.
+    rows = [(None if i % 5 == 0 else i // 2, t, (None, "en", "fr")[i % 3]) for i, t in enumerate(texts)]
+    docs = odd(spark, rows)
+    read = {"": lambda t: (t or "").encode(), "folded_": lambda t: (t or "").encode().translate(quality.READINGS["folded_"].tobytes())}
+    expected = []
+    for i, t, lang in rows:
+        same = [x for _, x, other in rows if other == lang]
+        expected.append((i, lang or "", *(brute_perplexity([*map(f, same)], f(t)) if t else None for f in read.values())))
+    order = lambda x: [(v is not None, round(v, 3) if isinstance(v, float) else v) for v in x]
+    for part, held in ((1 << 21, 1 << 20), (120, 60)):
+        monkeypatch.setattr(quality, "PART", part)
+        monkeypatch.setattr(quality, "HELD", held)
+        got = [tuple(x) for x in quality.scored(docs).select("doc_id", "lang", "log_ppl", "folded_log_ppl").collect()]
+        assert len(got) == len(expected)
+        # The small figures need several parts, and several rows of a task for one n-gram.
+        for a, b in zip(sorted(got, key=order), sorted(expected, key=order)):
+            assert a[:2] == b[:2]
+            assert a[2:] == (pytest.approx(b[2:], abs=1e-5) if b[2] is not None else (None, None))
+
+
+def test_parts_hold_each_context_once():
+    sizes = {("", "a"): 10, ("", "b"): 25, ("", "c"): 3, ("folded_", "a"): 4, ("folded_", "b"): 9}
+    found = quality.shares(sizes, 10)
+    assert all(sum(-(-sizes[key] // k) for key, (k, _) in part.items()) <= 10 for part in found)
+    for key in sizes:
+        taken = [part[key] for part in found if key in part]
+        assert taken and sorted(j for _, j in taken) == list(range(taken[0][0]))
+    assert quality.shares({}, 10) == []
+
+
+def test_capitals_and_other_digits_leave(spark):
+    r = random.Random(12)
+    words = ["".join(r.choice("aeinorstdlc") for _ in range(r.randint(2, 7))) for _ in range(300)] + ["10", "100"]
+    texts = [" ".join(r.choice(words) for _ in range(80)) + "." for _ in range(200)]
+    odd_ones = [texts[0].upper(), texts[1].replace(" ", "\x01"), texts[2].translate(str.maketrans("aeino", "áéíñó"))]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts + odd_ones)], "doc_id long, text string, lang string")
+    kept = {x["doc_id"]: x["kept"] for x in quality.judged(docs).collect()}
+    assert sum(kept[i] for i in range(200)) >= 198
+    assert not any(kept[200 + k] for k in range(len(odd_ones)))
+
+
 # language
 
 
